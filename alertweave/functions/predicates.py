@@ -123,7 +123,7 @@ def _as_text(value: object) -> str:
 def array_has(col: Column, value: object) -> Column:
     """Membership; None means a null or empty array, or one that holds a null."""
     if value is None:
-        holds_null = F.exists(col, lambda x: x.isNull())
+        holds_null = F.exists(col, lambda item_: item_.isNull())
         return col.isNull() | (F.size(col) == 0) | F.coalesce(holds_null, F.lit(False))
     return F.array_contains(col, F.lit(value))
 

@@ -135,11 +135,11 @@ def strip_nul(col: Column) -> Column:
 
 
 def strip_nul_map(col: Column) -> Column:
-    return F.transform_values(col, lambda _, v: strip_nul(v))
+    return F.transform_values(col, lambda key_, value_: strip_nul(value_))
 
 
 def drop_unsafe_keys(col: Column) -> Column:
-    return F.map_filter(col, lambda k, _: ~F.substring(k, 1, 1).isin(*UNSAFE_KEY_STARTS))
+    return F.map_filter(col, lambda key_, value_: ~F.substring(key_, 1, 1).isin(*UNSAFE_KEY_STARTS))
 
 
 def valid_description_format(col: Column) -> Column:

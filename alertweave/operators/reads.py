@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from alertweave.functions import predicates
 from alertweave.functions.paths import FieldMap, Json, MapKey, Plain
-from alertweave.operators.scan import ALERT_KEY
+from alertweave.operators.enrich import with_enrichment
+from alertweave.operators.scan import ALERT_KEY, run_scans, since_reset
 
 # user field names of an incident query; later targets are fallbacks
 INCIDENT_FIELDS = FieldMap(
@@ -67,3 +68,15 @@ def restrict(
     if ids is not None:
         out = out.join(ids.select("incident_id"), "incident_id", "left_semi")
     return out
+
+
+def group_pulled_alerts(
+    alerts: DataFrame, enrichments: DataFrame, fields: list[str]
+) -> DataFrame:
+    """Pulled alerts grouped by key: enriched rows with their position inside the key.
+
+    The groups stay rows (a key may hold any number of alerts); write them sorted by key
+    and position to get them side by side.
+    """
+    ranked = run_scans(alerts, [since_reset("position", F.lit(False))], chunk_seconds=86400)
+    return with_enrichment(ranked, enrichments, fields, list(ALERT_KEY))

@@ -237,3 +237,23 @@ def segment_first(
         },
         carried=(f"{p}_prev", f"{p}_c"),
     )
+
+
+def following_first(
+    name: str, value: Column, order: tuple[str, ...] = ALERT_ORDER
+) -> Scan:
+    """Nearest non-null ``value`` strictly after each row."""
+    p = f"_{name}"
+
+    def after(w: WindowSpec) -> WindowSpec:
+        return w.rowsBetween(1, Window.unboundedFollowing)
+
+    return Scan(
+        local=lambda w, run: [{f"{p}_l": F.first(value, ignorenulls=True).over(after(w))}],
+        summary={f"{p}_t": F.min_by(value, F.when(value.isNotNull(), _order(order)))},
+        carry=lambda w, prior: [
+            {f"{p}_c": F.first(f"{p}_t", ignorenulls=True).over(after(w))}
+        ],
+        final={name: F.coalesce(F.col(f"{p}_l"), F.col(f"{p}_c"))},
+        carried=(f"{p}_c",),
+    )
