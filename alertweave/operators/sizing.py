@@ -1,0 +1,28 @@
+"""Size checks before a broadcast, and the way beyond the bound."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# rows of a lookup table that one broadcast may hold
+MAX_BROADCAST_ROWS = 50_000
+
+
+def broadcast_blocks(
+    rows: DataFrame, index: str, max_rows: int = MAX_BROADCAST_ROWS
+) -> Iterator[DataFrame]:
+    """The table as broadcast pieces of a checked size.
+
+    ``index`` numbers the rows. The check is one aggregate over that column. A table
+    within the bound is one piece; a larger one is cut, and the caller combines the
+    results of the pieces.
+    """
+    low, high, n = rows.agg(F.min(index), F.max(index), F.count(F.lit(1))).first()
+    if n <= max_rows:
+        yield F.broadcast(rows)
+        return
+    for start in range(low, high + 1, max_rows):
+        yield F.broadcast(rows.filter(F.col(index).between(start, start + max_rows - 1)))

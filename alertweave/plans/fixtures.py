@@ -38,3 +38,36 @@ def dedup_rules(spark: SparkSession) -> DataFrame:
         "rule_id string, tenant_id string, provider_id string, provider_type string, "
         "full_deduplication boolean, ignore_fields array<string>, enabled boolean",
     )
+
+# row_idx, service, provider_type, name, owner, tier; null cells and padding on purpose
+LOOKUP_ROWS = [
+    (0, "svc-1$", "grafana", None, " team-a ", "1"),
+    (1, "svc-(2|3)$", "*", None, "team-b", None),
+    (2, None, None, "alert-1", "team-c", "3"),
+    (3, "svc-5", "*", None, "team-d", "4"),
+    (4, "*", "sentry", None, "team-e", "5"),
+]
+LOOKUP_SQL = sql_rows(LOOKUP_ROWS)
+
+
+def lookup_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
+        LOOKUP_ROWS,
+        "row_idx int, service string, provider_type string, name string, owner string, "
+        "tier string",
+    )
+
+
+WINDOWS = [
+    # id, tenant, name, start, end, predicate, suppress, enabled, ignored statuses
+    (1, "t0", "night", "2024-01-03 00:00:00", "2024-01-06 00:00:00", "severity = 'low'",
+     True, True, ()),
+    (2, "t0", "all", "2024-01-05 00:00:00", "2024-01-08 00:00:00", "", False, True, ()),
+    (3, "t1", "off", "2024-01-01 00:00:00", "2024-02-01 00:00:00", "", False, False, ()),
+    (4, "t1", "kept", "2024-01-10 00:00:00", "2024-01-20 00:00:00", "k > 50", True, True,
+     ("resolved",)),
+    (5, "t2", "gone", "2024-01-10 00:00:00", "2024-01-20 00:00:00",
+     "labels['nope'] = 'x'", True, True, ()),
+    (6, "t2", "drop", "2024-01-12 00:00:00", "2024-01-14 00:00:00",
+     "provider_type = 'grafana'", False, True, ()),
+]
