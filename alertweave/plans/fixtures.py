@@ -71,3 +71,44 @@ WINDOWS = [
     (6, "t2", "drop", "2024-01-12 00:00:00", "2024-01-14 00:00:00",
      "provider_type = 'grafana'", False, True, ()),
 ]
+
+TENANTS = ("t0", "t1", "t2")
+TEMPLATE = "{{ alert.service }} by {{ alert.provider_type }} in {{ alert.region }}"
+
+
+def correlation_rules():
+    """Per tenant: gap sessions by service, two sub-rules, no key, deleted, threshold with a
+    template, and a multi-level rule."""
+    from alertweave.operators.correlate import CorrelationRule
+
+    severe = "severity in ('high', 'critical')"
+    rules = []
+    for t in TENANTS:
+        rules += [
+            CorrelationRule(f"r1-{t}", t, "by service", (severe,), 21600, ("service",)),
+            CorrelationRule(
+                f"r2-{t}",
+                t,
+                "two sources",
+                ("provider_type = 'sentry'", "provider_type = 'grafana' and k > 50"),
+                3600,
+                ("name",),
+                create_on="all",
+                prefix="INC",
+            ),
+            CorrelationRule(f"r3-{t}", t, "no key", ("severity = 'critical'",), 7200),
+            CorrelationRule(
+                f"r4-{t}", t, "deleted", ("true",), 60, ("service",), is_deleted=True
+            ),
+            CorrelationRule(
+                f"r5-{t}",
+                t,
+                "named",
+                ("k % 2 = 0",),
+                86400,
+                ("service", "provider_type"),
+                threshold=5,
+                name_template=TEMPLATE,
+            ),
+        ]
+    return rules
