@@ -7,7 +7,8 @@ import re
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertweave.functions.scalars import SEVERITIES, severity_rank
@@ -206,6 +207,20 @@ def matched(predicate: Column | str | None) -> Column:
     return F.coalesce(predicate.cast("boolean"), F.lit(False))
 
 
+def stored(df: DataFrame, predicate: Column | str | None) -> Column:
+    """A stored predicate for the rows of ``df``; one on a column they do not have matches
+    nothing."""
+    test = matched(predicate)
+    if isinstance(predicate, str) and predicate.strip():
+        try:
+            df.select(test)
+        except AnalysisException as error:
+            if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+                raise
+            return F.lit(False)
+    return test
+
+
 def time_filter(
     start: Column,
     last_seen: Column,

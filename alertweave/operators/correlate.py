@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertweave.functions import paths
-from alertweave.functions.predicates import matched
+from alertweave.functions.predicates import stored
 from alertweave.functions.scalars import literal_map
 from alertweave.operators.scan import (
     CHUNK_SECONDS,
@@ -70,7 +70,7 @@ def match_rules(alerts: DataFrame, rules: list[CorrelationRule]) -> DataFrame:
     hits = []
     for rule in active_rules(rules):
         subs = F.array_compact(
-            F.array(*[F.when(matched(p), F.lit(i)) for i, p in enumerate(rule.predicates)])
+            F.array(*[F.when(stored(alerts, p), F.lit(i)) for i, p in enumerate(rule.predicates)])
         )
         applies = (F.col("tenant_id") == rule.tenant_id) & (F.size(subs) > 0)
         hits.append(
@@ -186,18 +186,28 @@ def _session_scan() -> Scan:
     )
 
 
+def session_rows(
+    keyed: DataFrame, rules: list[CorrelationRule], chunk_seconds: int = CHUNK_SECONDS
+) -> DataFrame:
+    """All rows with their session number and whether their incident is open by then."""
+    timed = keyed.withColumn("timeframe_s", rule_value(rules, lambda r: r.timeframe_s, "int"))
+    return run_scans(timed, [_session_scan()], keys=INCIDENT_KEY, chunk_seconds=chunk_seconds)
+
+
+def opened_rows(rows: DataFrame) -> DataFrame:
+    incident = F.concat_ws("/", *INCIDENT_KEY, F.col("session_no").cast("string"))
+    return rows.filter("opened").drop("opened").withColumn("incident_id", incident)
+
+
 def sessionize(
     keyed: DataFrame, rules: list[CorrelationRule], chunk_seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
     """Alerts of an incident: sessions per (tenant, rule, key) that end when no alert came
     for longer than the rule's timeframe, without the rows before the first firing one.
 
-    Exact for rules that resolve ``never``; see ``streaming.exact`` for the others.
+    Exact for rules that resolve ``never``: a resolved incident ends its session early.
     """
-    timed = keyed.withColumn("timeframe_s", rule_value(rules, lambda r: r.timeframe_s, "int"))
-    rows = run_scans(timed, [_session_scan()], keys=INCIDENT_KEY, chunk_seconds=chunk_seconds)
-    incident = F.concat_ws("/", *INCIDENT_KEY, F.col("session_no").cast("string"))
-    return rows.filter("opened").drop("opened").withColumn("incident_id", incident)
+    return opened_rows(session_rows(keyed, rules, chunk_seconds))
 
 
 def link_alerts(sessions: DataFrame) -> DataFrame:

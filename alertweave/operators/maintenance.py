@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertweave.functions.predicates import matched
+from alertweave.functions.predicates import stored
 from alertweave.operators import enrich
 
 MAINTENANCE = "maintenance"
@@ -31,7 +31,9 @@ class MaintenanceWindow:
     ignore_statuses: tuple[str, ...] = field(default=())
 
 
-def _window_test(window: MaintenanceWindow, open_start: bool) -> Column:
+def _window_test(
+    alerts: DataFrame, window: MaintenanceWindow, open_start: bool
+) -> Column:
     ts = F.col("ts")
     start = F.lit(window.start).cast("timestamp")
     after = ts > start if open_start else ts >= start
@@ -39,7 +41,7 @@ def _window_test(window: MaintenanceWindow, open_start: bool) -> Column:
         (F.col("tenant_id") == window.tenant_id)
         & after
         & (ts < F.lit(window.end).cast("timestamp"))
-        & matched(window.predicate)
+        & stored(alerts, window.predicate)
     )
     if window.ignore_statuses and not open_start:
         test = test & ~F.col("status").isin(*window.ignore_statuses)
@@ -60,7 +62,7 @@ def first_window(
     if not enabled:
         return alerts.withColumn("window_id", F.lit(None).cast("int"))
     if len(enabled) <= max_inline:
-        hits = [F.when(_window_test(w, False), F.lit(w.window_id)) for w in enabled]
+        hits = [F.when(_window_test(alerts, w, False), F.lit(w.window_id)) for w in enabled]
         return alerts.withColumn("window_id", F.coalesce(*hits))
     return _first_window_joined(alerts, enabled)
 
@@ -93,7 +95,7 @@ def window_table(spark: SparkSession, windows: list[MaintenanceWindow]) -> DataF
 def _first_window_joined(alerts: DataFrame, windows: list[MaintenanceWindow]) -> DataFrame:
     predicates = sorted({w.predicate for w in windows})
     which = F.array_compact(
-        F.array(*[F.when(matched(p), F.lit(i)) for i, p in enumerate(predicates)])
+        F.array(*[F.when(stored(alerts, p), F.lit(i)) for i, p in enumerate(predicates)])
     )
     number = F.array_position(F.array(*[F.lit(p) for p in predicates]), F.col("predicate"))
 
@@ -183,16 +185,16 @@ def recover_maintenance(
 ) -> DataFrame:
     """Alerts in maintenance with ``maintenance_trace`` (windows that still hold them) and
     ``recovered``; a recovered one swaps its status with the previous one."""
+    inside = alerts.filter(F.col("status") == MAINTENANCE)
     held = [
         F.when(
-            _window_test(w, True) & (F.lit(w.end).cast("timestamp") > as_of),
+            _window_test(inside, w, True) & (F.lit(w.end).cast("timestamp") > as_of),
             F.lit(w.window_id),
         )
         for w in sorted(windows, key=lambda w: w.window_id)
         if w.enabled
     ]
     trace = F.array_compact(F.array(*held)) if held else F.array().cast("array<int>")
-    inside = alerts.filter(F.col("status") == MAINTENANCE)
     traced = inside.withColumn("maintenance_trace", trace)
     free = F.size("maintenance_trace") == 0
     status, before = F.col("status"), F.col("previous_status")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertweave.functions import paths
-from alertweave.functions.predicates import matched, or_
+from alertweave.functions.predicates import or_, stored
 from alertweave.functions.scalars import html_unescape
 from alertweave.operators.enrich import render
 from alertweave.operators.sizing import MAX_BROADCAST_ROWS, broadcast_blocks
@@ -127,7 +127,7 @@ def extract(
         out = out.withColumn("_value", value)
         value = F.col("_value")
         condition = None if rule.condition in (None, "", WILDCARD) else rule.condition
-        hit = (F.length(value) > 0) & matched(condition) & value.rlike(regex)
+        hit = (F.length(value) > 0) & stored(out, condition) & value.rlike(regex)
         out = _with_missing(out.withColumn("_hit", hit), list(names))
         groups = {
             n: F.nullif(F.regexp_extract(value, regex, i), F.lit("")) for n, i in names.items()
@@ -198,7 +198,7 @@ def map_lookup(
     attrs = rule.attributes
     keyed = alerts.withColumns({f"_m_{a}": resolve(a).cast("string") for a in attrs})
     names = [f"_m_{a}" for a in attrs]
-    active = matched(rule.condition) & _gate(rule)
+    active = stored(keyed, rule.condition) & _gate(rule)
     keyed = keyed.withColumn("_active", active)
 
     values = keyed.filter("_active").select(*names).distinct()
@@ -325,7 +325,7 @@ def topology_lookup(
     ).agg(picked.alias("_service"))
     resolve = _resolver(alerts)
     keyed = alerts.withColumns({f"_m_{a}": resolve(a).cast("string") for a in attrs})
-    keyed = keyed.withColumn("_active", matched(rule.condition) & _gate(rule))
+    keyed = keyed.withColumn("_active", stored(keyed, rule.condition) & _gate(rule))
     on = F.col("_active") & (F.col("tenant_id") == F.col("_t"))
     for a in attrs:
         on = on & (F.col(f"_m_{a}") == F.col(f"_r_{a}"))

@@ -52,7 +52,7 @@ PAGE = 25
 
 def filter_alerts(df: DataFrame, predicate: Column | str | None) -> DataFrame:
     """Rows a stored predicate selects; an unknown result counts as no."""
-    return df.filter(predicates.matched(predicate))
+    return df.filter(predicates.stored(df, predicate))
 
 
 def restrict(
@@ -295,7 +295,7 @@ def resolve_provider(events: DataFrame, providers: DataFrame) -> DataFrame:
 def preset_hits(alerts: DataFrame, presets: dict[str, str]) -> DataFrame:
     """How many alerts each saved filter selects, in one pass; an empty one selects all."""
     hits = F.array_compact(
-        F.array(*[F.when(predicates.matched(p), F.lit(n)) for n, p in presets.items()])
+        F.array(*[F.when(predicates.stored(alerts, p), F.lit(n)) for n, p in presets.items()])
     )
     return (
         alerts.select("tenant_id", F.explode(hits).alias("preset"))

@@ -23,6 +23,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
 
 def alerts(spark: SparkSession, folder: str) -> DataFrame:
     """Alerts derived from ``events``: 3 tenants, one fingerprint per user, 20 services."""
+    return adapt_alerts(read_table(spark, folder, "events"))
+
+
+def adapt_alerts(events: DataFrame) -> DataFrame:
+    """The alert form of event rows, of a table or a stream."""
     user, kind, value = F.col("user_id"), F.col("event_type"), F.col("value")
     status = F.when(kind == "purchase", "resolved").when(kind == "signup", "acknowledged")
     severity = (
@@ -39,7 +44,7 @@ def alerts(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise("sentry")
     )
     k = F.get_json_object("props", "$.k")
-    base = read_table(spark, folder, "events").select(
+    base = events.select(
         F.col("event_id").alias("alert_id"),
         F.concat(F.lit("t"), user % 3).alias("tenant_id"),
         F.sha2(F.concat(F.lit("user-"), user), 256).alias("fingerprint"),
