@@ -41,29 +41,37 @@ def chunk_exits(ts: np.ndarray, start: int, interval: int) -> tuple[list[int], l
     return entries[keep].tolist(), exits[keep].tolist()
 
 
+Arrays = dict[str, np.ndarray]
+
+
 def sorted_groups(
     pdfs: Iterator[pd.DataFrame], cols: list[str]
-) -> Iterator[tuple[tuple, pd.DataFrame]]:
+) -> Iterator[tuple[tuple, Arrays]]:
     """The groups of a partition sorted by ``cols``, each whole, also across batches."""
-    pending: list[pd.DataFrame] = []
+    pending: list[Arrays] = []
     owner: tuple | None = None
 
-    def whole() -> pd.DataFrame:
-        return pending[0] if len(pending) == 1 else pd.concat(pending)
+    def whole() -> Arrays:
+        if len(pending) == 1:
+            return pending[0]
+        return {n: np.concatenate([p[n] for p in pending]) for n in pending[0]}
 
     for pdf in pdfs:
         if pdf.empty:
             continue
-        changed = (pdf[cols] != pdf[cols].shift()).any(axis=1).to_numpy()
-        starts = np.flatnonzero(changed)
+        arrays = {n: pdf[n].to_numpy() for n in pdf.columns}
+        changed = np.zeros(len(pdf), dtype=bool)
+        changed[0] = True
+        for c in cols:
+            changed[1:] |= arrays[c][1:] != arrays[c][:-1]
+        starts = np.flatnonzero(changed).tolist()
         for start, end in zip(starts, [*starts[1:], len(pdf)]):
-            part = pdf.iloc[start:end]
-            key = tuple(part[c].iloc[0] for c in cols)
+            key = tuple(arrays[c][start] for c in cols)
             if key != owner and pending:
                 yield owner, whole()
                 pending = []
             owner = key
-            pending.append(part)
+            pending.append({n: values[start:end] for n, values in arrays.items()})
     if pending:
         yield owner, whole()
 
@@ -95,27 +103,31 @@ def throttle(
 
     def exits_of(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
-        for key, pdf in sorted_groups(pdfs, group):
-            first, last = chunk_exits(pdf["at"].to_numpy(), key[-1] * span, interval)
+        for key, part in sorted_groups(pdfs, group):
+            first, last = chunk_exits(part["at"], int(key[-1]) * span, interval)
             rows.extend((*key, f, l) for f, l in zip(first, last))
         yield pd.DataFrame(rows, columns=[*group, "entry", "exit"])
 
     def starts_of(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         owner, ready, rows = None, 0, []
-        for key, pdf in sorted_groups(pdfs, group):
+        for key, part in sorted_groups(pdfs, group):
             if key[:-1] != owner:
                 owner, ready = key[:-1], np.iinfo(np.int64).min
             rows.append((*key, ready))
-            at = int(np.searchsorted(pdf["entry"].to_numpy(), ready))
-            if at < len(pdf):
-                ready = int(pdf["exit"].iloc[at]) + interval
+            at = int(np.searchsorted(part["entry"], ready))
+            if at < len(part["entry"]):
+                ready = int(part["exit"][at]) + interval
         yield pd.DataFrame(rows, columns=[*group, "ready"])
 
     def passed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, pdf in sorted_groups(pdfs, group):
-            kept = emitted(pdf["at"].to_numpy(), int(pdf["ready"].iloc[0]), interval)
-            if kept:
-                yield pdf.iloc[kept][[*keys, "ts", "id"]]
+        columns = [*keys, "ts", "id"]
+        found: dict[str, list] = {n: [] for n in columns}
+        for _, part in sorted_groups(pdfs, group):
+            kept = emitted(part["at"], int(part["ready"][0]), interval)
+            for n in columns:
+                found[n].append(part[n][kept])
+        if found["id"]:
+            yield pd.DataFrame({n: np.concatenate(parts) for n, parts in found.items()})
 
     pairs = (
         instants.select(*group, "at")

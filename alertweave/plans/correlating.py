@@ -45,16 +45,15 @@ sessions AS (SELECT *, concat_ws('/', tenant_id, rule_id, group_key, session_no)
     AS incident_id FROM fired WHERE fires > 0)"""
 
 
-def matches(spark, folder):
+def sessions(spark, folder, counted=False):
+    """Correlated alerts; with their unresolved counters only where these are needed."""
     alerts = tables.alerts(spark, folder).withColumn(
         "severity_rank", severity_rank(F.col("severity"))
     )
-    counted = sequence.with_scans(alerts, sequence.unresolved_counter_scan())
-    return correlate.match_rules(counted, RULES)
-
-
-def sessions(spark, folder):
-    keyed = correlate.group_key(matches(spark, folder), RULES)
+    if counted:
+        counter = sequence.unresolved_counter_scan()
+        alerts = lineage.cut(sequence.with_scans(alerts, counter))
+    keyed = correlate.group_key(correlate.match_rules(alerts, RULES), RULES)
     return correlate.sessionize(keyed, RULES)
 
 
@@ -65,8 +64,9 @@ FROM keyed""",
 )
 def match_rules(spark, folder):
     alerts = tables.alerts(spark, folder)
+    subs = F.array_join(F.col("matched").cast("array<string>"), ",")
     return correlate.match_rules(alerts, RULES).select(
-        "alert_id", "rule_id", F.array_join(F.col("matched").cast("array<string>"), ",").alias("matched")
+        "alert_id", "rule_id", subs.alias("matched")
     )
 
 
@@ -140,7 +140,7 @@ gates AS (SELECT incident_id, min(CASE WHEN greatest(n_keys, n_open) >= threshol
 
 @query("c4_gate_visibility", f"WITH {GATED} SELECT * FROM gates")
 def gate_visibility(spark, folder):
-    linked = lineage.cut(sessions(spark, folder))
+    linked = lineage.cut(sessions(spark, folder, counted=True))
     return correlate.gate_visibility(linked, RULES)
 
 
@@ -265,7 +265,13 @@ def flagship_incidents(spark, folder):
     alerts = tables.alerts(spark, folder).withColumn(
         "severity_rank", severity_rank(F.col("severity"))
     )
-    kept = dedup.drop_full_duplicates(dedup.classify_duplicates(alerts))
+    # the alerts that stay are a table of their own; correlation starts from it
+    kept = lineage.cut(
+        dedup.drop_full_duplicates(dedup.classify_duplicates(alerts)).select(
+            "tenant_id", "fingerprint", "alert_id", "ts", "service", "status", "severity",
+            "severity_rank", "provider_type", "name", "k", "labels",
+        )
+    )
     keyed = correlate.group_key(correlate.match_rules(kept, rules), rules)
     return incidents.rollup_sessions(correlate.sessionize(keyed, rules)).select(
         "incident_id",
