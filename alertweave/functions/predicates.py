@@ -211,14 +211,25 @@ def stored(df: DataFrame, predicate: Column | str | None) -> Column:
     """A stored predicate for the rows of ``df``; one on a column they do not have matches
     nothing."""
     test = matched(predicate)
-    if isinstance(predicate, str) and predicate.strip():
-        try:
-            df.select(test)
-        except AnalysisException as error:
-            if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
-                raise
-            return F.lit(False)
-    return test
+    return test if not isinstance(predicate, str) or _resolves(df, [test]) else F.lit(False)
+
+
+def stored_all(df: DataFrame, predicates: list[str | None]) -> dict[str | None, Column]:
+    """``stored`` for many predicates; they are analysed together where all resolve."""
+    tests = {p: matched(p) for p in dict.fromkeys(predicates)}
+    if _resolves(df, list(tests.values())):
+        return tests
+    return {p: stored(df, p) for p in tests}
+
+
+def _resolves(df: DataFrame, tests: list[Column]) -> bool:
+    try:
+        df.select(*tests)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+            raise
+        return False
+    return True
 
 
 def time_filter(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertweave.functions import paths
-from alertweave.functions.predicates import stored
+from alertweave.functions.predicates import stored_all
 from alertweave.functions.scalars import literal_map
 from alertweave.operators.scan import (
     CHUNK_SECONDS,
@@ -67,10 +67,11 @@ def match_rules(alerts: DataFrame, rules: list[CorrelationRule]) -> DataFrame:
     All predicates are compiled into one projection over one scan of the alerts. A
     predicate on a missing field does not match.
     """
+    tests = stored_all(alerts, [p for r in active_rules(rules) for p in r.predicates])
     hits = []
     for rule in active_rules(rules):
         subs = F.array_compact(
-            F.array(*[F.when(stored(alerts, p), F.lit(i)) for i, p in enumerate(rule.predicates)])
+            F.array(*[F.when(tests[p], F.lit(i)) for i, p in enumerate(rule.predicates)])
         )
         applies = (F.col("tenant_id") == rule.tenant_id) & (F.size(subs) > 0)
         hits.append(

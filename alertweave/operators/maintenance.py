@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from alertweave.functions.predicates import stored
+from alertweave.functions.predicates import stored_all
 from alertweave.operators import enrich
 
 MAINTENANCE = "maintenance"
@@ -32,7 +32,7 @@ class MaintenanceWindow:
 
 
 def _window_test(
-    alerts: DataFrame, window: MaintenanceWindow, open_start: bool
+    tests: dict[str | None, Column], window: MaintenanceWindow, open_start: bool
 ) -> Column:
     ts = F.col("ts")
     start = F.lit(window.start).cast("timestamp")
@@ -41,7 +41,7 @@ def _window_test(
         (F.col("tenant_id") == window.tenant_id)
         & after
         & (ts < F.lit(window.end).cast("timestamp"))
-        & stored(alerts, window.predicate)
+        & tests[window.predicate]
     )
     if window.ignore_statuses and not open_start:
         test = test & ~F.col("status").isin(*window.ignore_statuses)
@@ -62,7 +62,8 @@ def first_window(
     if not enabled:
         return alerts.withColumn("window_id", F.lit(None).cast("int"))
     if len(enabled) <= max_inline:
-        hits = [F.when(_window_test(alerts, w, False), F.lit(w.window_id)) for w in enabled]
+        tests = stored_all(alerts, [w.predicate for w in enabled])
+        hits = [F.when(_window_test(tests, w, False), F.lit(w.window_id)) for w in enabled]
         return alerts.withColumn("window_id", F.coalesce(*hits))
     return _first_window_joined(alerts, enabled)
 
@@ -94,8 +95,9 @@ def window_table(spark: SparkSession, windows: list[MaintenanceWindow]) -> DataF
 
 def _first_window_joined(alerts: DataFrame, windows: list[MaintenanceWindow]) -> DataFrame:
     predicates = sorted({w.predicate for w in windows})
+    tests = stored_all(alerts, predicates)
     which = F.array_compact(
-        F.array(*[F.when(stored(alerts, p), F.lit(i)) for i, p in enumerate(predicates)])
+        F.array(*[F.when(tests[p], F.lit(i)) for i, p in enumerate(predicates)])
     )
     number = F.array_position(F.array(*[F.lit(p) for p in predicates]), F.col("predicate"))
 
@@ -186,9 +188,10 @@ def recover_maintenance(
     """Alerts in maintenance with ``maintenance_trace`` (windows that still hold them) and
     ``recovered``; a recovered one swaps its status with the previous one."""
     inside = alerts.filter(F.col("status") == MAINTENANCE)
+    tests = stored_all(inside, [w.predicate for w in windows])
     held = [
         F.when(
-            _window_test(inside, w, True) & (F.lit(w.end).cast("timestamp") > as_of),
+            _window_test(tests, w, True) & (F.lit(w.end).cast("timestamp") > as_of),
             F.lit(w.window_id),
         )
         for w in sorted(windows, key=lambda w: w.window_id)

@@ -138,8 +138,7 @@ def pipeline_incident_alerts(spark, folder):
     path = new_folder(spark)
     config = pipeline.Config(correlation=RULES)
     pipeline.run_pipeline(alert_stream(spark, folder), config, path).awaitTermination()
-    linked = Store(spark, path).output("linked", T.StructType.fromDDL(pipeline.LINK))
-    return linked.select("alert_id", "incident_id")
+    return pipeline.incident_alerts(Store(spark, path)).select("alert_id", "incident_id")
 
 
 @query("w13_throttle")

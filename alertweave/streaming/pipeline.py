@@ -30,10 +30,11 @@ AUDIT = (
     "tenant_id string, fingerprint string, ts timestamp, actor string, action string, "
     "description string"
 )
-LINK = (
-    "incident_id string, tenant_id string, rule_id string, group_key string, "
-    "session_no long, fingerprint string, alert_id long, ts timestamp, service string, "
-    "severity_rank int, status string, unresolved_counter long, matched array<int>"
+# every matched alert; those of an incident are the opened ones
+MATCHED = (
+    "tenant_id string, rule_id string, group_key string, session_no long, "
+    "fingerprint string, alert_id long, ts timestamp, service string, severity_rank int, "
+    "status string, unresolved_counter long, matched array<int>, opened boolean"
 )
 HITS = "tenant_id string, preset string, n long"
 
@@ -90,6 +91,8 @@ def process_batch(
         rows, config.windows, config.maintenance_strategy
     )
     classified = keyed_state.classify_with_state(kept, keys, chunk)
+    store.append("classified", classified, batch_id)
+    classified = _written(store, "classified", classified.schema, batch_id)
     store.append(
         "audit",
         _as(silenced.unionByName(enrich.lifecycle_audit(classified)), AUDIT),
@@ -113,11 +116,15 @@ def process_batch(
         return
     matches = correlate.match_rules(open_rows, config.correlation)
     keyed = correlate.group_key(matches, config.correlation)
-    linked, after = keyed_state.sessionize_with_state(
-        keyed, config.correlation, sessions, chunk
-    )
-    store.append("linked", _as(linked, LINK), batch_id)
-    store.replace("sessions", after, batch_id)
+    placed = keyed_state.sessions_with_state(keyed, config.correlation, sessions, chunk)
+    store.append("matched", _as(placed, MATCHED), batch_id)
+    placed = _written(store, "matched", MATCHED, batch_id)
+    store.replace("sessions", keyed_state.next_session_state(sessions, placed), batch_id)
+
+
+def incident_alerts(store: Store) -> DataFrame:
+    """The alerts of incidents over all finished batches."""
+    return correlate.opened_rows(store.output("matched", T.StructType.fromDDL(MATCHED)))
 
 
 def _as(df: DataFrame, ddl: str) -> DataFrame:
@@ -126,9 +133,11 @@ def _as(df: DataFrame, ddl: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def _written(store: Store, name: str, ddl: str, batch_id: int) -> DataFrame:
+def _written(
+    store: Store, name: str, schema: str | T.StructType, batch_id: int
+) -> DataFrame:
     path = f"{store.path}/{name}/batch={batch_id}"
-    return store.spark.read.schema(ddl).parquet(path)
+    return store.spark.read.schema(schema).parquet(path)
 
 
 def run_pipeline(

@@ -124,13 +124,13 @@ def next_key_state(state: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
-def sessionize_with_state(
+def sessions_with_state(
     keyed: DataFrame,
     rules: list[correlate.CorrelationRule],
     state: DataFrame,
     chunk_seconds: int = CHUNK_SECONDS,
-) -> tuple[DataFrame, DataFrame]:
-    """Alerts of incidents in this batch, and the session state after it.
+) -> DataFrame:
+    """All matched rows of a batch with their session number and ``opened``.
 
     The batch's first session of a key goes on with the key's last one if their gap is
     within the timeframe.
@@ -153,12 +153,21 @@ def sessionize_with_state(
         base.alias("_base"),
         (goes_on & F.coalesce("p_fired", F.lit(False))).alias("_fired"),
     )
-    placed = rows.join(met, list(keys)).withColumns(
-        {
-            "opened": F.col("opened") | (F.col("_fired") & (F.col("session_no") == 0)),
-            "session_no": F.col("session_no") + F.col("_base"),
-        }
-    ).drop("_base", "_fired")
+    return (
+        rows.join(met, list(keys))
+        .withColumns(
+            {
+                "opened": F.col("opened") | (F.col("_fired") & (F.col("session_no") == 0)),
+                "session_no": F.col("session_no") + F.col("_base"),
+            }
+        )
+        .drop("_base", "_fired")
+    )
+
+
+def next_session_state(state: DataFrame, placed: DataFrame) -> DataFrame:
+    """Session state after a batch: the last session of each key and whether it fired."""
+    keys = correlate.INCIDENT_KEY
     ended = placed.groupBy(*keys).agg(
         F.max("ts").alias("last_ts"),
         F.max("session_no").alias("session_no"),
@@ -166,5 +175,4 @@ def sessionize_with_state(
         F.max_by("opened", F.struct("session_no", "ts", "alert_id")).alias("fired"),
     )
     untouched = state.join(ended, list(keys), "left_anti")
-    after = untouched.unionByName(ended.select(*state.columns))
-    return correlate.opened_rows(placed), after
+    return untouched.unionByName(ended.select(*state.columns))
