@@ -257,3 +257,17 @@ def following_first(
         final={name: F.coalesce(F.col(f"{p}_l"), F.col(f"{p}_c"))},
         carried=(f"{p}_c",),
     )
+
+
+def max_before(name: str, value: Column) -> Scan:
+    """Largest ``value`` of the rows strictly before each row."""
+    p = f"_{name}"
+    return Scan(
+        local=lambda w, run: [
+            {f"{p}_l": F.max(value).over(w.rowsBetween(Window.unboundedPreceding, -1))}
+        ],
+        summary={f"{p}_t": F.max(value)},
+        carry=lambda w, prior: [{f"{p}_c": F.max(f"{p}_t").over(prior)}],
+        final={name: F.greatest(F.col(f"{p}_l"), F.col(f"{p}_c"))},
+        carried=(f"{p}_c",),
+    )

@@ -19,6 +19,12 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# settings a session takes only when it is built; give them to spark-submit on a cluster
+BUILD_CONF = {
+    # the Python line of every column in error messages; it slows planning of wide plans
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session that somebody else built."""
@@ -39,7 +45,7 @@ def local_session(cpus: int = 8, name: str = "alertweave", **conf: str) -> Spark
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **BUILD_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
