@@ -198,13 +198,16 @@ def loose_ne(a: Column, b: Column) -> Column:
     return a.cast("string") != b.cast("string")
 
 
-def matched(predicate: Column | str | None) -> Column:
-    """A stored predicate as a yes/no: empty selects all, null counts as no."""
+def condition(predicate: Column | str | None) -> Column:
+    """A stored predicate as a Column; an empty one selects all."""
     if predicate is None or (isinstance(predicate, str) and not predicate.strip()):
         return F.lit(True)
-    if isinstance(predicate, str):
-        predicate = F.expr(predicate)
-    return F.coalesce(predicate.cast("boolean"), F.lit(False))
+    return F.expr(predicate) if isinstance(predicate, str) else predicate
+
+
+def matched(predicate: Column | str | None) -> Column:
+    """A stored predicate as a yes/no: null counts as no."""
+    return F.coalesce(condition(predicate).cast("boolean"), F.lit(False))
 
 
 def stored(df: DataFrame, predicate: Column | str | None) -> Column:
@@ -214,6 +217,15 @@ def stored(df: DataFrame, predicate: Column | str | None) -> Column:
     return test if not isinstance(predicate, str) or _resolves(df, [test]) else F.lit(False)
 
 
+def select(df: DataFrame, predicate: Column | str | None) -> DataFrame:
+    """The rows a stored predicate selects. A filter leaves nulls out by itself, so the
+    plain condition stays visible to the scan."""
+    test = condition(predicate)
+    if isinstance(predicate, str) and not _resolves(df, [test]):
+        return df.filter(F.lit(False))
+    return df.filter(test)
+
+
 def stored_all(df: DataFrame, predicates: list[str | None]) -> dict[str | None, Column]:
     """``stored`` for many predicates; they are analysed together where all resolve."""
     tests = {p: matched(p) for p in dict.fromkeys(predicates)}

@@ -118,6 +118,16 @@ def fingerprint_by(fields: list[Column], name: Column) -> Column:
     return F.sha2(F.concat(*[F.coalesce(f.cast("string"), F.lit("")) for f in fields]), 256)
 
 
+def fingerprint_by_provider(
+    provider_type: Column, fields: dict[str, list[Column]], name: Column
+) -> Column:
+    """``fingerprint_by`` with each provider type's own fields; the name for the others."""
+    out = name
+    for kind, own in fields.items():
+        out = F.when(provider_type == kind, fingerprint_by(own, name)).otherwise(out)
+    return out
+
+
 def content_hash(fields: dict[str, Column], ignore: tuple[str, ...] = ()) -> Column:
     """Hash of the named fields in name order; a null differs from an empty text."""
     kept = [c for n, c in sorted(fields.items()) if n not in ignore]

@@ -174,11 +174,7 @@ def dedup_report(rules: DataFrame, counts: DataFrame) -> DataFrame:
         }
     )
     # the empty state: one default rule that never saw an alert
-    only = rules.agg(F.count(F.lit(1)).alias("_rules")).withColumn("_all", F.lit(1))
-    return (
-        report.withColumn("_all", F.lit(1))
-        .join(only, "_all")
-        .filter((F.col("_rules") > 1) | (F.col("ingested") > 0))
-        .drop("_rules", "_all")
-        .orderBy(F.col("is_default").desc(), "dedup_rule_id")
+    n_rules = rules.agg(F.count(F.lit(1))).scalar()
+    return report.filter((n_rules > 1) | (F.col("ingested") > 0)).orderBy(
+        F.col("is_default").desc(), "dedup_rule_id"
     )

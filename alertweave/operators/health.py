@@ -57,7 +57,7 @@ def field_catalog(alerts: DataFrame, payload: str = "event") -> DataFrame:
     objects; with the provider that sent it last."""
     spark = alerts.sparkSession
     narrow = alerts.select(
-        "tenant_id", "ts", "provider_type", "provider_id", F.parse_json(payload).alias("_v")
+        "tenant_id", "ts", "provider_type", "provider_id", F.try_parse_json(F.col(payload)).alias("_v")
     )
     top = narrow.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(
         "tenant_id", "ts", "provider_type", "provider_id",

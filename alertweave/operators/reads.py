@@ -52,7 +52,7 @@ PAGE = 25
 
 def filter_alerts(df: DataFrame, predicate: Column | str | None) -> DataFrame:
     """Rows a stored predicate selects; an unknown result counts as no."""
-    return df.filter(predicates.stored(df, predicate))
+    return predicates.select(df, predicate)
 
 
 def restrict(
@@ -164,7 +164,7 @@ def select_incidents(
     columns = rows.columns
     if asked.needs_alerts:
         rows = incidents_with_alerts(rows, t)
-    found = rows.filter(F.coalesce(test, F.lit(False)))
+    found = rows.filter(test)
     if asked.needs_alerts:
         ids = found.select("incident_id").distinct()
         found = incidents_with_enrichment(base, t.incident_enrichments).join(

@@ -79,7 +79,7 @@ def run_scans(
         F.col(CHUNK).alias(f"_r{CHUNK}"),
         *[F.col(c) for c in carried],
     )
-    match = F.col(CHUNK) == F.col(f"_r{CHUNK}")
+    match = F.col(CHUNK).eqNullSafe(F.col(f"_r{CHUNK}"))
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
     joined = rows.join(right, match, "inner").withColumns(final)

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from alertweave.functions.scalars import severity_rank
-from alertweave.operators import correlate, dedup, incidents, lineage, sequence
+from alertweave.operators import (
+    correlate,
+    dedup,
+    incidents,
+    lineage,
+    resolution,
+    sequence,
+)
 from alertweave.operators.correlate import CorrelationRule
 from alertweave.plans import fixtures
 from alertweave.plans.registry import query
@@ -284,3 +291,57 @@ def flagship_incidents(spark, folder):
         "alerts_count",
         F.array_join("services", ",").alias("services"),
     )
+
+
+RESOLVING = [
+    rule
+    for t in fixtures.TENANTS
+    for rule in (
+        CorrelationRule(
+            f"l-{t}", t, "last", ("severity in ('high', 'critical')",), 86400, ("service",),
+            resolve_on="last_resolved",
+        ),
+        CorrelationRule(
+            f"a-{t}", t, "all", ("k > 20 and status <> 'acknowledged'",), 86400, ("service",),
+            resolve_on="all_resolved",
+        ),
+    )
+]
+
+
+@query(
+    "c3_sessions_with_resolution",
+    f"""WITH {RANKED},
+keyed AS (SELECT *, concat('l-', tenant_id) AS rule_id FROM ranked
+    WHERE severity IN ('high', 'critical')
+  UNION ALL SELECT *, concat('a-', tenant_id) FROM ranked
+    WHERE k > 20 AND status <> 'acknowledged'),
+gaps AS (SELECT *, CASE WHEN epoch_us(ts) - epoch_us(lag(ts) OVER w) > 86400000000
+    THEN 1 ELSE 0 END AS brk FROM keyed
+  WINDOW w AS (PARTITION BY rule_id, service ORDER BY ts, alert_id)),
+timed AS (SELECT *, CAST(sum(brk) OVER (PARTITION BY rule_id, service ORDER BY ts, alert_id)
+    AS BIGINT) AS session_no FROM gaps),
+ended AS (SELECT *, coalesce(min(CASE WHEN status = 'resolved' THEN ts END) OVER (
+    PARTITION BY rule_id, service, session_no, fingerprint ORDER BY ts, alert_id
+    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), TIMESTAMP '9999-12-31') AS until FROM timed),
+covered AS (SELECT *, max(CASE WHEN status <> 'resolved' THEN until END) OVER w AS cover,
+    count(*) FILTER (status = 'resolved') OVER w AS done FROM ended
+  WINDOW w AS (PARTITION BY rule_id, service, session_no ORDER BY ts, alert_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+parts AS (SELECT *, CASE WHEN rule_id LIKE 'l%' THEN done ELSE CAST(sum(CASE WHEN cover IS NULL
+    OR cover < ts THEN 1 ELSE 0 END) OVER (PARTITION BY rule_id, service, session_no
+    ORDER BY ts, alert_id) AS BIGINT) END AS part_no FROM covered),
+fired AS (SELECT *, count(*) FILTER (status = 'firing') OVER (PARTITION BY rule_id, service,
+    session_no, part_no ORDER BY ts, alert_id) AS fires FROM parts)
+SELECT alert_id, concat(tenant_id, '/', rule_id, '/', service, '/', session_no, '.', part_no)
+  AS incident_id FROM fired WHERE fires > 0""",
+)
+def sessions_with_resolution(spark, folder):
+    keyed = correlate.group_key(
+        correlate.match_rules(tables.alerts(spark, folder), RESOLVING), RESOLVING
+    )
+    narrow = keyed.select(
+        *correlate.INCIDENT_KEY, "fingerprint", "alert_id", "ts", "status"
+    )
+    out = resolution.sessions_with_resolution(narrow, RESOLVING)
+    return out.select("alert_id", "incident_id")

@@ -152,3 +152,22 @@ def dedup_counters(spark, folder):
     classes = dedup.classify_duplicates(tables.alerts(spark, folder))
     duplicated = (F.col("dedup_type") != "none").alias("duplicated")
     return classes.groupBy("provider_type", duplicated).agg(F.count(F.lit(1)).alias("n"))
+
+
+# per provider type, the fields a provider's alerts are fingerprinted by
+PROVIDER_FIELDS = {"grafana": ["service", "k"], "sentry": ["name"]}
+
+
+@query(
+    "udf4_fingerprint_by_provider",
+    f"""WITH {ALERTS} SELECT alert_id, CASE provider_type WHEN 'grafana'
+  THEN sha256(concat(service, k)) WHEN 'sentry' THEN sha256(name) ELSE name END AS fingerprint
+FROM alerts""",
+)
+def fingerprint_by_provider(spark, folder):
+    fingerprint = scalars.fingerprint_by_provider(
+        F.col("provider_type"),
+        {t: [F.col(f) for f in fields] for t, fields in PROVIDER_FIELDS.items()},
+        F.col("name"),
+    )
+    return tables.alerts(spark, folder).select("alert_id", fingerprint.alias("fingerprint"))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from alertweave.operators import correlate, throttle
+from alertweave.operators import correlate, lineage, throttle
 from alertweave.operators.maintenance import MaintenanceWindow
 from alertweave.plans import fixtures
 from alertweave.plans.correlating import KEYED, RULES, SESSIONS
@@ -16,8 +16,9 @@ from alertweave.plans.registry import query
 from alertweave.plans.sequences import KEY_WINDOW
 from alertweave.plans.sql import ALERTS
 from alertweave.session import checkpoint_folder
-from alertweave.sources import tables
+from alertweave.sources import envelope, tables
 from alertweave.streaming import pipeline, windows
+from alertweave.streaming import state as keyed_state
 from alertweave.streaming.store import Store
 
 
@@ -196,3 +197,122 @@ def recover_expired(spark, folder):
     pipeline.run_pipeline(alert_stream(spark, folder), config, path).awaitTermination()
     out = pipeline.recover_expired(Store(spark, path), LATE_WINDOWS, "2024-03-01 00:00:00")
     return out.select("alert_id", "status", "previous_status", "recovered")
+
+
+def write_messages(spark, folder):
+    """The alerts as envelope messages, one per line, in files below a new folder."""
+    names = [f.name for f in T.StructType.fromDDL(MESSAGE)]
+    form = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+    event = F.to_json(F.struct(*names), form)
+    broken = F.when(F.col("alert_id") % 97 == 0, "not valid json")
+    message = F.to_json(F.struct("tenant_id", event.alias("event")))
+    path = f"{new_folder(spark)}/messages"
+    lines = tables.alerts(spark, folder).select(F.coalesce(broken, message).alias("value"))
+    lines.write.text(path)
+    return path
+
+
+MESSAGE = (
+    "alert_id long, ts timestamp, fingerprint string, name string, service string, "
+    "provider_type string, provider_id string, status string, severity string, k int, "
+    "content_hash string, labels map<string,string>"
+)
+
+
+@query(
+    "s1_message_stream",
+    f"""WITH {ALERTS},
+before AS (SELECT *, lag(content_hash) {KEY_WINDOW} AS b FROM alerts WHERE alert_id % 97 <> 0)
+SELECT alert_id, status, ts, 'stored' AS kind FROM before WHERE b IS NULL OR b <> content_hash
+UNION ALL SELECT NULL, NULL, NULL, 'dead' FROM alerts WHERE alert_id % 97 = 0""",
+)
+def message_stream(spark, folder):
+    """Messages from a source, decoded; the broken ones are kept aside."""
+    source = envelope.read_event_stream(spark, "text", write_messages(spark, folder))
+    path = new_folder(spark)
+    pipeline.run_pipeline(
+        source,
+        pipeline.Config(),
+        path,
+        decode=lambda df: pipeline.decode_alerts(df, MESSAGE),
+    ).awaitTermination()
+    store = Store(spark, path)
+    stored = store.output("alerts", T.StructType.fromDDL(pipeline.STORED)).select(
+        "alert_id", "status", "ts", F.lit("stored").alias("kind")
+    )
+    dead = store.output("dead_letters", T.StructType.fromDDL("raw string, error string"))
+    none = F.lit(None)
+    return stored.unionByName(
+        dead.select(
+            none.cast("long").alias("alert_id"),
+            none.cast("string").alias("status"),
+            none.cast("timestamp").alias("ts"),
+            F.lit("dead").alias("kind"),
+        )
+    )
+
+
+@query(
+    "s5_archive_raw",
+    """SELECT concat('t', user_id % 3) AS tenant_id, CAST(ts AS DATE) AS day, count(*) AS n,
+  min(props) AS first_raw FROM events GROUP BY ALL""",
+)
+def archive_raw(spark, folder):
+    path = f"{new_folder(spark)}/raw"
+    raw = tables.alerts(spark, folder).select("tenant_id", "ts", F.col("props").alias("raw"))
+    envelope.archive_raw(raw, path)
+    return (
+        spark.read.parquet(path)
+        .groupBy("tenant_id", "day")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("raw").alias("first_raw"))
+    )
+
+
+HALF = "2024-01-16 00:00:00"
+
+
+@query(
+    "st2_state_across_batches",
+    f"""WITH {ALERTS},
+runs AS (SELECT *, lag(content_hash) {KEY_WINDOW} AS b,
+    count(*) FILTER (status = 'acknowledged') {KEY_WINDOW} AS ga,
+    count(*) FILTER (status = 'resolved') {KEY_WINDOW} AS gr,
+    count(*) FILTER (status <> 'firing') {KEY_WINDOW} AS gf FROM alerts),
+all_rows AS (SELECT alert_id, ts, CASE WHEN b IS NULL THEN 'none' WHEN b = content_hash
+    THEN 'full' ELSE 'partial' END AS dedup_type,
+  row_number() OVER (PARTITION BY tenant_id, fingerprint, ga ORDER BY ts, alert_id)
+    - CASE WHEN ga > 0 THEN 1 ELSE 0 END AS firing_counter,
+  row_number() OVER (PARTITION BY tenant_id, fingerprint, gr ORDER BY ts, alert_id)
+    - CASE WHEN gr > 0 THEN 1 ELSE 0 END AS unresolved_counter,
+  CASE WHEN status = 'firing' THEN min(ts) FILTER (status = 'firing')
+    OVER (PARTITION BY tenant_id, fingerprint, gf) END AS firing_start FROM runs)
+SELECT * EXCLUDE (ts) FROM all_rows WHERE ts >= TIMESTAMP '{HALF}'""",
+)
+def state_across_batches(spark, folder):
+    """The second half of the alerts on the key state the first half left."""
+    alerts = tables.alerts(spark, folder)
+    older = F.col("ts") < F.lit(HALF).cast("timestamp")
+    empty = spark.createDataFrame([], keyed_state.KEY_STATE)
+    first = keyed_state.features_with_state(alerts.filter(older), empty)
+    left = lineage.cut(keyed_state.next_key_state(empty, first))
+    second = keyed_state.classify_with_state(alerts.filter(~older), left)
+    return keyed_state.features_with_state(second, left).select(
+        "alert_id", "dedup_type", "firing_counter", "unresolved_counter", "firing_start"
+    )
+
+
+@query(
+    "st5_late_alerts_keep_newest_state",
+    f"""WITH {ALERTS} SELECT tenant_id, fingerprint, arg_max(alert_id, (ts, alert_id))
+  AS alert_id, max(ts) AS ts, min(ts) AS first_ts FROM alerts GROUP BY ALL""",
+)
+def late_alerts(spark, folder):
+    """The newer half first, the older half after it: the newest alert stays."""
+    alerts = tables.alerts(spark, folder)
+    older = F.col("ts") < F.lit(HALF).cast("timestamp")
+    empty = spark.createDataFrame([], keyed_state.KEY_STATE)
+    newer = keyed_state.features_with_state(alerts.filter(~older), empty)
+    state = lineage.cut(keyed_state.next_key_state(empty, newer))
+    late = keyed_state.features_with_state(alerts.filter(older), state)
+    after = keyed_state.next_key_state(state, late)
+    return after.select("tenant_id", "fingerprint", "alert_id", "ts", "first_ts")

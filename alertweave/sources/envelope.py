@@ -94,7 +94,7 @@ def dead_letters(df: DataFrame, valid: Column, error: Column) -> tuple[DataFrame
     """Rows that pass, and the others with the error flag and message."""
     ok = F.coalesce(valid, F.lit(False))
     bad = df.filter(~ok).withColumns({"is_error": F.lit(True), "error_message": error})
-    return df.filter(ok), bad
+    return df.filter(valid), bad
 
 
 def archive_raw(df: DataFrame, path: str, ts: str = "ts") -> None:
@@ -123,7 +123,7 @@ def latest_wins(
 def search_snapshot(snapshot: DataFrame, predicate: Column, limit: int = 1000) -> DataFrame:
     """Rows of the snapshot that match; the newest ``limit`` of them."""
     return (
-        snapshot.filter(F.coalesce(predicate, F.lit(False)))
+        snapshot.filter(predicate)
         .orderBy(F.col("ts").desc(), "fingerprint", "tenant_id")
         .limit(limit)
     )
