@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 CHUNK = "_chunk"
 CHUNK_SECONDS = 3600
+CHUNK_WIDTHS = (86400, 3600, 60, 1, 0.001)
 ALERT_KEY = ("tenant_id", "fingerprint")
 ALERT_ORDER = ("ts", "alert_id")
 
@@ -45,8 +46,39 @@ class Scan:
     carried: tuple[str, ...] = field(default=())
 
 
-def chunk_of(ts: str, seconds: int) -> Column:
-    return F.floor(F.unix_seconds(F.col(ts)) / F.lit(seconds))
+def chunk_of(ts: str, seconds: float) -> Column:
+    """Number of the time chunk a row lies in; grows with time."""
+    return F.floor(F.unix_micros(F.col(ts)) / F.lit(int(seconds * 1_000_000)))
+
+
+def fitting_chunk(
+    df: DataFrame,
+    keys: tuple[str, ...] = ALERT_KEY,
+    ts: str = "ts",
+    max_rows: int = 5_000_000,
+    widths: tuple[float, ...] = CHUNK_WIDTHS,
+) -> float:
+    """The widest chunk in which no key has more than ``max_rows`` rows.
+
+    For data whose bursts are not known: one pass over the key and time columns, counted
+    on the map side, that returns one number per width to the driver.
+    """
+    finest = min(widths)
+    bucket = chunk_of(ts, finest)
+    counted = df.groupBy(*keys, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    steps = F.array(*[F.lit(round(w / finest)).cast("long") for w in widths])
+    sizes = (
+        counted.select(*keys, "_b", "_n", F.explode(steps).alias("_w"))
+        .groupBy(*keys, "_w", F.floor(F.col("_b") / F.col("_w")).alias("_c"))
+        .agg(F.sum("_n").alias("_n"))
+        .groupBy("_w")
+        .agg(F.max("_n").alias("_n"))
+    )
+    largest = {r["_w"]: r["_n"] for r in sizes.collect()}
+    for width in sorted(widths, reverse=True):
+        if largest.get(round(width / finest), 0) <= max_rows:
+            return width
+    return finest
 
 
 def run_scans(
@@ -54,7 +86,7 @@ def run_scans(
     scans: list[Scan],
     keys: tuple[str, ...] = ALERT_KEY,
     order: tuple[str, ...] = ALERT_ORDER,
-    chunk_seconds: int = CHUNK_SECONDS,
+    chunk_seconds: float = CHUNK_SECONDS,
 ) -> DataFrame:
     """Add the output columns of all scans. ``order[0]`` must be a timestamp column."""
     rows = df.withColumn(CHUNK, chunk_of(order[0], chunk_seconds))

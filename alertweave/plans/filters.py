@@ -245,7 +245,7 @@ def literals(spark, folder):
 
 @query(
     "p12_json_text",
-    "SELECT event_id, json_extract_string(props, '$.k') AS k, NULL AS missing FROM events",
+    "SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(NULL AS VARCHAR) AS missing FROM events",
 )
 def json_text(spark, folder):
     return tables.read_table(spark, folder, "events").select(

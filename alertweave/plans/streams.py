@@ -17,7 +17,7 @@ from alertweave.plans.sequences import KEY_WINDOW
 from alertweave.plans.sql import ALERTS
 from alertweave.session import checkpoint_folder
 from alertweave.sources import envelope, tables
-from alertweave.streaming import pipeline, windows
+from alertweave.streaming import pipeline, store, windows
 from alertweave.streaming import state as keyed_state
 from alertweave.streaming.store import Store
 
@@ -236,11 +236,11 @@ def message_stream(spark, folder):
         path,
         decode=lambda df: pipeline.decode_alerts(df, MESSAGE),
     ).awaitTermination()
-    store = Store(spark, path)
-    stored = store.output("alerts", T.StructType.fromDDL(pipeline.STORED)).select(
+    written = Store(spark, path)
+    stored = written.output("alerts", T.StructType.fromDDL(pipeline.STORED)).select(
         "alert_id", "status", "ts", F.lit("stored").alias("kind")
     )
-    dead = store.output("dead_letters", T.StructType.fromDDL("raw string, error string"))
+    dead = written.output("dead_letters", T.StructType.fromDDL("raw string, error string"))
     none = F.lit(None)
     return stored.unionByName(
         dead.select(
@@ -254,7 +254,7 @@ def message_stream(spark, folder):
 
 @query(
     "s5_archive_raw",
-    """SELECT concat('t', user_id % 3) AS tenant_id, CAST(ts AS DATE) AS day, count(*) AS n,
+    """SELECT concat('t', user_id % 3) AS tenant_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n,
   min(props) AS first_raw FROM events GROUP BY ALL""",
 )
 def archive_raw(spark, folder):
@@ -263,11 +263,63 @@ def archive_raw(spark, folder):
     envelope.archive_raw(raw, path)
     return (
         spark.read.parquet(path)
-        .groupBy("tenant_id", "day")
+        .groupBy("tenant_id", F.col("day").cast("string").alias("day"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("raw").alias("first_raw"))
     )
 
 
+@query(
+    "s6_upsert_snapshot",
+    f"""WITH {ALERTS} SELECT tenant_id, fingerprint, arg_max(alert_id, (ts, alert_id)) AS alert_id,
+  max(ts) AS ts, arg_max(CASE severity WHEN 'low' THEN 1 WHEN 'info' THEN 2 WHEN 'warning' THEN 3
+    WHEN 'high' THEN 4 ELSE 5 END, (ts, alert_id)) AS severity FROM alerts GROUP BY ALL""",
+)
+def upsert_snapshot(spark, folder):
+    """The newest row per key as an index holds it, kept up by a stream."""
+    path = new_folder(spark)
+    rows = envelope.index_rows(alert_stream(spark, folder)).select(
+        "tenant_id", "fingerprint", "alert_id", "ts", "severity"
+    )
+
+    def each(batch, batch_id):
+        store.upsert_snapshot(
+            Store(batch.sparkSession, path),
+            "index",
+            batch,
+            ["tenant_id", "fingerprint"],
+            ["ts", "alert_id"],
+            batch_id,
+        )
+
+    (
+        rows.writeStream.foreachBatch(each)
+        .option("checkpointLocation", f"{path}/_checkpoint")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return Store(spark, path).snapshot("index", rows.schema)
+
+
+@query(
+    "st6_repeated_batch_counts_once",
+    f"""WITH {ALERTS},
+before AS (SELECT *, lag(content_hash) {KEY_WINDOW} AS b FROM alerts)
+SELECT tenant_id, count(*) AS n, count(DISTINCT alert_id) AS n_distinct FROM before
+WHERE b IS NULL OR b <> content_hash GROUP BY tenant_id""",
+)
+def repeated_batch(spark, folder):
+    """A batch that runs again after a failure replaces what it wrote."""
+    target = Store(spark, new_folder(spark))
+    alerts = tables.alerts(spark, folder)
+    for _ in range(2):
+        pipeline.process_batch(alerts, target, pipeline.Config(), 0)
+    stored = target.output("alerts", T.StructType.fromDDL(pipeline.STORED))
+    return stored.groupBy("tenant_id").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("alert_id").alias("n_distinct")
+    )
+
+
 HALF = "2024-01-16 00:00:00"
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from alertweave.sources.envelope import latest_wins
+
 
 class Store:
     """Tables below one folder of a shared file system.
@@ -58,6 +60,15 @@ class Store:
         return self.spark.read.schema(schema).parquet(*paths)
 
 
+def upsert_snapshot(
+    store: Store, name: str, batch: DataFrame, keys: list[str], order: list[str], batch_id: int
+) -> None:
+    """Newest row per key of the snapshot before this batch and the batch, as a new
+    version; an older row never replaces a newer one."""
+    old = store.snapshot(name, batch.schema, before=batch_id)
+    store.replace(name, latest_wins(old, batch, keys, order).select(*batch.columns), batch_id)
+
+
 def merge_latest(batch: DataFrame, table: str, keys: list[str], order: str) -> None:
     """Upsert into a table of a format with MERGE support; an older row changes nothing."""
     from pyspark.sql import functions as F

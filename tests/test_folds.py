@@ -294,6 +294,22 @@ def test_throttle(alerts, chunk):
     assert {r.id for r in out.collect()} == want
 
 
+def test_chunk_fits_the_largest_burst(alerts):
+    rows, df = alerts
+
+    def largest(width):
+        counts = defaultdict(int)
+        for r in rows:
+            counts[r[1], int((r[3] - START).total_seconds() // width)] += 1
+        return max(counts.values())
+
+    for limit in (3, 40, 10**6):
+        width = scan.fitting_chunk(df, max_rows=limit)
+        wider = [w for w in scan.CHUNK_WIDTHS if w > width]
+        assert largest(width) <= limit or width == min(scan.CHUNK_WIDTHS)
+        assert all(largest(w) > limit for w in wider)
+
+
 def test_running_number(spark):
     rows = [("t", START + dt.timedelta(seconds=i // 3), i) for i in range(500)]
     df = spark.createDataFrame(rows, "tenant_id string, creation_time timestamp, incident_id long")
