@@ -31,7 +31,8 @@ ranked AS (
 
 LINE_ALERTS = """
 line_alerts AS (
-  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS alert_id,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+      CAST(l_quantity AS BIGINT), strftime(l_shipdate, '%Y%m%d')) AS alert_id,
     concat('t', l_orderkey % 3) AS tenant_id,
     concat('part-', l_partkey) AS fingerprint,
     CASE WHEN l_linestatus = 'F' THEN 'resolved' WHEN l_returnflag = 'A'

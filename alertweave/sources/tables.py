@@ -78,7 +78,13 @@ def line_alerts(spark: SparkSession, folder: str) -> DataFrame:
     rank = F.least(F.lit(5), F.floor(F.col("l_quantity") / 10) + 1).cast("int")
     return line.select(
         F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
+            "-",
+            "l_orderkey",
+            "l_linenumber",
+            "l_partkey",
+            "l_suppkey",
+            F.col("l_quantity").cast("long"),
+            F.date_format("l_shipdate", "yyyyMMdd"),
         ).alias("alert_id"),
         F.concat(F.lit("t"), F.col("l_orderkey") % 3).alias("tenant_id"),
         F.concat(F.lit("part-"), "l_partkey").alias("fingerprint"),
