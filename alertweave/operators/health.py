@@ -56,12 +56,10 @@ def field_catalog(alerts: DataFrame, payload: str = "event") -> DataFrame:
     """Every field of the payloads per tenant: top-level names, and ``outer.inner`` for
     objects; with the provider that sent it last."""
     spark = alerts.sparkSession
-    narrow = alerts.select(
-        "tenant_id", "ts", "provider_type", "provider_id", F.try_parse_json(F.col(payload)).alias("_v")
-    )
+    own = ["tenant_id", "ts", "provider_type", "provider_id"]
+    narrow = alerts.select(*own, F.try_parse_json(F.col(payload)).alias("_v"))
     top = narrow.lateralJoin(spark.tvf.variant_explode(F.col("_v").outer())).select(
-        "tenant_id", "ts", "provider_type", "provider_id",
-        F.col("key").alias("outer_key"), F.col("value").alias("_inner"),
+        *own, F.col("key").alias("outer_key"), F.col("value").alias("_inner")
     )
     is_object = F.schema_of_variant("_inner").startswith("OBJECT")
     plain = top.filter(~is_object).withColumn("field", F.col("outer_key"))

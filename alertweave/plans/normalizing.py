@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from alertweave.functions import paths, scalars
 from alertweave.operators import normalize
 from alertweave.plans.registry import query
-from alertweave.plans.sql import ALERTS, ENRICHMENTS, LATEST_LINE
+from alertweave.plans.sql import ALERTS, LATEST_LINE
 from alertweave.sources import envelope, tables
 
 

@@ -130,9 +130,19 @@ def pipeline_stored_alerts(spark, folder):
     )
 
 
+# the sessions of the alerts that are no full duplicates
+FRESH_SESSIONS = SESSIONS.replace(
+    "FROM ranked)",
+    """FROM (SELECT * EXCLUDE (b) FROM (SELECT *, lag(content_hash) OVER (PARTITION BY
+    tenant_id, fingerprint ORDER BY ts, alert_id) AS b FROM ranked)
+    WHERE b IS NULL OR b <> content_hash))""",
+    1,
+)
+
+
 @query(
     "st1_pipeline_incident_alerts",
-    f"""WITH {SESSIONS.replace("FROM ranked)", "FROM ranked WHERE alert_id IN (SELECT alert_id FROM (SELECT alert_id, content_hash, lag(content_hash) OVER (PARTITION BY tenant_id, fingerprint ORDER BY ts, alert_id) AS b FROM ranked) WHERE b IS NULL OR b <> content_hash))", 1)}
+    f"""WITH {FRESH_SESSIONS}
 SELECT alert_id, incident_id FROM sessions""",
 )
 def pipeline_incident_alerts(spark, folder):
