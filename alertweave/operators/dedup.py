@@ -175,6 +175,8 @@ def dedup_report(rules: DataFrame, counts: DataFrame) -> DataFrame:
     )
     # the empty state: one default rule that never saw an alert
     n_rules = rules.agg(F.count(F.lit(1))).scalar()
-    return report.filter((n_rules > 1) | (F.col("ingested") > 0)).orderBy(
+    kept = report.filter((n_rules > 1) | (F.col("ingested") > 0))
+    # one row per rule: a range sort would run the whole plan once more to sample it
+    return kept.repartition(1).sortWithinPartitions(
         F.col("is_default").desc(), "dedup_rule_id"
     )
