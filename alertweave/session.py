@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
@@ -53,12 +50,6 @@ def local_session(cpus: int = 8, name: str = "alertweave", **conf: str) -> Spark
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a private one only where none is set."""
+    """The shared folder the cluster names; where none is set, one in Spark's own warehouse."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="alertweave-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
