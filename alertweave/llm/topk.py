@@ -226,7 +226,8 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     kth = near.filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
     # distance squared = |q|^2 + bound - 2 * score; all blocks are in reach of too few results
     apart = square + F.lit(facts[0]) - 2 * F.col("kth")
-    radius = F.coalesce(F.sqrt(F.greatest(apart, F.lit(0.0))), F.lit(float("inf")))
+    reach = F.sqrt(F.greatest(apart, F.lit(0.0)))
+    radius = F.when(F.col("kth").isNull(), F.lit(float("inf"))).otherwise(reach)
     again = asked.join(kth, "query_id", "left").select("query_id", "v", radius.alias("radius"))
     rest = search(visits(again, blocks, pivots, width), blocks, k, width, groups)
     every_result = near.select("query_id", "vec_id", "score").unionByName(rest)
