@@ -7,9 +7,9 @@ rarest shingles, so documents meet by those; and where documents meet, partial o
 counted fragment by fragment and summed per pair. Only links that join what is not joined yet
 leave a task, so a group of n near copies gives n - 1 rows and not n * n.
 
-Copies with the same words are one node. A group that meets at a frequent shingle is cut into
-blocks of bounded size, and pairs of blocks are compared in separate tasks. Groups with the same
-members are compared once.
+Copies with the same words are one node. Nodes that meet the same least node are one group. A
+large group is cut into blocks of bounded size, and pairs of blocks are compared in separate
+tasks.
 
 Defined results: null, empty and blank texts have no shingles and stand alone; a text of one to
 four words is one shingle of its own kind; repeated rows and copies share a component; a null
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,60 +47,100 @@ FREQUENT_SHINGLES = 400_000
 BLOCK_SHINGLES = 1_000_000
 # cells of a matrix of documents and shingles
 MATRIX_CELLS = 4_000_000
-CACHE_WORDS = 400_000
+# first bits of a shingle that its frequency is counted by, after those of its fragment
+COUNT_BITS = 24
 
+# odd numbers that hashes are multiplied with
 ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     np.uint64,
 )
+# a random number for each byte, 0 for none
+LETTERS = np.random.default_rng(1).integers(1, 1 << 64, 256, np.uint64, endpoint=False)
+WHITE = np.zeros(256, bool)
+WHITE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def mixed(x: np.ndarray) -> np.ndarray:
+    for shift in (32, 29):
+        x = (x ^ (x >> np.uint64(shift))) * ODD[0]
+    return x ^ (x >> np.uint64(32))
+
 
+class Reader:
+    """Hashes the words, shingles and word sequences of many texts at once.
 
-def words_of(text: str | None) -> list[bytes]:
-    """A-Z lower-cased, cut at ASCII white space; other letters stay as they are."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+    A sum of letters times powers of an odd number, modulo 2**64, gives every word's hash as
+    the difference of two prefix sums, times an inverse power.
+    """
 
+    def __init__(self, seed: int) -> None:
+        rng = np.random.default_rng(seed)
+        self.base = int(rng.integers(1 << 62, 1 << 63)) * 2 + 1
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def grow(self, n: int) -> None:
+        if len(self.powers) <= n:
+            base, inverse = (np.uint64(x) for x in (self.base, pow(self.base, -1, 1 << 64)))
+            self.powers, self.inverses = (
+                np.multiply.accumulate(np.append(np.uint64(1), np.full(n, x))) for x in (base, inverse)
+            )
 
-def shingles(words: list[bytes], hashes: WordHashes) -> np.ndarray:
-    """Distinct shingles, ascending."""
-    if not words:
+    def sums(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of values[start:end] for each range, wherever it stands."""
+        self.grow(len(values))
+        prefix = np.append(np.uint64(0), np.cumsum(values * self.powers[: len(values)], dtype=np.uint64))
+        return (prefix[ends] - prefix[starts]) * self.inverses[starts]
+
+    def read(self, data: list[bytes]) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Node and ascending distinct shingles of each text; texts come with A-Z lower-cased."""
+        letters = np.frombuffer(b"\n".join(data) + b"\n", np.uint8)
+        inside = (~WHITE[letters]).view(np.int8)
+        change = np.diff(inside, prepend=np.int8(0))
+        starts, ends = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+        words = self.sums(LETTERS[letters], starts, ends)
+        words = mixed(words + (ends - starts).astype(np.uint64) * ODD[1])
+        stops = np.searchsorted(starts, np.cumsum([len(d) + 1 for d in data]))
+        begins = np.append(0, stops[:-1])
+        nodes = self.sums(words, begins, stops) + (stops - begins).astype(np.uint64) * ODD[2]
+        every = shingled(words, WORDS)
+        sets = []
+        for a, b in zip(begins.tolist(), stops.tolist(), strict=True):
+            if b - a >= WORDS:
+                own = np.sort(every[a : b - WORDS + 1])
+                sets.append(own[np.append(True, own[1:] != own[:-1])])
+            else:
+                sets.append(shingled(words[a:b], b - a))
+        return mixed(nodes).view(np.int64), sets
+
+
+def shingled(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every ``width`` words in a row."""
+    if not width or len(words) < width:
         return np.zeros(0, np.uint64)
-    each = np.array(list(map(hashes.__getitem__, words)), np.uint64)
-    width = min(WORDS, len(each))
-    n = len(each) - width + 1
-    mixed = np.full(n, width * 0x2545F4914F6CDD1D % (1 << 64), np.uint64)
+    n = len(words) - width + 1
+    out = np.full(n, width, np.uint64)
     for i in range(width):
-        mixed += (each[i : i + n] ^ (each[i : i + n] >> np.uint64(31))) * ODD[i]
-    for shift in (32, 29):
-        mixed = (mixed ^ (mixed >> np.uint64(shift))) * ODD[0]
-    return np.unique(mixed ^ (mixed >> np.uint64(32)))
+        out += words[i : i + n] * ODD[i]
+    return mixed(out)
 
 
-def node_of(words: list[bytes], seed: int) -> int:
-    value = xxhash.xxh3_64_intdigest(b" ".join(words), seed=seed)
-    return value - (1 << 64) if value >> 63 else value
+def lowered(text: str | None) -> bytes:
+    """A-Z lower-cased; other letters stay as they are."""
+    return (text or "").encode("utf-8", "surrogatepass").lower()
 
 
 def signatures(docs: DataFrame, text: str, seed: int) -> DataFrame:
-    """Node of every document, a second hash of its words, and the size of its set."""
+    """Node of every document, another hash of its words, and the size of its set."""
 
     def start():
-        hashes = WordHashes()
+        reader = Reader(seed)
 
         def work(texts):
-            split = [words_of(t) for t in texts]
-            return [
-                [node_of(w, seed) for w in split],
-                [node_of(w, seed + 1) for w in split],
-                [len(shingles(w, hashes)) for w in split],
-            ]
+            data = [lowered(t) for t in texts]
+            nodes, sets = reader.read(data)
+            other = [xxhash.xxh3_64_intdigest(b" ".join(d.split())) >> 1 for d in data]
+            return [nodes.tolist(), other, [len(s) for s in sets]]
 
         return work
 
@@ -107,42 +148,54 @@ def signatures(docs: DataFrame, text: str, seed: int) -> DataFrame:
     return append_columns(docs, text, ["doc_id"], fields, start)
 
 
-def text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[list[list[bytes]]]:
+def text_batches(batches: Iterator[pa.RecordBatch], reader: Reader):
+    """Nodes and sets of the texts that have words, group by group."""
     for batch in batches:
         for group in by_size(batch.column("__text").to_pylist()):
-            yield [w for w in map(words_of, group) if w]
+            nodes, sets = reader.read([lowered(t) for t in group])
+            yield [(node, own) for node, own in zip(nodes.tolist(), sets, strict=True) if len(own)]
+
+
+def packed(keys: np.ndarray) -> bytes:
+    """Ascending numbers as compressed differences, high and low bytes apart."""
+    steps = np.diff(keys, prepend=keys[:1] * 0).astype("<u4")
+    return zstandard.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(blob: bytes) -> np.ndarray:
+    data = np.frombuffer(zstandard.decompress(blob), np.uint8)
+    return np.cumsum(np.ascontiguousarray(data.reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
 
 
-def frequent_shingles(docs: DataFrame, text: str, total: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The most frequent shingles without their last bits, frequencies, bits that are left out."""
+def frequent_shingles(docs: DataFrame, text: str, total: int, seed: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The most frequent shingles without their last bits, frequencies, bits that are left out.
+
+    Each task sends every fragment its part of the order, each shingle with its count. Shingles
+    that agree in the bits that are counted share a count, which moves them in the order.
+    """
     bits = max(6, (max(1, total) // FRAGMENT_SHINGLES).bit_length())
-    high, low = np.uint64(64 - bits), np.uint64(32 - bits)
+    left = 64 - bits - COUNT_BITS
 
     def count(batches):
-        hashes = WordHashes()
         held: list[np.ndarray] = []
         size = 0
 
         def flush():
-            keys, times = np.unique(np.concatenate(held), return_counts=True)
-            edges = np.flatnonzero(np.diff(keys >> high)) + 1
-            fragments = [int(k[0] >> high) for k in np.split(keys, edges)]
-            packed = (keys >> low).astype(np.uint32)  # the bits that follow the fragment's
-            blobs, again, often = [], [], []
-            for part, n in zip(np.split(packed, edges), np.split(times, edges), strict=True):
-                blobs.append(part.tobytes())
-                again.append(part[n > 1].tobytes())
-                often.append((n[n > 1] - 1).astype(np.uint32).tobytes())
-            return pa.RecordBatch.from_pydict(
-                {"fragment": fragments, "keys": blobs, "again": again, "often": often},
-                pa.schema([("fragment", pa.int64()), ("keys", pa.binary()),
-                           ("again", pa.binary()), ("often", pa.binary())]),
-            )
-
-        for group in text_batches(batches):
-            for words in group:
-                held.append(shingles(words, hashes))
-                size += len(held[-1])
+            keys, times = np.unique(np.concatenate(held) >> np.uint64(left), return_counts=True)
+            fragment = (keys >> np.uint64(COUNT_BITS)).astype(np.int64)
+            edges = np.flatnonzero(np.diff(fragment)) + 1
+            inner = (keys & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64)
+            made: list[list] = [fragment[np.append(0, edges)].tolist(), [], [], []]
+            for part, n in zip(np.split(inner, edges), np.split(times, edges), strict=True):
+                made[1].append(packed(part))
+                made[2].append(packed(part[n > 1]))
+                made[3].append((n[n > 1] - 1).astype(np.uint32).tobytes())
+            arrays = [pa.array(c, t) for c, t in zip(made, (pa.int64(), *[pa.binary()] * 3), strict=True)]
+            return pa.RecordBatch.from_arrays(arrays, ["fragment", "keys", "again", "often"])
+
+        for group in text_batches(batches, Reader(seed)):
+            held += [own for _, own in group]
+            size += sum(len(own) for _, own in group)
             if size >= FRAGMENT_SHINGLES:
                 yield flush()
                 held, size = [], 0
@@ -150,16 +203,15 @@ def frequent_shingles(docs: DataFrame, text: str, total: int) -> tuple[np.ndarra
             yield flush()
 
     def merge(part: pa.Table) -> pa.Table:
-        fragment = part.column("fragment")[0].as_py()
-
         def column(name):
-            return np.frombuffer(b"".join(part.column(name).to_pylist()), np.uint32)
+            return np.concatenate([unpacked(b) for b in part.column(name).to_pylist()])
 
         keys, times = np.unique(column("keys"), return_counts=True)
-        times = times + np.bincount(np.searchsorted(keys, column("again")), column("often"), len(keys)).astype(np.int64)
+        more = np.frombuffer(b"".join(part.column("often").to_pylist()), np.uint32)
+        times = times + np.bincount(np.searchsorted(keys, column("again")), more, len(keys)).astype(np.int64)
         often = times >= FREQUENT
-        cut_keys = (fragment << 32) | keys[often].astype(np.int64)
-        return pa.table({"key": pa.array(cut_keys, pa.int64()), "times": pa.array(times[often], pa.int64())})
+        whole = (part.column("fragment")[0].as_py() << COUNT_BITS) | keys[often]
+        return pa.table({"key": pa.array(whole, pa.int64()), "times": pa.array(times[often], pa.int64())})
 
     texts = docs.select(F.col(text).alias("__text"))
     schema = "fragment long, keys binary, again binary, often binary"
@@ -167,7 +219,7 @@ def frequent_shingles(docs: DataFrame, text: str, total: int) -> tuple[np.ndarra
     rows = counted.orderBy(F.desc("times"), "key").limit(FREQUENT_SHINGLES).collect()
     keys = np.array([r.key for r in rows], np.uint64)
     order = np.argsort(keys)
-    return keys[order], np.array([r.times for r in rows], np.int64)[order], 32 - bits
+    return keys[order], np.array([r.times for r in rows], np.int64)[order], left
 
 
 def rarest(hashes: np.ndarray, frequent, shift: int) -> np.ndarray:
@@ -184,17 +236,16 @@ def rarest(hashes: np.ndarray, frequent, shift: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, text: str, seed: int, frequent, shift: int) -> DataFrame:
+    """``token``, ``node`` and ``n``, its set's size, for the rarest shingles of every set."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
-        hashes = WordHashes()
-        for group in text_batches(batches):
+        for group in text_batches(batches, Reader(seed)):
             tokens, nodes, sizes = [], [], []
-            for words in {node_of(w, seed): w for w in group}.values():
-                own = shingles(words, hashes)
+            for node, own in dict(group).items():
                 first = rarest(own, shared.value, shift)
                 tokens.append(first)
-                nodes.append(np.full(len(first), node_of(words, seed), np.int64))
+                nodes.append(np.full(len(first), node, np.int64))
                 sizes.append(np.full(len(first), len(own), np.int64))
             if tokens:
                 columns = [np.concatenate(tokens).view(np.int64), np.concatenate(nodes), np.concatenate(sizes)]
@@ -205,39 +256,45 @@ def prefixes(docs: DataFrame, text: str, seed: int, frequent, shift: int) -> Dat
 
 
 def meetings(rows: DataFrame) -> DataFrame:
-    """Rows of the shingles at which different nodes meet, one shingle for each set of nodes."""
-    by_token = rows.repartition("token")
-    prime = (1 << 31) - 1
-    tokens = (
-        by_token.groupBy("token")
-        .agg(
-            F.min("node").alias("first"),
-            F.max("node").alias("last"),
-            F.count("*").alias("rows"),
-            F.sum("n").alias("weight"),
-            # two sums that tell sets of nodes apart
-            F.sum(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(prime))).alias("sum_1"),
-            F.sum(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(prime))).alias("sum_2"),
-        )
-        .filter("first < last")
-    )
-    members = "first", "last", "rows", "weight", "sum_1", "sum_2"
-    chosen = tokens.groupBy(*members).agg(F.min("token").alias("token")).select(
-        "token", F.ceil(F.col("weight") / BLOCK_SHINGLES).alias("blocks")
-    )
-    return by_token.join(chosen, "token").select("token", "node", "blocks").distinct()
+    """``first``, ``node``, ``blocks``: nodes that share a rare shingle with a lesser node.
+
+    Rows are dealt and sorted by shingle and read as a stream, so that a shingle may have any
+    number of rows; the first row of each is its least node. Groups of several shingles with
+    the same least node are one.
+    """
+    ordered = rows.repartition("token").sortWithinPartitions("token", "node")
+
+    def run(batches):
+        token = first = size = None
+        for batch in batches:
+            tokens, nodes, sizes = (batch.column(c).to_numpy() for c in ("token", "node", "n"))
+            if not len(tokens):
+                continue
+            begins = np.append(tokens[0] != token if token is not None else True, tokens[1:] != tokens[:-1])
+            at = np.maximum.accumulate(np.where(begins, np.arange(len(tokens)), -1))
+            least = np.where(at >= 0, nodes[at], first if first is not None else 0)
+            weight = np.where(at >= 0, sizes[at], size if size is not None else 0)
+            differs = nodes != least
+            out = np.stack([least, nodes, sizes, least, least, weight])[:, differs].reshape(2, 3, -1)
+            made = np.unique(np.concatenate([out[0], out[1]], axis=1), axis=1)
+            token = tokens[-1]
+            if begins.any():
+                first, size = least[-1], weight[-1]
+            if made.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], ["first", "node", "n"])
+
+    met = cut(ordered.mapInArrow(run, "first long, node long, n long").distinct())
+    groups = met.groupBy("first").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    return met.join(groups, "first").select("first", "node", "blocks")
 
 
 def sets_of(docs: DataFrame, text: str, seed: int) -> DataFrame:
     def start():
-        hashes = WordHashes()
+        reader = Reader(seed)
 
         def work(texts):
-            split = [words_of(t) for t in texts]
-            return [
-                [node_of(w, seed) for w in split],
-                [shingles(w, hashes).tobytes() for w in split],
-            ]
+            nodes, sets = reader.read([lowered(t) for t in texts])
+            return [nodes.tolist(), [s.tobytes() for s in sets]]
 
         return work
 
@@ -303,25 +360,25 @@ def links(met: DataFrame, sets: DataFrame) -> DataFrame:
     placed = met.withColumn("block", block).join(sets, "node")
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     paired = placed.withColumn("partner", other).select(
-        "token",
+        "first",
         F.least("block", "partner").alias("i"),
         F.greatest("block", "partner").alias("j"),
         "block",
         "node",
         "hashes",
     )
-    keys = "token", "i", "j"
+    keys = "first", "i", "j"
 
     def run(batches):
         key, nodes, sides, found = None, [], [], {}
         for batch in batches:
             made = []
             rows = zip(*(batch.column(c).to_pylist() for c in (*keys, "block", "node", "hashes")), strict=True)
-            for token, i, j, side, node, hashes in rows:
-                if (token, i, j) != key:
+            for first, i, j, side, node, hashes in rows:
+                if (first, i, j) != key:
                     if len(nodes) > 1:
                         made += spanning_links(nodes, list(found.values()), sides)
-                    key, nodes, sides, found = (token, i, j), [], [], {}
+                    key, nodes, sides, found = (first, i, j), [], [], {}
                 if node not in found:
                     nodes.append(node)
                     sides.append(side)
@@ -381,11 +438,11 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
         classes = cut(classes)
         if classes.filter("x <> y").isEmpty():
             break
-        seed += 2
+        seed += 1
     classes = classes.select("node", "least_id")
     named = docs.filter("doc_id is not null")
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
-    *frequent, shift = frequent_shingles(named, "text", total)
+    *frequent, shift = frequent_shingles(named, "text", total, seed)
     met = cut(meetings(prefixes(named, "text", seed, frequent, shift)))
     holders = met.select("node").distinct().join(classes, "node")
     wanted = cut(holders.select(F.col("least_id").alias("doc_id")).distinct())
