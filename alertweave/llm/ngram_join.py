@@ -7,7 +7,8 @@ rarest shingles, so documents meet by those; and where documents meet, partial o
 counted fragment by fragment and summed per pair. Only links that join what is not joined yet
 leave a task, so a group of n near copies gives n - 1 rows and not n * n.
 
-Copies with the same words are one node. Nodes that meet the same least node are one group. A
+Copies with the same words are one node. Where few meet at a shingle, pairs that cannot link by
+their sizes and its places are left out. Nodes that meet the same least node are one group. A
 large group is cut into blocks of bounded size, and pairs of blocks are compared in separate
 tasks.
 
@@ -45,6 +46,9 @@ FREQUENT = 16
 FREQUENT_SHINGLES = 400_000
 # shingles of a block of documents that are compared in one task
 BLOCK_SHINGLES = 1_000_000
+PLACE_BITS = 31
+# rows of one shingle whose pairs are tested in memory; those of a more frequent one all meet
+HELD_ROWS = 4096
 # cells of a matrix of documents and shingles
 MATRIX_CELLS = 4_000_000
 # first bits of a shingle that its frequency is counted by, after those of its fragment
@@ -236,52 +240,120 @@ def rarest(hashes: np.ndarray, frequent, shift: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, text: str, seed: int, frequent, shift: int) -> DataFrame:
-    """``token``, ``node`` and ``n``, its set's size, for the rarest shingles of every set."""
+    """``token`` and ``node`` for the rarest shingles of every set.
+
+    ``place`` has the set's size and, in its low bits, the shingle's place in the set's order.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         for group in text_batches(batches, Reader(seed)):
-            tokens, nodes, sizes = [], [], []
+            tokens, nodes, places = [], [], []
             for node, own in dict(group).items():
                 first = rarest(own, shared.value, shift)
                 tokens.append(first)
                 nodes.append(np.full(len(first), node, np.int64))
-                sizes.append(np.full(len(first), len(own), np.int64))
+                places.append((len(own) << PLACE_BITS) + np.arange(len(first), dtype=np.int64))
             if tokens:
-                columns = [np.concatenate(tokens).view(np.int64), np.concatenate(nodes), np.concatenate(sizes)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "node", "n"])
+                columns = [np.concatenate(tokens).view(np.int64), np.concatenate(nodes), np.concatenate(places)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "node", "place"])
 
     texts = docs.select(F.col(text).alias("__text"))
-    return texts.mapInArrow(run, "token long, node long, n long")
+    return texts.mapInArrow(run, "token long, node long, place long")
+
+
+def can_link(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """If sets that share a shingle at these places, and no rarer one, can overlap enough."""
+    size_a, size_b = a >> PLACE_BITS, b >> PLACE_BITS
+    rest = np.minimum(size_a - (a & (1 << PLACE_BITS) - 1), size_b - (b & (1 << PLACE_BITS) - 1))
+    near = 100 * np.minimum(size_a, size_b) >= PERCENT * np.maximum(size_a, size_b)
+    return near & ((100 + PERCENT) * rest >= PERCENT * (size_a + size_b))
+
+
+def spanning(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs of a symmetric matrix that connect what all of its pairs connect."""
+    left = np.ones(len(linked), bool)
+    out = []
+    for first in range(len(linked)):
+        if not left[first]:
+            continue
+        left[first] = False
+        todo = [first]
+        while todo:
+            at = todo.pop()
+            found = np.flatnonzero(linked[at] & left).tolist()
+            left[found] = False
+            out += [(at, i) for i in found]
+            todo += found
+    return out
+
+
+def meetings_of(token: np.ndarray, place: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """Rows (first, node, n) of nodes that meet and can link; rows come sorted by shingle."""
+    new = np.append(True, (token[1:] != token[:-1]) | (node[1:] != node[:-1]) | (place[1:] != place[:-1]))
+    token, place, node = token[new], place[new], node[new]  # copies
+    starts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    counts = np.diff(np.append(starts, len(token)))
+    two = starts[counts == 2]
+    two = two[can_link(place[two], place[two + 1])]
+    least = np.minimum(node[two], node[two + 1])
+    first, at = [least, least], [two, two + 1]
+    for start, count in zip(starts[counts > 2].tolist(), counts[counts > 2].tolist(), strict=True):
+        own = place[start : start + count]
+        linked = can_link(own[:, None], own[None])
+        if linked.sum() <= count:  # each with itself
+            continue
+        np.fill_diagonal(linked, False)
+        group = np.arange(count)
+        pairs = spanning(linked)
+        for a, b in pairs:  # in order of discovery, so a has its group already
+            group[b] = group[a]
+        met = np.unique(np.array(pairs))
+        names = node[start : start + count]
+        least = np.full(count, np.iinfo(np.int64).max)
+        np.minimum.at(least, group, names)
+        first.append(least[group[met]])
+        at.append(start + met)
+    at = np.concatenate(at)
+    return np.unique(np.stack([np.concatenate(first), node[at], place[at] >> PLACE_BITS]), axis=1)
 
 
 def meetings(rows: DataFrame) -> DataFrame:
-    """``first``, ``node``, ``blocks``: nodes that share a rare shingle with a lesser node.
+    """``first``, ``node``, ``blocks``: groups of nodes that share a rare shingle and can link.
 
-    Rows are dealt and sorted by shingle and read as a stream, so that a shingle may have any
-    number of rows; the first row of each is its least node. Groups of several shingles with
-    the same least node are one.
+    Rows are dealt and sorted by shingle and read as a stream. The pairs of a shingle are tested
+    by size and place; a shingle of more than ``HELD_ROWS`` rows is passed on row by row, all
+    as one group. Groups of several shingles with the same first node are one.
     """
-    ordered = rows.repartition("token").sortWithinPartitions("token", "node")
+    ordered = rows.repartition("token").sortWithinPartitions("token", "place", "node")
 
     def run(batches):
-        token = first = size = None
+        held = [np.zeros(0, np.int64)] * 3
+        passing = None
         for batch in batches:
-            tokens, nodes, sizes = (batch.column(c).to_numpy() for c in ("token", "node", "n"))
-            if not len(tokens):
+            more = [batch.column(c).to_numpy() for c in ("token", "place", "node")]
+            if passing is not None:
+                n = int(np.searchsorted(more[0], passing[0], side="right"))
+                if n:
+                    yield made(np.stack([np.full(n, passing[1]), more[2][:n], more[1][:n] >> PLACE_BITS]))
+                more = [c[n:] for c in more]
+            if not len(more[0]):
                 continue
-            begins = np.append(tokens[0] != token if token is not None else True, tokens[1:] != tokens[:-1])
-            at = np.maximum.accumulate(np.where(begins, np.arange(len(tokens)), -1))
-            least = np.where(at >= 0, nodes[at], first if first is not None else 0)
-            weight = np.where(at >= 0, sizes[at], size if size is not None else 0)
-            differs = nodes != least
-            out = np.stack([least, nodes, sizes, least, least, weight])[:, differs].reshape(2, 3, -1)
-            made = np.unique(np.concatenate([out[0], out[1]], axis=1), axis=1)
-            token = tokens[-1]
-            if begins.any():
-                first, size = least[-1], weight[-1]
-            if made.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], ["first", "node", "n"])
+            passing = None
+            held = [np.concatenate(c) for c in zip(held, more, strict=True)]
+            last = int(np.searchsorted(held[0], held[0][-1]))
+            if last:
+                yield made(meetings_of(*(c[:last] for c in held)))
+            held = [c[last:] for c in held]
+            if len(held[0]) > HELD_ROWS:
+                passing = held[0][0], held[2][0]
+                yield made(np.stack([np.full(len(held[0]), passing[1]), held[2], held[1] >> PLACE_BITS]))
+                held = [np.zeros(0, np.int64)] * 3
+        if len(held[0]):
+            yield made(meetings_of(*held))
+
+    def made(columns):
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["first", "node", "n"])
 
     met = cut(ordered.mapInArrow(run, "first long, node long, n long").distinct())
     groups = met.groupBy("first").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
@@ -338,20 +410,8 @@ def spanning_links(nodes: list[int], sets: list[np.ndarray], sides: list[int]) -
     side = np.array(sides)
     if len(set(sides)) == 2:
         linked &= side[:, None] != side[None]
-    left = np.ones(len(nodes), bool)
-    out = []
-    for first in range(len(nodes)):
-        if not left[first]:
-            continue
-        left[first] = False
-        todo = [first]
-        while todo:
-            at = todo.pop()
-            found = np.flatnonzero(linked[at] & left)
-            left[found] = False
-            out += [(nodes[at], nodes[i]) for i in found]
-            todo += found.tolist()
-    return out
+    np.fill_diagonal(linked, False)
+    return [(nodes[a], nodes[b]) for a, b in spanning(linked)]
 
 
 def links(met: DataFrame, sets: DataFrame) -> DataFrame:
