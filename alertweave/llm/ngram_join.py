@@ -8,7 +8,7 @@ counted fragment by fragment and summed per pair. Only links that join what is n
 leave a task, so a group of n near copies gives n - 1 rows and not n * n.
 
 Copies with the same words are one node. Where few meet at a shingle, pairs that cannot link by
-their sizes and its places are left out. Nodes that meet the same least node are one group. A
+their sizes and its places are left out. Nodes that meet are one group, in chains. A
 large group is cut into blocks of bounded size, and pairs of blocks are compared in separate
 tasks.
 
@@ -301,9 +301,9 @@ def meetings_of(token: np.ndarray, place: np.ndarray, node: np.ndarray) -> np.nd
     for start, count in zip(starts[counts > 2].tolist(), counts[counts > 2].tolist(), strict=True):
         own = place[start : start + count]
         linked = can_link(own[:, None], own[None])
-        if linked.sum() <= count:  # each with itself
-            continue
         np.fill_diagonal(linked, False)
+        if not linked.any():
+            continue
         group = np.arange(count)
         pairs = spanning(linked)
         for a, b in pairs:  # in order of discovery, so a has its group already
@@ -319,11 +319,11 @@ def meetings_of(token: np.ndarray, place: np.ndarray, node: np.ndarray) -> np.nd
 
 
 def meetings(rows: DataFrame) -> DataFrame:
-    """``first``, ``node``, ``blocks``: groups of nodes that share a rare shingle and can link.
+    """``node``, ``root``, ``blocks``: groups of nodes that share rare shingles and can link.
 
     Rows are dealt and sorted by shingle and read as a stream. The pairs of a shingle are tested
     by size and place; a shingle of more than ``HELD_ROWS`` rows is passed on row by row, all
-    as one group. Groups of several shingles with the same first node are one.
+    as one group. Groups with a common node are one, so that each set is sent once.
     """
     ordered = rows.repartition("token").sortWithinPartitions("token", "place", "node")
 
@@ -356,11 +356,13 @@ def meetings(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["first", "node", "n"])
 
     met = cut(ordered.mapInArrow(run, "first long, node long, n long").distinct())
-    groups = met.groupBy("first").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    return met.join(groups, "first").select("first", "node", "blocks")
+    roots = components(met.select(F.col("first").alias("a"), F.col("node").alias("b")))
+    placed = cut(roots.join(met.select("node", "n").distinct(), "node"))
+    groups = placed.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    return placed.join(groups, "root").select("node", "root", "blocks")
 
 
-def sets_of(docs: DataFrame, text: str, seed: int) -> DataFrame:
+def sets_of(docs: DataFrame, text: str, seed: int, keep: list[str]) -> DataFrame:
     def start():
         reader = Reader(seed)
 
@@ -370,7 +372,7 @@ def sets_of(docs: DataFrame, text: str, seed: int) -> DataFrame:
 
         return work
 
-    return append_columns(docs, text, [], "node long, hashes binary", start)
+    return append_columns(docs, text, keep, "node long, hashes binary", start)
 
 
 def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
@@ -414,31 +416,31 @@ def spanning_links(nodes: list[int], sets: list[np.ndarray], sides: list[int]) -
     return [(nodes[a], nodes[b]) for a, b in spanning(linked)]
 
 
-def links(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between nodes that meet: block by block, each pair of blocks in one task."""
+def links(sets: DataFrame) -> DataFrame:
+    """Links within each group, block by block, each pair of blocks in one task."""
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
-    placed = met.withColumn("block", block).join(sets, "node")
+    placed = sets.withColumn("block", block)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     paired = placed.withColumn("partner", other).select(
-        "first",
+        "root",
         F.least("block", "partner").alias("i"),
         F.greatest("block", "partner").alias("j"),
         "block",
         "node",
         "hashes",
     )
-    keys = "first", "i", "j"
+    keys = "root", "i", "j"
 
     def run(batches):
         key, nodes, sides, found = None, [], [], {}
         for batch in batches:
             made = []
             rows = zip(*(batch.column(c).to_pylist() for c in (*keys, "block", "node", "hashes")), strict=True)
-            for first, i, j, side, node, hashes in rows:
-                if (first, i, j) != key:
+            for root, i, j, side, node, hashes in rows:
+                if (root, i, j) != key:
                     if len(nodes) > 1:
                         made += spanning_links(nodes, list(found.values()), sides)
-                    key, nodes, sides, found = (first, i, j), [], [], {}
+                    key, nodes, sides, found = (root, i, j), [], [], {}
                 if node not in found:
                     nodes.append(node)
                     sides.append(side)
@@ -504,10 +506,11 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     *frequent, shift = frequent_shingles(named, "text", total, seed)
     met = cut(meetings(prefixes(named, "text", seed, frequent, shift)))
-    holders = met.select("node").distinct().join(classes, "node")
-    wanted = cut(holders.select(F.col("least_id").alias("doc_id")).distinct())
-    sets = sets_of(keyed_join(named, wanted, "doc_id", "left_semi"), "text", seed)
-    roots = components(links(met, sets))
+    holders = met.withColumnRenamed("node", "held").join(classes.withColumnRenamed("node", "held"), "held")
+    wanted = cut(holders.select(F.col("least_id").alias("doc_id"), "held", "root", "blocks"))
+    sets = sets_of(keyed_join(named, wanted, "doc_id", "inner"), "text", seed, ["held", "root", "blocks"])
+    # another text with the same id is not the one that is wanted
+    roots = components(links(sets.filter("node = held")))
     linked = roots.join(classes, "node")
     linked = linked.join(linked.groupBy("root").agg(F.min("least_id").alias("component")), "root")
     linked = linked.select("node", "component")
