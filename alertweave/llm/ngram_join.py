@@ -8,9 +8,10 @@ counted fragment by fragment and summed per pair. Only links that join what is n
 leave a task, so a group of n near copies gives n - 1 rows and not n * n.
 
 Copies with the same words are one node. Where few meet at a shingle, pairs that cannot link by
-their sizes and its places are left out. Nodes that meet are one group, in chains. A
-large group is cut into blocks of bounded size, and pairs of blocks are compared in separate
-tasks.
+their sizes and its places are left out. Groups that meet are first compared on one fragment of
+the order: its partial overlap and the sizes of the rest bound the whole, which leaves few pairs.
+Only for these the other fragments are sent. A large group is cut into blocks of bounded size,
+and pairs of blocks are compared in separate tasks.
 
 Defined results: null, empty and blank texts have no shingles and stand alone; a text of one to
 four words is one shingle of its own kind; repeated rows and copies share a component; a null
@@ -44,6 +45,8 @@ FRAGMENT_SHINGLES = 2_000_000
 # the bound keeps the broadcast small and moves only work, never results
 FREQUENT = 16
 FREQUENT_SHINGLES = 400_000
+# the first fragment holds the hashes whose first bits are 0, this many
+FRAGMENT_BITS = 2
 # shingles of a block of documents that are compared in one task
 BLOCK_SHINGLES = 1_000_000
 PLACE_BITS = 31
@@ -319,11 +322,11 @@ def meetings_of(token: np.ndarray, place: np.ndarray, node: np.ndarray) -> np.nd
 
 
 def meetings(rows: DataFrame) -> DataFrame:
-    """``node``, ``root``, ``blocks``: groups of nodes that share rare shingles and can link.
+    """Groups of nodes that share a rare shingle and can link, as ``grouped`` returns them.
 
     Rows are dealt and sorted by shingle and read as a stream. The pairs of a shingle are tested
     by size and place; a shingle of more than ``HELD_ROWS`` rows is passed on row by row, all
-    as one group. Groups with a common node are one, so that each set is sent once.
+    as one group. Groups of several shingles with the same first node are one.
     """
     ordered = rows.repartition("token").sortWithinPartitions("token", "place", "node")
 
@@ -356,23 +359,41 @@ def meetings(rows: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["first", "node", "n"])
 
     met = cut(ordered.mapInArrow(run, "first long, node long, n long").distinct())
-    roots = components(met.select(F.col("first").alias("a"), F.col("node").alias("b")))
-    placed = cut(roots.join(met.select("node", "n").distinct(), "node"))
-    groups = placed.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
-    return placed.join(groups, "root").select("node", "root", "blocks")
+    return grouped(met.withColumnRenamed("first", "root"))
 
 
-def sets_of(docs: DataFrame, text: str, seed: int, keep: list[str]) -> DataFrame:
+def grouped(rows: DataFrame) -> DataFrame:
+    """``root``, ``node`` with the number of ``blocks`` that the group of a root is cut into."""
+    sizes = rows.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    return rows.join(sizes, "root").select("root", "node", "n", "blocks")
+
+
+def sets_of(docs: DataFrame, groups: DataFrame, classes: DataFrame, seed: int, part: bool) -> DataFrame:
+    """``hashes`` of every node of the groups, or the first fragment of them, group by group.
+
+    The text with the least id of a node is read for it; it is hashed once for all its groups,
+    which are fewer than it has shingles.
+    """
+    each = F.collect_list(F.struct("root", "blocks")).alias("groups")
+    held = groups.groupBy("node").agg(each).join(classes, "node")
+    wanted = cut(held.select(F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "groups"))
+
     def start():
         reader = Reader(seed)
 
         def work(texts):
             nodes, sets = reader.read([lowered(t) for t in texts])
-            return [nodes.tolist(), [s.tobytes() for s in sets]]
+            sent = [s[: np.searchsorted(s, 1 << 64 - FRAGMENT_BITS)] for s in sets] if part else sets
+            return [nodes.tolist(), [len(s) for s in sets], [s.tobytes() for s in sent]]
 
         return work
 
-    return append_columns(docs, text, keep, "node long, hashes binary", start)
+    texts = keyed_join(docs, wanted, "doc_id", "inner")
+    read = append_columns(texts, "text", ["held", "groups"], "node long, n long, hashes binary", start)
+    # another text with the same id is not the one that is wanted
+    group = F.explode("groups").alias("group")
+    read = read.filter("node = held").select("node", "n", "hashes", group)
+    return read.select("group.root", "group.blocks", "node", "n", "hashes")
 
 
 def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
@@ -398,16 +419,18 @@ def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def spanning_links(nodes: list[int], sets: list[np.ndarray], sides: list[int]) -> list[tuple[int, int]]:
-    """Links that connect what all links of the group connect.
+def linked_pairs(nodes: list[int], sets: list[np.ndarray], sizes: list[int], sides: list[int]):
+    """Pairs that connect what all pairs connect whose overlap is, or still can be, large enough.
 
-    ``sides`` tells two blocks apart; if both occur, only links between them are looked for.
+    Where ``sets`` are fragments, the rest of both sets may overlap as far as sizes allow.
+    ``sides`` tells two blocks apart; if both occur, only pairs between them are looked for.
     """
-    size = np.array([len(s) for s in sets], np.float32)
+    size = np.array(sizes, np.float64)
+    rest = size - [len(s) for s in sets]
     if len(nodes) == 2:
-        both = np.intersect1d(*sets, assume_unique=True).size
+        both = np.intersect1d(*sets, assume_unique=True).size + rest.min()
         return [(nodes[0], nodes[1])] if 100 * both >= PERCENT * (size.sum() - both) else []
-    both = overlap_matrix(sets)
+    both = overlap_matrix(sets) + np.minimum(rest[:, None], rest[None])
     linked = 100 * both >= PERCENT * (size[:, None] + size[None] - both)
     side = np.array(sides)
     if len(set(sides)) == 2:
@@ -416,45 +439,38 @@ def spanning_links(nodes: list[int], sets: list[np.ndarray], sides: list[int]) -
     return [(nodes[a], nodes[b]) for a, b in spanning(linked)]
 
 
-def links(sets: DataFrame) -> DataFrame:
-    """Links within each group, block by block, each pair of blocks in one task."""
+def pairs_of(sets: DataFrame) -> DataFrame:
+    """``linked_pairs`` of each group, block by block, each pair of blocks in one task."""
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
-    placed = sets.withColumn("block", block)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    paired = placed.withColumn("partner", other).select(
-        "root",
-        F.least("block", "partner").alias("i"),
-        F.greatest("block", "partner").alias("j"),
-        "block",
-        "node",
-        "hashes",
-    )
-    keys = "root", "i", "j"
+    partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    placed = sets.withColumn("block", block).withColumn("partner", partner)
+    low, high = F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j")
+    placed = placed.select("root", low, high, "block", "node", "n", "hashes")
+    keys = ["root", "i", "j"]
 
     def run(batches):
-        key, nodes, sides, found = None, [], [], {}
+        key, held = None, {}
         for batch in batches:
             made = []
-            rows = zip(*(batch.column(c).to_pylist() for c in (*keys, "block", "node", "hashes")), strict=True)
-            for root, i, j, side, node, hashes in rows:
+            columns = [batch.column(c).to_pylist() for c in (*keys, "node", "n", "block", "hashes")]
+            for root, i, j, node, n, side, hashes in zip(*columns, strict=True):
                 if (root, i, j) != key:
-                    if len(nodes) > 1:
-                        made += spanning_links(nodes, list(found.values()), sides)
-                    key, nodes, sides, found = (root, i, j), [], [], {}
-                if node not in found:
-                    nodes.append(node)
-                    sides.append(side)
-                    found[node] = np.frombuffer(hashes, np.uint64)
+                    made += pairs(held)
+                    key, held = (root, i, j), {}
+                held[node] = np.frombuffer(hashes, np.uint64), n, side
             if made:
                 yield edges(made)
-        if len(nodes) > 1 and (made := spanning_links(nodes, list(found.values()), sides)):
+        if made := pairs(held):
             yield edges(made)
 
+    def pairs(held):
+        return linked_pairs(list(held), *zip(*held.values(), strict=True)) if len(held) > 1 else []
+
     def edges(made):
-        columns = [pa.array([e[k] for e in made], pa.int64()) for k in (0, 1)]
+        columns = [pa.array(c, pa.int64()) for c in zip(*made, strict=True)]
         return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
-    return paired.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
 def components(found: DataFrame) -> DataFrame:
@@ -505,12 +521,10 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     named = docs.filter("doc_id is not null")
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     *frequent, shift = frequent_shingles(named, "text", total, seed)
-    met = cut(meetings(prefixes(named, "text", seed, frequent, shift)))
-    holders = met.withColumnRenamed("node", "held").join(classes.withColumnRenamed("node", "held"), "held")
-    wanted = cut(holders.select(F.col("least_id").alias("doc_id"), "held", "root", "blocks"))
-    sets = sets_of(keyed_join(named, wanted, "doc_id", "inner"), "text", seed, ["held", "root", "blocks"])
-    # another text with the same id is not the one that is wanted
-    roots = components(links(sets.filter("node = held")))
+    met = meetings(prefixes(named, "text", seed, frequent, shift))
+    near = components(pairs_of(sets_of(named, met, classes, seed, part=True)))
+    near = grouped(near.join(met.select("node", "n").distinct(), "node"))
+    roots = components(pairs_of(sets_of(named, near, classes, seed, part=False)))
     linked = roots.join(classes, "node")
     linked = linked.join(linked.groupBy("root").agg(F.min("least_id").alias("component")), "root")
     linked = linked.select("node", "component")
