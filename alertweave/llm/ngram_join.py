@@ -398,7 +398,10 @@ def sets_of(docs: DataFrame, groups: DataFrame, classes: DataFrame, seed: int, p
 
 def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
     """Overlap of every two sets: partial overlaps by fragment of the order, summed."""
+    total = np.zeros((len(sets), len(sets)), np.float32)
     values = np.concatenate(sets)
+    if not len(values):
+        return total
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
@@ -407,7 +410,6 @@ def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
     shared = np.bincount(column)[column] > 1
     owner = owner[shared]
     column = np.cumsum(new[shared]) - 1  # a shared shingle's first row is shared too
-    total = np.zeros((len(sets), len(sets)), np.float32)
     if not len(column):
         return total
     width = max(64, MATRIX_CELLS // len(sets))

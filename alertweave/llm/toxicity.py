@@ -153,9 +153,11 @@ def toxic_words(docs: list[tuple[list[str], int]]) -> set[str]:
     """Words of toxic documents one of whose forms is far likelier there."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
     total = [0, 0]
-    for words, label in docs:
+    for words, label in sorted(docs, key=lambda d: -d[1]):
         total[label] += 1
-        seen[label].update({f for w in set(words) - STOPS for f in forms(w) if f[0] != "e"})
+        found = {f for w in set(words) - STOPS for f in forms(w) if f[0] != "e"}
+        # forms that no toxic document has are of no interest
+        seen[label].update(found if label else found & seen[1].keys())
     strong = {
         f
         for f, n in seen[1].items()
@@ -171,7 +173,8 @@ def toxic_words(docs: list[tuple[list[str], int]]) -> set[str]:
 def fit(docs: list[tuple[str, int]], seed: int = 7) -> Field:
     """Weights from the documents; the calibration from a quarter that they leave out."""
     rng = np.random.default_rng(seed)
-    split = [(TOKEN.findall(text.lower()), label) for text, label in docs]
+    pool: dict[str, str] = {}  # one object for each word
+    split = [([pool.setdefault(w, w) for w in TOKEN.findall(text.lower())], y) for text, y in docs]
     side = rng.random(len(split)) < 0.75
     learn = [d for d, s in zip(split, side, strict=True) if s]
     check = [d for d, s in zip(split, side, strict=True) if not s]
