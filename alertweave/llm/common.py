@@ -16,7 +16,7 @@ from alertweave.session import configure
 BATCH_ROWS = 1000
 BATCH_BYTES = 32 << 20
 # characters that Python works on at once, unless one text is longer
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 1 << 20
 # rows that a broadcast may hold (ids, not texts); beyond it the join is shuffled
 BROADCAST_ROWS = 1_000_000
 
