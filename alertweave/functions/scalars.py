@@ -104,9 +104,11 @@ def effective_deleted(last_received: Column, deleted_at: Column) -> Column:
 
 
 def default_fingerprint(given: Column, name: Column, payload: Column) -> Column:
-    """The given value cut at 255 characters, else a hash of the name, else of the payload."""
+    """The given value, hashed if it is longer than the bound, else a hash of the name, else
+    of the payload."""
     source = F.when(F.length(name) > 0, name).otherwise(payload)
-    return F.when(given.isNotNull(), F.substring(given, 1, FINGERPRINT_MAX)).otherwise(
+    kept = F.when(F.length(given) > FINGERPRINT_MAX, F.sha2(given, 256)).otherwise(given)
+    return F.when(given.isNotNull(), kept).otherwise(
         F.sha2(source, 256)
     )
 

@@ -282,24 +282,24 @@ def gate_all_history(sessions: DataFrame, rules: list[CorrelationRule]) -> DataF
     newest = sessions.groupBy("incident_id", "rule_id", "tenant_id", "fingerprint").agg(
         F.max_by(F.struct("status", "matched"), F.struct("ts", "alert_id")).alias("_n")
     )
-    bits = F.aggregate(
-        "_n.matched",
-        F.lit(0).cast("long"),
-        lambda acc_, sub_: acc_.bitwiseOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), sub_)
-        ),
+    # a row per matched sub-rule, so that a rule may have any number of them
+    matched = newest.select(
+        "incident_id",
+        "rule_id",
+        F.col("_n.status").alias("_status"),
+        F.explode_outer("_n.matched").alias("_sub"),
     )
-    grouped = newest.groupBy("incident_id", "rule_id").agg(
-        F.bit_or(bits).alias("_bits"),
-        F.bool_and(F.col("_n.status") == "firing").alias("all_firing"),
+    grouped = matched.groupBy("incident_id", "rule_id").agg(
+        F.count_distinct("_sub").alias("_subs"),
+        F.bool_and(F.col("_status") == "firing").alias("all_firing"),
     )
-    every = rule_value(rules, lambda r: (1 << len(r.predicates)) - 1, "long")
+    every = rule_value(rules, lambda r: len(r.predicates), "long")
     wants = rule_value(rules, lambda r: r.create_on == ALL, "boolean")
     return grouped.filter(wants).select(
         "incident_id",
         "all_firing",
-        (F.col("_bits") == every).alias("all_matched"),
-        ((F.col("_bits") == every) & F.col("all_firing")).alias("conditions_met"),
+        (F.col("_subs") == every).alias("all_matched"),
+        ((F.col("_subs") == every) & F.col("all_firing")).alias("conditions_met"),
     )
 
 

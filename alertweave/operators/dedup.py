@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from alertweave.operators.scan import CHUNK_SECONDS, lag_struct, run_scans, running_sum
 
 # fixed values
-NO_PROVIDER = "keep"
+NO_PROVIDER = "unknown"
 DEFAULT_IGNORE = "lastReceived"
 HOURS = 24
 

@@ -252,7 +252,9 @@ def classify_change(enrichments: Column, email: Column, api_key: Column) -> tupl
     status = F.try_element_at(enrichments, F.lit("status"))
     ticket = F.try_element_at(enrichments, F.lit("ticket_url"))
     note = F.nullif(F.try_element_at(enrichments, F.lit(NOTE)), F.lit(""))
-    has_status = F.map_contains_key(enrichments, F.lit("status"))
+    # a status set with an empty key is nobody's change: the other keys describe it
+    nobody = F.coalesce(F.length(api_key) == 0, F.lit(False))
+    has_status = F.map_contains_key(enrichments, F.lit("status")) & ~nobody
     has_ticket = F.map_contains_key(enrichments, F.lit("ticket_url"))
     by_api = F.coalesce(F.length(api_key) > 0, F.lit(False))
     resolves = F.coalesce(status == "resolved", F.lit(False))

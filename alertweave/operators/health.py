@@ -40,14 +40,15 @@ def close_pairs(alerts: DataFrame, gap_seconds: int = 3600) -> DataFrame:
 def spammy_alerts(
     alerts: DataFrame, gap_seconds: int = 3600, min_pairs: int = 3
 ) -> DataFrame:
-    """Hourly histogram of the alerts of keys with at least ``min_pairs`` close pairs."""
+    """Hourly histogram per tenant of the alerts of keys with at least ``min_pairs`` close
+    pairs."""
     noisy = close_pairs(alerts, gap_seconds).filter(F.col("pairs") >= min_pairs)
     hourly = alerts.groupBy(*ALERT_KEY, F.date_trunc("hour", "ts").alias("hour")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return (
         hourly.join(noisy, list(ALERT_KEY), "left_semi")
-        .groupBy("hour")
+        .groupBy("tenant_id", "hour")
         .agg(F.sum("n").alias("n"))
     )
 

@@ -15,7 +15,7 @@ BodyParser = Callable[[Column], Column]
 
 # fixed values
 QUEUE_TEXT = "alert-from-event-queue"
-DEFAULT_SOURCE = "keep"
+DEFAULT_SOURCE = "unknown"
 DEFAULT_NAME = "unknown alert name"
 
 

@@ -44,6 +44,8 @@ class Scan:
     carry: Callable[[WindowSpec, WindowSpec], list[Cols]]
     final: Cols
     carried: tuple[str, ...] = field(default=())
+    # the windows that it is given run from the last row to the first
+    backwards: bool = False
 
 
 def chunk_of(ts: str, seconds: float) -> Column:
@@ -99,12 +101,21 @@ def run_scans(
         summary.update(scan.summary)
         final.update(scan.final)
         carried.extend(scan.carried)
-    rows, local = _apply_steps(rows, [scan.local(w, run) for scan in scans])
+    back = Window.partitionBy(*keys, CHUNK).orderBy(*[F.desc(c) for c in order])
+    back_run = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = [scan.local(back, back_run) if scan.backwards else scan.local(w, run) for scan in scans]
+    rows, local = _apply_steps(rows, steps)
 
     chunks = rows.groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in summary.items()])
     cw = Window.partitionBy(*keys).orderBy(CHUNK)
     prior = cw.rowsBetween(Window.unboundedPreceding, -1)
-    chunks, _ = _apply_steps(chunks, [scan.carry(cw, prior) for scan in scans])
+    back = Window.partitionBy(*keys).orderBy(F.desc(CHUNK))
+    back_prior = back.rowsBetween(Window.unboundedPreceding, -1)
+    steps = [
+        scan.carry(back, back_prior) if scan.backwards else scan.carry(cw, prior)
+        for scan in scans
+    ]
+    chunks, _ = _apply_steps(chunks, steps)
 
     right = chunks.select(
         *[F.col(k).alias(f"_r_{k}") for k in keys],
@@ -277,14 +288,16 @@ def following_first(
     """Nearest non-null ``value`` strictly after each row."""
     p = f"_{name}"
 
+    # read backwards, what follows a row is a running frame before it
     def after(w: WindowSpec) -> WindowSpec:
-        return w.rowsBetween(1, Window.unboundedFollowing)
+        return w.rowsBetween(Window.unboundedPreceding, -1)
 
     return Scan(
-        local=lambda w, run: [{f"{p}_l": F.first(value, ignorenulls=True).over(after(w))}],
+        backwards=True,
+        local=lambda w, run: [{f"{p}_l": F.last(value, ignorenulls=True).over(after(w))}],
         summary={f"{p}_t": F.min_by(value, F.when(value.isNotNull(), _order(order)))},
         carry=lambda w, prior: [
-            {f"{p}_c": F.first(f"{p}_t", ignorenulls=True).over(after(w))}
+            {f"{p}_c": F.last(f"{p}_t", ignorenulls=True).over(after(w))}
         ],
         final={name: F.coalesce(F.col(f"{p}_l"), F.col(f"{p}_c"))},
         carried=(f"{p}_c",),

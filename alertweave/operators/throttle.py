@@ -76,22 +76,36 @@ def sorted_groups(
         yield owner, whole()
 
 
+# the column that stands for the keys
+KEY_TEXT = "_throttle_key"
+
+
 def throttle(
     events: DataFrame,
     keys: list[str],
     interval_seconds: int = INTERVAL_SECONDS,
     chunk_seconds: int = CHUNK_SECONDS,
 ) -> DataFrame:
-    """Events (keys, ts, id) that pass the throttle; no key column may be null.
+    """Events (keys, ts, id) that pass the throttle; null is a key value like any other.
 
     Which event passes depends on all before it, so the rows of a key are cut into time
     chunks: each chunk is reduced to the few pairs (first passed, last passed) it can have,
     the pairs of a key are walked in order to find the time each chunk starts from, and
     the chunks are then evaluated side by side. Events at one instant are one.
     """
-    interval, span = interval_seconds * MICROS, chunk_seconds * MICROS
     if chunk_seconds < interval_seconds:
         raise ValueError("a chunk must be at least as long as the interval")
+    # one text that is never null stands for the keys
+    owner = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias(KEY_TEXT)
+    named = events.select(owner, "ts", "id")
+    found = _throttle(named, [KEY_TEXT], interval_seconds * MICROS, chunk_seconds)
+    kinds = T.StructType([events.schema[k] for k in keys])
+    back = found.withColumn(KEY_TEXT, F.from_json(KEY_TEXT, kinds))
+    return back.select(*[F.col(f"{KEY_TEXT}.{k}").alias(k) for k in keys], "ts", "id")
+
+
+def _throttle(events: DataFrame, keys: list[str], interval: int, chunk_seconds: int) -> DataFrame:
+    span = chunk_seconds * MICROS
     by_key = [events.schema[k] for k in keys]
     by_chunk = [*by_key, T.StructField("chunk", T.LongType())]
     group = [*keys, "chunk"]

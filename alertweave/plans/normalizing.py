@@ -246,7 +246,7 @@ def effective_deleted(spark, folder):
 
 @query(
     "n8_default_fingerprint",
-    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN substr(text, 1, 255)
+    """SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN CASE WHEN length(text) > 255 THEN sha256(text) ELSE text END
   WHEN doc_id % 3 = 1 THEN sha256(source) ELSE sha256(text) END AS fingerprint FROM documents""",
 )
 def default_fingerprint(spark, folder):
@@ -332,7 +332,7 @@ def dotted_paths(spark, folder):
 
 @query(
     "n14_prepare_alerts",
-    f"""WITH {ALERTS} SELECT alert_id, CASE WHEN alert_id % 2 = 0 THEN 'keep' ELSE 's' END
+    f"""WITH {ALERTS} SELECT alert_id, CASE WHEN alert_id % 2 = 0 THEN 'unknown' ELSE 's' END
     AS source, CASE WHEN alert_id % 3 = 0 THEN CAST(alert_id AS VARCHAR) ELSE name END AS name,
   'fixed' AS fingerprint, 'key-1' AS api_key_ref FROM alerts""",
 )
@@ -504,7 +504,7 @@ def latest_wins_snapshot(spark, folder):
 @query(
     "s7_search_snapshot",
     f"""WITH {LATEST_LINE} SELECT tenant_id, fingerprint, alert_id, severity_rank FROM latest_line
-WHERE severity_rank >= 4 AND status = 'firing' ORDER BY ts DESC, fingerprint, tenant_id LIMIT 1000""",
+WHERE severity_rank >= 4 AND status = 'firing'""",
 )
 def search_snapshot(spark, folder):
     rows = tables.line_alerts(spark, folder).select(

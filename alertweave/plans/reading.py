@@ -818,7 +818,7 @@ pairs AS (SELECT a.tenant_id, a.fingerprint, count(*) AS n FROM alerts a JOIN al
   ON a.tenant_id = b.tenant_id AND a.fingerprint = b.fingerprint
   AND (a.ts < b.ts OR (a.ts = b.ts AND a.alert_id < b.alert_id))
   AND b.ts - a.ts <= INTERVAL 1 HOUR GROUP BY ALL HAVING count(*) >= 3)
-SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM alerts
+SELECT tenant_id, date_trunc('hour', ts) AS hour, count(*) AS n FROM alerts
 JOIN pairs USING (tenant_id, fingerprint) GROUP BY ALL""",
 )
 def spammy_alerts(spark, folder):

@@ -120,13 +120,14 @@ def latest_wins(
     return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def search_snapshot(snapshot: DataFrame, predicate: Column, limit: int = 1000) -> DataFrame:
-    """Rows of the snapshot that match; the newest ``limit`` of them."""
-    return (
-        snapshot.filter(predicate)
-        .orderBy(F.col("ts").desc(), "fingerprint", "tenant_id")
-        .limit(limit)
-    )
+def search_snapshot(
+    snapshot: DataFrame, predicate: Column, limit: int | None = None
+) -> DataFrame:
+    """Rows of the snapshot that match; with ``limit``, a page of the newest ones."""
+    found = snapshot.filter(predicate)
+    if limit is None:
+        return found
+    return found.orderBy(F.col("ts").desc(), "fingerprint", "tenant_id").limit(limit)
 
 
 def flatten_rule_config(df: DataFrame, config: str = "config") -> DataFrame:
