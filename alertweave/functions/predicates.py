@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import operator
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertweave.functions.scalars import SEVERITIES, severity_rank
@@ -211,10 +213,11 @@ def matched(predicate: Column | str | None) -> Column:
 
 
 def stored(df: DataFrame, predicate: Column | str | None) -> Column:
-    """A stored predicate for the rows of ``df``; one on a column they do not have matches
+    """A stored predicate for the rows of ``df``; one that cannot be analysed matches
     nothing."""
-    test = matched(predicate)
-    return test if not isinstance(predicate, str) or _resolves(df, [test]) else F.lit(False)
+    if isinstance(predicate, str) and _error(df, [predicate]) is not None:
+        return F.lit(False)
+    return matched(predicate)
 
 
 def select(df: DataFrame, predicate: Column | str | None) -> DataFrame:
@@ -226,12 +229,49 @@ def select(df: DataFrame, predicate: Column | str | None) -> DataFrame:
     return df.filter(test)
 
 
-def stored_all(df: DataFrame, predicates: list[str | None]) -> dict[str | None, Column]:
-    """``stored`` for many predicates; they are analysed together where all resolve."""
-    tests = {p: matched(p) for p in dict.fromkeys(predicates)}
-    if _resolves(df, list(tests.values())):
-        return tests
-    return {p: stored(df, p) for p in tests}
+def predicate_errors(df: DataFrame, predicates: list[str | None]) -> dict[str, str]:
+    """The stored predicates that cannot be analysed for the rows of ``df``, and why."""
+    found = {p: _error(df, [p]) for p in dict.fromkeys(predicates)}
+    return {p: error for p, error in found.items() if error is not None}
+
+
+def attach_tests(
+    df: DataFrame, predicates: list[str | None]
+) -> tuple[DataFrame, dict[str | None, Column]]:
+    """``df`` with one yes/no column per stored predicate, and these columns by predicate.
+
+    No predicate ends the job for the others. One that cannot be analysed (syntax, unknown
+    column or function, wrong arguments) matches nothing. Comparisons of mixed types are
+    analysed with casts that give null, so a text that is no number matches no number.
+    The columns are part of the returned frame: they keep these casts.
+    """
+    names = {p: f"_test_{i}" for i, p in enumerate(dict.fromkeys(predicates))}
+    if not names:
+        return df, {}
+    with _lenient_casts(df.sparkSession):
+        bad = predicate_errors(df, list(names)) if _error(df, list(names)) else {}
+        tests = {n: F.lit(False) if p in bad else matched(p) for p, n in names.items()}
+        return df.withColumns(tests), {p: F.col(n) for p, n in names.items()}
+
+
+def _error(df: DataFrame, predicates: list[str | None]) -> str | None:
+    try:
+        df.select(*[matched(p) for p in predicates])
+    except AnalysisException as error:
+        return str(error)
+    return None
+
+
+@contextmanager
+def _lenient_casts(spark: SparkSession) -> Iterator[None]:
+    """Expressions analysed inside cast without errors; the setting is put back after."""
+    name = "spark.sql.ansi.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _resolves(df: DataFrame, tests: list[Column]) -> bool:

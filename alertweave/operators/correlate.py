@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from alertweave.functions import paths
-from alertweave.functions.predicates import stored_all
+from alertweave.functions.predicates import attach_tests
 from alertweave.functions.scalars import literal_map
 from alertweave.operators.scan import (
     CHUNK_SECONDS,
@@ -65,9 +65,9 @@ def match_rules(alerts: DataFrame, rules: list[CorrelationRule]) -> DataFrame:
     """One row per alert and matching rule, with the numbers of the matched sub-rules.
 
     All predicates are compiled into one projection over one scan of the alerts. A
-    predicate on a missing field does not match.
+    predicate that fails, or on a missing field, does not match and leaves the others be.
     """
-    tests = stored_all(alerts, [p for r in active_rules(rules) for p in r.predicates])
+    rows, tests = attach_tests(alerts, [p for r in active_rules(rules) for p in r.predicates])
     hits = []
     for rule in active_rules(rules):
         subs = F.array_compact(
@@ -80,7 +80,7 @@ def match_rules(alerts: DataFrame, rules: list[CorrelationRule]) -> DataFrame:
             )
         )
     found = F.explode(F.array_compact(F.array(*hits))).alias("_hit")
-    return alerts.select("*", found).select(*alerts.columns, "_hit.rule_id", "_hit.matched")
+    return rows.select("*", found).select(*alerts.columns, "_hit.rule_id", "_hit.matched")
 
 
 def _group_value(df: DataFrame, path: str) -> Column:

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertweave.functions.predicates import stored_all
+from alertweave.functions.predicates import attach_tests
 from alertweave.operators import enrich
 
 MAINTENANCE = "maintenance"
 SUPPRESSED = "suppressed"
 RECOVER = "recover_previous_status"
-# windows that are written out as one expression; more of them are joined
-MAX_INLINE_WINDOWS = 200
-BUCKET_SECONDS = 86400
+# windows by predicate number and tenant
+WINDOW_TABLE = (
+    "map<string,array<struct<window_id:int,start:timestamp,end:timestamp,"
+    "ignored:array<string>>>>"
+)
 
 
 @dataclass(frozen=True)
@@ -31,134 +35,82 @@ class MaintenanceWindow:
     ignore_statuses: tuple[str, ...] = field(default=())
 
 
-def _window_test(
-    tests: dict[str | None, Column], window: MaintenanceWindow, open_start: bool
-) -> Column:
-    ts = F.col("ts")
-    start = F.lit(window.start).cast("timestamp")
-    after = ts > start if open_start else ts >= start
-    test = (
-        (F.col("tenant_id") == window.tenant_id)
-        & after
-        & (ts < F.lit(window.end).cast("timestamp"))
-        & tests[window.predicate]
-    )
-    if window.ignore_statuses and not open_start:
-        test = test & ~F.col("status").isin(*window.ignore_statuses)
-    return test
-
-
-def first_window(
+def _held_by(
     alerts: DataFrame,
     windows: list[MaintenanceWindow],
-    max_inline: int = MAX_INLINE_WINDOWS,
+    test: Callable[[Column], Column],
 ) -> DataFrame:
+    """Add ``_held``, the ids of the windows whose tenant, predicate and ``test`` hold.
+
+    The windows are one constant, so there is neither join nor shuffle, whatever their
+    number, and a row needs no id. An alert meets only the windows of its tenant whose
+    predicate it matches.
+    """
+    rows, tests = attach_tests(alerts, [w.predicate for w in windows])
+    numbers = {p: i for i, p in enumerate(tests)}
+    table: dict[str, list[dict]] = {}
+    for w in windows:
+        row = {
+            "window_id": w.window_id,
+            "start": w.start,
+            "end": w.end,
+            "ignored": list(w.ignore_statuses),
+        }
+        table.setdefault(f"{numbers[w.predicate]}/{w.tenant_id}", []).append(row)
+    windows_of = F.from_json(F.lit(json.dumps(table)), WINDOW_TABLE)
+    which = F.array_compact(
+        F.array(*[F.when(t, F.lit(str(i))) for i, t in enumerate(tests.values())])
+    )
+    lists = F.transform(
+        which,
+        lambda i: F.try_element_at(windows_of, F.concat(i, F.lit("/"), F.col("tenant_id"))),
+    )
+    met = F.filter(F.flatten(F.array_compact(lists)), test)
+    held = F.transform(met, lambda w: w["window_id"])
+    return rows.withColumn("_held", held).select(*alerts.columns, "_held")
+
+
+def first_window(alerts: DataFrame, windows: list[MaintenanceWindow]) -> DataFrame:
     """Add ``window_id``, the smallest id of an enabled window the alert falls into.
 
-    Up to ``max_inline`` windows become one expression: no join, no shuffle. More of them
-    are joined by (tenant, predicate, day), so no alert meets windows of other days.
+    An alert without a status has none that a window ignores.
     """
-    enabled = sorted((w for w in windows if w.enabled), key=lambda w: w.window_id)
+    enabled = [w for w in windows if w.enabled]
     if not enabled:
         return alerts.withColumn("window_id", F.lit(None).cast("int"))
-    if len(enabled) <= max_inline:
-        tests = stored_all(alerts, [w.predicate for w in enabled])
-        hits = [F.when(_window_test(tests, w, False), F.lit(w.window_id)) for w in enabled]
-        return alerts.withColumn("window_id", F.coalesce(*hits))
-    return _first_window_joined(alerts, enabled)
-
-
-def window_table(spark: SparkSession, windows: list[MaintenanceWindow]) -> DataFrame:
-    rows = [
-        (
-            w.window_id,
-            w.tenant_id,
-            w.name,
-            w.start,
-            w.end,
-            w.predicate,
-            w.suppress,
-            w.enabled,
-            list(w.ignore_statuses),
-        )
-        for w in windows
-    ]
-    table = spark.createDataFrame(
-        rows,
-        "window_id int, tenant_id string, name string, start string, end string, "
-        "predicate string, suppress boolean, enabled boolean, ignore_statuses array<string>",
-    )
-    return table.withColumns(
-        {c: F.to_timestamp(c) for c in ("start", "end")}
-    )
+    ts = F.col("ts")
 
+    def inside(w: Column) -> Column:
+        ignored = F.coalesce(F.array_contains(w["ignored"], F.col("status")), F.lit(False))
+        return (ts >= w["start"]) & (ts < w["end"]) & ~ignored
 
-def _first_window_joined(alerts: DataFrame, windows: list[MaintenanceWindow]) -> DataFrame:
-    predicates = sorted({w.predicate for w in windows})
-    tests = stored_all(alerts, predicates)
-    which = F.array_compact(
-        F.array(*[F.when(tests[p], F.lit(i)) for i, p in enumerate(predicates)])
-    )
-    number = F.array_position(F.array(*[F.lit(p) for p in predicates]), F.col("predicate"))
-
-    def day(c: Column) -> Column:
-        return F.floor(F.unix_seconds(c) / BUCKET_SECONDS)
-
-    table = (
-        window_table(alerts.sparkSession, windows)
-        .withColumn("_day", F.explode(F.sequence(day(F.col("start")), day(F.col("end")))))
-        .select(
-            "window_id",
-            F.col("tenant_id").alias("_t"),
-            "start",
-            "end",
-            "ignore_statuses",
-            (number - 1).cast("int").alias("_p"),
-            "_day",
-        )
-    )
-    candidates = alerts.select(
-        "tenant_id", "alert_id", "ts", "status", F.explode(which).alias("_q")
-    )
-    hits = (
-        candidates.join(
-            table,
-            (F.col("tenant_id") == F.col("_t"))
-            & (F.col("_q") == F.col("_p"))
-            & (day(F.col("ts")) == F.col("_day"))
-            & (F.col("ts") >= F.col("start"))
-            & (F.col("ts") < F.col("end"))
-            & ~F.array_contains("ignore_statuses", F.col("status")),
-        )
-        .groupBy("tenant_id", "alert_id")
-        .agg(F.min("window_id").alias("window_id"))
-    )
-    return alerts.join(hits, ["tenant_id", "alert_id"], "left")
+    held = _held_by(alerts, enabled, inside)
+    return held.withColumn("window_id", F.array_min("_held")).drop("_held")
 
 
-def _by_window(windows: list[MaintenanceWindow], value) -> Column:
-    pairs = [F.lit(x) for w in windows for x in (w.window_id, value(w))]
-    return F.try_element_at(F.create_map(*pairs), F.col("window_id"))
+def _by_window(windows: list[MaintenanceWindow], value, type_: str) -> Column:
+    values = json.dumps({str(w.window_id): value(w) for w in windows})
+    table = F.from_json(F.lit(values), f"map<string,{type_}>")
+    return F.try_element_at(table, F.col("window_id").cast("string"))
 
 
 def apply_maintenance(
     alerts: DataFrame,
     windows: list[MaintenanceWindow],
     strategy: str = "default",
-    max_inline: int = MAX_INLINE_WINDOWS,
 ) -> tuple[DataFrame, DataFrame]:
     """Kept alerts and audit rows of the silenced ones.
 
     A suppressing window keeps the alert as ``suppressed``, or under the recovery strategy
     as ``maintenance`` with its previous status; any other window drops it.
     """
-    marked = first_window(alerts, windows, max_inline)
+    marked = first_window(alerts, windows)
     ids = [w for w in windows if w.enabled]
     if not ids:
         empty = marked.filter(F.lit(False))
         audit = enrich.audit_rows(empty, F.lit(""), F.lit(""), F.lit(""))
         return marked.withColumn("previous_status", F.lit(None).cast("string")), audit
-    suppress = F.coalesce(_by_window(ids, lambda w: w.suppress), F.lit(False))
+    suppress = F.coalesce(_by_window(ids, lambda w: w.suppress, "boolean"), F.lit(False))
     hit = F.col("window_id").isNotNull()
     word = MAINTENANCE if strategy == RECOVER else SUPPRESSED
     before = F.when(suppress, F.col("status")) if strategy == RECOVER else F.lit(None)
@@ -168,7 +120,7 @@ def apply_maintenance(
             "status": F.when(suppress, F.lit(word)).otherwise(F.col("status")),
         }
     )
-    name = _by_window(ids, lambda w: w.name)
+    name = _by_window(ids, lambda w: w.name, "string")
     text = F.concat(
         F.when(suppress, F.lit("Alert suppressed due to maintenance rule `")).otherwise(
             F.lit("Alert in maintenance due to rule `")
@@ -188,17 +140,17 @@ def recover_maintenance(
     """Alerts in maintenance with ``maintenance_trace`` (windows that still hold them) and
     ``recovered``; a recovered one swaps its status with the previous one."""
     inside = alerts.filter(F.col("status") == MAINTENANCE)
-    tests = stored_all(inside, [w.predicate for w in windows])
-    held = [
-        F.when(
-            _window_test(tests, w, True) & (F.lit(w.end).cast("timestamp") > as_of),
-            F.lit(w.window_id),
-        )
-        for w in sorted(windows, key=lambda w: w.window_id)
-        if w.enabled
-    ]
-    trace = F.array_compact(F.array(*held)) if held else F.array().cast("array<int>")
-    traced = inside.withColumn("maintenance_trace", trace)
+    ts = F.col("ts")
+
+    def holds(w: Column) -> Column:
+        return (ts > w["start"]) & (ts < w["end"]) & (w["end"] > as_of)
+
+    enabled = [w for w in windows if w.enabled]
+    if enabled:
+        held = _held_by(inside, enabled, holds)
+        traced = held.withColumn("maintenance_trace", F.array_sort("_held")).drop("_held")
+    else:
+        traced = inside.withColumn("maintenance_trace", F.array().cast("array<int>"))
     free = F.size("maintenance_trace") == 0
     status, before = F.col("status"), F.col("previous_status")
     return traced.withColumn("recovered", free).withColumns(

@@ -294,12 +294,12 @@ def resolve_provider(events: DataFrame, providers: DataFrame) -> DataFrame:
 
 def preset_hits(alerts: DataFrame, presets: dict[str, str]) -> DataFrame:
     """How many alerts each saved filter selects, in one pass; an empty one selects all."""
-    tests = predicates.stored_all(alerts, list(presets.values()))
+    rows, tests = predicates.attach_tests(alerts, list(presets.values()))
     hits = F.array_compact(
         F.array(*[F.when(tests[p], F.lit(n)) for n, p in presets.items()])
     )
     return (
-        alerts.select("tenant_id", F.explode(hits).alias("preset"))
+        rows.select("tenant_id", F.explode(hits).alias("preset"))
         .groupBy("tenant_id", "preset")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -275,8 +275,12 @@ def first_window(spark, folder):
     f"WITH {MARKED} SELECT alert_id, window_id FROM marked",
 )
 def first_window_joined(spark, folder):
-    """The way beyond the inline bound: an equality join by tenant, predicate and day."""
-    out = maintenance.first_window(tables.alerts(spark, folder), WINDOWS, max_inline=0)
+    """Among many windows, which take the same way as few."""
+    later = [
+        MaintenanceWindow(100 + i, f"t{i % 3}", "later", "2030-01-01", "2031-01-01", "k >= 0")
+        for i in range(300)
+    ]
+    out = maintenance.first_window(tables.alerts(spark, folder), [*later, *WINDOWS])
     return out.select("alert_id", "window_id")
 
 

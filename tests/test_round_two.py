@@ -7,8 +7,9 @@ import time
 
 from pyspark.sql import functions as F
 
-from alertweave.functions import scalars
-from alertweave.operators import enrich, scan
+from alertweave.functions import predicates, scalars
+from alertweave.operators import correlate, enrich, maintenance, reads, scan
+from alertweave.operators.maintenance import MaintenanceWindow
 from alertweave.operators.throttle import throttle
 
 
@@ -48,3 +49,47 @@ def test_following_value_is_linear(spark):
     wrong = out.filter(~F.col("next").eqNullSafe(F.when(F.col("alert_id") < 39_999, later)))
     assert wrong.count() == 0
     assert time.perf_counter() - begin < 20
+
+
+def test_a_bad_predicate_leaves_the_others_be(spark):
+    df = spark.createDataFrame(
+        [("t", 1, "5", 5), ("t", 2, "abc", 6), ("t", 3, None, None)],
+        "tenant_id string, alert_id long, name string, k int",
+    )
+    bad = ["k = 'abc'", "nope = 1", "no_such_function(k)", "k ===", "year(array(k)) = 1"]
+    presets = {"good": "k >= 5", "mixed": "name > 3", "text": "k = '5'", "all": ""}
+    presets |= {f"bad{i}": p for i, p in enumerate(bad)}
+    hits = {r.preset: r.n for r in reads.preset_hits(df, presets).collect()}
+    assert hits == {"good": 2, "mixed": 1, "text": 1, "all": 3}
+    assert set(predicates.predicate_errors(df, list(presets.values()))) == set(bad[1:])
+    rules = [
+        correlate.CorrelationRule(name, "t", name, (p,), 60)
+        for name, p in {"bad": bad[0], "worse": bad[3], "fine": "k = 6"}.items()
+    ]
+    matched = correlate.match_rules(df, rules).collect()
+    assert [(r.rule_id, r.alert_id) for r in matched] == [("fine", 2)]
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+
+
+def test_windows_hold_alerts_without_status_or_id(spark):
+    at = datetime.datetime(2024, 1, 1, 12)
+    df = spark.createDataFrame(
+        [("t", None, at, None), ("t", 1, at, "resolved"), ("u", 2, at, "firing"), (None, 3, at, None)],
+        "tenant_id string, alert_id long, ts timestamp, status string",
+    )
+    day = ("2024-01-01", "2024-01-02 00:00:00")
+    few = [
+        MaintenanceWindow(7, "t", "o'clock", *day, None, suppress=True, ignore_statuses=("resolved",)),
+        MaintenanceWindow(8, "t", "bad", *day, "status ==="),
+    ]
+    later = [MaintenanceWindow(10 + i, "u", "x", "2031-01-01", "2032-01-01", f"alert_id > {i % 5}") for i in range(400)]
+    for windows in (few, few + later):
+        marked = maintenance.first_window(df, windows)
+        assert {(r.alert_id, r.tenant_id): r.window_id for r in marked.collect()} == {
+            (None, "t"): 7, (1, "t"): None, (2, "u"): None, (3, None): None
+        }
+        plan = marked._jdf.queryExecution().optimizedPlan().toString()
+        assert "from_json" not in plan.lower() and "jsontostructs" not in plan.lower()
+    kept, audit = maintenance.apply_maintenance(df.withColumn("fingerprint", F.lit("f")), few)
+    assert {r.status for r in kept.collect()} == {"suppressed", "resolved", "firing", None}
+    assert "o'clock" in audit.first().description
