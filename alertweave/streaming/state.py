@@ -7,7 +7,7 @@ split over its time chunks here too.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from alertweave.operators import correlate, sequence
@@ -26,8 +26,9 @@ KEY_STATE = (
     "unresolved_counter long, firing_start timestamp, firing_since_resolved timestamp"
 )
 SESSION_STATE = (
-    "tenant_id string, rule_id string, group_key string, last_ts timestamp, "
-    "session_no long, fired boolean"
+    "tenant_id string, rule_id string, group_key string, start_ts timestamp, "
+    "last_ts timestamp, session_no long, max_no long, "
+    "fired struct<ts:timestamp,alert_id:long>"
 )
 
 
@@ -132,47 +133,80 @@ def sessions_with_state(
 ) -> DataFrame:
     """All matched rows of a batch with their session number and ``opened``.
 
-    The batch's first session of a key goes on with the key's last one if their gap is
-    within the timeframe.
+    A session of the batch goes on with the key's open session if the gap between the two,
+    on either side, is within the timeframe; any other one gets the key's next number, in
+    order of time. So late rows widen the open session or stand for themselves: the state
+    holds no closed sessions, and late rows do not join two that were apart.
     """
     keys = correlate.INCIDENT_KEY
+    at = F.struct("ts", "alert_id")
     rows = correlate.session_rows(keyed, rules, chunk_seconds)
-    firsts = rows.groupBy(*keys).agg(
-        F.min("ts").alias("_from"), F.first("timeframe_s").alias("_limit")
-    )
-    met = _with_state(firsts, state, keys)
-    gap = F.unix_micros("_from") - F.unix_micros("p_last_ts")
-    goes_on = F.coalesce(gap <= F.col("_limit").cast("long") * 1_000_000, F.lit(False))
-    base = (
-        F.when(F.col("p_session_no").isNull(), F.lit(0))
-        .when(goes_on, F.col("p_session_no"))
-        .otherwise(F.col("p_session_no") + 1)
+    own = rows.groupBy(*keys, "session_no").agg(
+        F.min("ts").alias("_from"),
+        F.max("ts").alias("_to"),
+        F.first("timeframe_s").alias("_limit"),
+        F.min(F.when(F.col("opened"), at)).alias("_fire"),
     )
+    met = _with_state(own, state.withColumnRenamed("session_no", "open_no"), keys)
+
+    def near(later: str, earlier: str) -> Column:
+        gap = F.unix_micros(later) - F.unix_micros(earlier)
+        return F.coalesce(gap <= F.col("_limit").cast("long") * 1_000_000, F.lit(False))
+
+    met = met.withColumn("_goes_on", near("_from", "p_last_ts") & near("p_start_ts", "_to"))
+    whole = Window.partitionBy(*keys)
+    so_far = whole.orderBy("session_no").rowsBetween(Window.unboundedPreceding, 0)
+    new = F.sum((~F.col("_goes_on")).cast("int")).over(so_far)
+    fired = F.min(F.when(F.col("_goes_on"), F.col("_fire"))).over(whole)
     met = met.select(
         *keys,
-        base.alias("_base"),
-        (goes_on & F.coalesce("p_fired", F.lit(False))).alias("_fired"),
+        "session_no",
+        F.when(F.col("_goes_on"), F.col("p_open_no"))
+        .otherwise(F.coalesce("p_max_no", F.lit(-1)) + new)
+        .alias("_no"),
+        F.when(F.col("_goes_on"), F.least("p_fired", fired)).alias("_fired"),
     )
     return (
-        rows.join(met, list(keys))
+        rows.join(met, [*keys, "session_no"])
         .withColumns(
             {
-                "opened": F.col("opened") | (F.col("_fired") & (F.col("session_no") == 0)),
-                "session_no": F.col("session_no") + F.col("_base"),
+                "opened": F.col("opened") | F.coalesce(at >= F.col("_fired"), F.lit(False)),
+                "session_no": F.col("_no"),
             }
         )
-        .drop("_base", "_fired")
+        .drop("_no", "_fired")
     )
 
 
 def next_session_state(state: DataFrame, placed: DataFrame) -> DataFrame:
-    """Session state after a batch: the last session of each key and whether it fired."""
+    """Session state after a batch: the session of each key that reaches furthest, since
+    when it is open, and the largest number given. Late rows never take it back."""
     keys = correlate.INCIDENT_KEY
-    ended = placed.groupBy(*keys).agg(
-        F.max("ts").alias("last_ts"),
-        F.max("session_no").alias("session_no"),
-        # the last session has fired if any of its rows counts as opened
-        F.max_by("opened", F.struct("session_no", "ts", "alert_id")).alias("fired"),
+    rest = ("start_ts", "last_ts", "session_no", "fired")
+    seen = placed.select(
+        *keys,
+        "session_no",
+        F.col("session_no").alias("max_no"),
+        F.col("ts").alias("start_ts"),
+        F.col("ts").alias("last_ts"),
+        F.when(F.col("opened"), F.struct("ts", "alert_id")).alias("fired"),
+    )
+    sessions = (
+        state.unionByName(seen.select(*state.columns))
+        .groupBy(*keys, "session_no")
+        .agg(
+            F.min("start_ts").alias("start_ts"),
+            F.max("last_ts").alias("last_ts"),
+            F.max("max_no").alias("max_no"),
+            F.min("fired").alias("fired"),
+        )
+    )
+    return (
+        sessions.groupBy(*keys)
+        .agg(
+            F.max("max_no").alias("max_no"),
+            F.max_by(F.struct(*rest), F.struct("last_ts", "session_no")).alias("_s"),
+        )
+        .select(*keys, "max_no", *[F.col(f"_s.{c}").alias(c) for c in rest])
+        .select(*state.columns)
     )
-    untouched = state.join(ended, list(keys), "left_anti")
-    return untouched.unionByName(ended.select(*state.columns))

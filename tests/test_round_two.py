@@ -11,6 +11,7 @@ from alertweave.functions import predicates, scalars
 from alertweave.operators import correlate, enrich, maintenance, reads, scan
 from alertweave.operators.maintenance import MaintenanceWindow
 from alertweave.operators.throttle import throttle
+from alertweave.streaming import state as keyed_state
 
 
 def test_throttle_takes_null_keys(spark):
@@ -93,3 +94,26 @@ def test_windows_hold_alerts_without_status_or_id(spark):
     kept, audit = maintenance.apply_maintenance(df.withColumn("fingerprint", F.lit("f")), few)
     assert {r.status for r in kept.collect()} == {"suppressed", "resolved", "firing", None}
     assert "o'clock" in audit.first().description
+
+
+def test_late_rows_do_not_take_sessions_back(spark):
+    rules = [correlate.CorrelationRule("r", "t", "r", ("true",), 3600)]
+    state = spark.createDataFrame([], keyed_state.SESSION_STATE)
+    # minutes of a day, a batch per list: late but near, on time, far too late, on time, a new session
+    batches = [[(720, 1, "resolved")], [(660, 2, "firing")], [(750, 3, "resolved")],
+               [(-4000, 4, "firing")], [(790, 5, "resolved"), (700, 6, "resolved")], [(900, 7, "firing")]]
+    got = {}
+    for batch in batches:
+        rows = [
+            ("t", "r", "k", datetime.datetime(2024, 1, 9) + datetime.timedelta(minutes=m), i, s)
+            for m, i, s in batch
+        ]
+        keyed = spark.createDataFrame(
+            rows, "tenant_id string, rule_id string, group_key string, ts timestamp, alert_id long, status string"
+        )
+        placed = keyed_state.sessions_with_state(keyed, rules, state)
+        got |= {r.alert_id: (r.session_no, r.opened) for r in placed.collect()}
+        after = keyed_state.next_session_state(state, placed).collect()
+        state = spark.createDataFrame(after, keyed_state.SESSION_STATE)
+    assert got == {1: (0, False), 2: (0, True), 3: (0, True), 4: (1, True), 5: (0, True), 6: (0, True), 7: (2, True)}
+    assert [(r.session_no, r.max_no, r.last_ts.hour) for r in after] == [(2, 2, 15)]
