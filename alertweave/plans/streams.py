@@ -152,7 +152,23 @@ def pipeline_incident_alerts(spark, folder):
     return pipeline.incident_alerts(Store(spark, path)).select("alert_id", "incident_id")
 
 
-@query("w13_throttle")
+# the first event of a key passes, then each time the first one 15 minutes later or more;
+# an instant counts once, with its least id
+THROTTLED = f"""WITH RECURSIVE {ALERTS},
+instants AS (SELECT tenant_id, provider_type, ts, min(alert_id) AS id FROM alerts
+  GROUP BY ALL),
+steps AS (SELECT *, min(ts) OVER (PARTITION BY tenant_id, provider_type ORDER BY ts
+    RANGE BETWEEN INTERVAL 15 MINUTE FOLLOWING AND UNBOUNDED FOLLOWING) AS next_ts FROM instants),
+passed AS (
+  SELECT tenant_id, provider_type, min(ts) AS ts FROM instants GROUP BY ALL
+  UNION ALL
+  SELECT s.tenant_id, s.provider_type, s.next_ts FROM passed p
+  JOIN steps s USING (tenant_id, provider_type, ts) WHERE s.next_ts IS NOT NULL)
+SELECT tenant_id, provider_type, ts, id FROM passed JOIN instants
+  USING (tenant_id, provider_type, ts)"""
+
+
+@query("w13_throttle", THROTTLED)
 def throttle_batch(spark, folder):
     """At most one notification per tenant and provider in 15 minutes."""
     events = tables.alerts(spark, folder).select(
@@ -163,7 +179,7 @@ def throttle_batch(spark, folder):
     )
 
 
-@query("st8_throttle_stream")
+@query("st8_throttle_stream", THROTTLED)
 def throttle_stream(spark, folder):
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", windows.ROCKSDB)
     events = alert_stream(spark, folder).select(
