@@ -52,7 +52,8 @@ def automaton(items: list[tuple[str, str | None]], window: int) -> ahocorasick.A
     """Pattern of every window, with its number of words and the items that hold it."""
     patterns: dict[str, tuple[int, set[str]]] = {}
     for item, text in items:
-        found = normalised(text)[0].split()
+        # only a blank parts words: other white space beyond ASCII is a letter here
+        found = normalised(text)[0].split(" ")[1:-1]
         for i in range(max(1, len(found) - window + 1) if found else 0):
             part = found[i : i + window]
             patterns.setdefault(f" {' '.join(part)} ", (len(part), set()))[1].add(item)

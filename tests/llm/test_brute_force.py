@@ -271,8 +271,9 @@ def test_pipeline(spark):
 
 @pytest.mark.parametrize("blocks", [1, 300])
 def test_decontamination_in_several_automata(spark, blocks):
+    text = "One two three four five six seven eight nine ten eleven é twelve"
     docs = spark.createDataFrame(
-        [(1, "One two three four five six seven eight nine ten eleven é twelve", "x"), (2, None, "y"), (3, "!!", "z"),
+        [(1, text, "x"), (2, None, "y"), (3, "!!", "z"),
          (4, "a b", "n_words")],
         "doc_id long, text string, n_hit string",
     )
@@ -283,6 +284,17 @@ def test_decontamination_in_several_automata(spark, blocks):
     got = decontaminate.find_leaks(docs, items, keep=["doc_id", "n_hit"], block_bytes=1 << 20 if blocks == 1 else 8)
     rows = {r.doc_id: r for r in got.collect()}
     assert (rows[1].n_words, rows[1].n_hit, rows[1].item_ids) == (13, 11, ["5", "null"])
-    assert [(s.start, s.end) for s in rows[1].spans] == [(4, 56), (59, 65)]
+    hit = [text[s.start : s.end] for s in rows[1].spans]
+    assert hit == ["two three four five six seven eight nine ten eleven", "twelve"]
     assert (rows[2].n_words, rows[2].n_hit, rows[3].n_words) == (0, 0, 0)
     assert (rows[4].n_hit, rows[4].item_ids) == (2, ["6"])
+
+
+def test_decontamination_knows_only_the_contract_s_separators(spark):
+    """White space beyond ASCII is part of a word, in items as in documents."""
+    docs = spark.createDataFrame(
+        [(1, "x a\u00a0b c y"), (2, "a b c"), (3, "\u3000 d\u2028e"), (4, "d e")], "doc_id long, text string"
+    )
+    items = spark.createDataFrame([(1, "A\u00a0B, c"), (2, "\u3000\nD\u2028E")], "item_id long, text string")
+    rows = {r.doc_id: (r.n_words, r.n_hit, r.item_ids) for r in decontaminate.find_leaks(docs, items).collect()}
+    assert rows == {1: (4, 2, ["1"]), 2: (3, 0, []), 3: (2, 2, ["2"]), 4: (2, 0, [])}
