@@ -7,7 +7,8 @@ visits the annuli whose triangle-inequality bound is least, takes the distance o
 result as radius, and then visits exactly those others whose bound is within it.
 
 Pivots come from a bounded sample (``SAMPLE_VECTORS``); every vector is indexed, and the result
-is exact. Only one row per block (bounds, no vectors) is sent to the driver and broadcast.
+is exact. The driver sees one row per annulus (bounds and number of blocks, no vectors), at most
+``PIVOTS`` * ``RINGS`` whatever the data.
 
 Defined results: vectors that are null or hold a null or non-finite component take no part;
 shorter vectors count as if filled up with zeros; rows without an id take no part; a query's
@@ -18,11 +19,12 @@ Scores are exact as long as they and all partial sums are below 2**53.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from alertweave.operators.lineage import cut
@@ -31,10 +33,15 @@ SAMPLE_VECTORS = 4096
 PIVOTS = 24
 # annuli of a pivot cover its sample's distances in so many steps
 ANNULI = 6
+# annuli of a pivot in all; the last one holds whatever is farther out
+RINGS = 2 * ANNULI
 # vectors of a block, and queries that visit a block in one task
 BLOCK_VECTORS = 4096
 BLOCK_QUERIES = 4096
-# blocks that every query visits first
+# queries that are scored at once, and visits that are handed on at once
+SCORED_QUERIES = 512
+HANDED_VISITS = 4096
+# annuli of which every query visits one block first
 FIRST_BLOCKS = 2
 # distances carry rounding errors; bounds are widened by this share
 SLACK = 1e-9
@@ -99,68 +106,85 @@ class Pivots:
         return at, every[np.arange(len(rows)), at]
 
 
-def index(vectors: DataFrame, pivots: Pivots, width: int) -> DataFrame:
-    """Blocks: vectors of one annulus of one pivot, at most about ``BLOCK_VECTORS`` together."""
+def index(vectors: DataFrame, pivots: Pivots, width: int) -> tuple[DataFrame, list[Row]]:
+    """Blocks of at most about ``BLOCK_VECTORS`` vectors of one annulus, and a row per annulus."""
     shared = vectors.sparkSession.sparkContext.broadcast(pivots)
 
     def key(batches):
         for batch in batches:
             at, distance = shared.value.nearest(matrix(batch.column("v"), width))
-            ring = np.floor(distance / shared.value.width[at]).astype(np.int64)
+            ring = np.minimum(distance // shared.value.width[at], RINGS - 1).astype(np.int64)
             made = [batch.column("vec_id"), batch.column("v"), pa.array(at.astype(np.int64)),
                     pa.array(ring), pa.array(distance)]
             yield pa.RecordBatch.from_arrays(made, ["vec_id", "v", "pivot", "ring", "distance"])
 
     schema = "vec_id long, v array<double>, pivot long, ring long, distance double"
     keyed = cut(vectors.mapInArrow(key, schema))
-    cells = keyed.groupBy("pivot", "ring").agg(
-        F.ceil(F.count("*") / BLOCK_VECTORS).alias("parts")
-    )  # a row per annulus
-    part = F.pmod(F.xxhash64("vec_id", "v"), F.col("parts"))
-    placed = keyed.join(cells, ["pivot", "ring"]).withColumn("part", part)
-    blocks = placed.groupBy("pivot", "ring", "part").agg(
-        F.min("distance").alias("near"),
-        F.max("distance").alias("far"),
-        F.collect_list(F.struct("vec_id", "v")).alias("rows"),
+    annuli = cut(
+        keyed.groupBy("pivot", "ring").agg(
+            F.min("distance").alias("near"),
+            F.max("distance").alias("far"),
+            F.ceil(F.count("*") / BLOCK_VECTORS).alias("parts"),
+        )
+    )
+    part = F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).alias("part")
+    # at most PIVOTS * RINGS rows
+    parts = F.broadcast(annuli.select("pivot", "ring", "parts"))
+    placed = keyed.join(parts, ["pivot", "ring"]).select("pivot", "ring", part, "vec_id", "v")
+    # by all three keys, as an annulus may hold any share of the vectors
+    blocks = placed.repartition("pivot", "ring", "part").groupBy("pivot", "ring", "part").agg(
+        F.collect_list(F.struct("vec_id", "v")).alias("rows")
     )
     name = F.concat_ws(".", "pivot", "ring", "part").alias("block")
-    return cut(blocks.select(name, "pivot", "near", "far", F.col("rows.vec_id").alias("ids"), F.col("rows.v").alias("vs")))
+    blocks = cut(blocks.select(name, F.col("rows.vec_id").alias("ids"), F.col("rows.v").alias("vs")))
+    return blocks, annuli.orderBy("pivot", "ring").collect()
 
 
-def visits(queries: DataFrame, blocks: DataFrame, pivots: Pivots, width: int) -> DataFrame:
+def visits(queries: DataFrame, annuli: list[Row], pivots: Pivots, width: int) -> DataFrame:
     """Query, block pairs to visit: without a radius the first blocks, else all others in reach.
 
     ``queries`` has ``radius``, null before the first visit.
     """
-    rows = blocks.select("block", "pivot", "near", "far").orderBy("block").collect()
-    names = np.array([r.block for r in rows], object)
-    bounds = [np.array([getattr(r, c) for r in rows]) for c in ("pivot", "near", "far")]
-    shared = queries.sparkSession.sparkContext.broadcast((pivots, names, bounds))
+    bounds = {c: np.array([r[c] for r in annuli]) for c in ("pivot", "ring", "near", "far", "parts")}
+    shared = queries.sparkSession.sparkContext.broadcast((pivots, bounds))
+
+    def chosen(query: int, to: np.ndarray, radius: float, slack: float) -> Iterator[str]:
+        _, bounds = shared.value
+        least = np.maximum(np.maximum(to - bounds["far"], bounds["near"] - to), 0)
+        first = np.lexsort((np.abs(to - bounds["near"]), least))[:FIRST_BLOCKS]
+        # which block of an annulus comes first is dealt by query
+        seen = {int(i): query % int(bounds["parts"][i]) for i in first}
+        if np.isnan(radius):
+            yield from (f"{bounds['pivot'][i]}.{bounds['ring'][i]}.{part}" for i, part in seen.items())
+            return
+        for i in np.flatnonzero(least <= radius + slack).tolist():
+            for part in range(bounds["parts"][i]):
+                if seen.get(i) != part:
+                    yield f"{bounds['pivot'][i]}.{bounds['ring'][i]}.{part}"
 
     def choose(batches):
-        pivots, names, (pivot, near, far) = shared.value
-        slack = SLACK * (1 + np.sqrt(pivots.bound))
+        pivots, bounds = shared.value
+        slack = 1000 * SLACK * (1 + np.sqrt(pivots.bound))
+        made: list[list] = [[], [], []]
         for batch in batches:
             vectors = matrix(batch.column("v"), width)
             away = pivots.distances(vectors, query=True)
             radius = batch.column("radius").to_numpy(zero_copy_only=False)
-            made: list[list] = [[], [], []]
-            for i, distance in enumerate(away):
-                to = distance[pivot]
-                least = np.maximum(np.maximum(to - far, near - to), 0)
-                first = np.lexsort((np.abs(to - near), least))[:FIRST_BLOCKS]
-                if np.isnan(radius[i]):
-                    chosen = first
-                else:
-                    reach = least <= radius[i] + slack * 1000
-                    reach[first] = False
-                    chosen = np.flatnonzero(reach)
-                made[0] += [batch.column("query_id")[i].as_py()] * len(chosen)
-                made[1] += names[chosen].tolist()
-                made[2] += [vectors[i]] * len(chosen)
-            kinds = pa.int64(), pa.string(), pa.list_(pa.float64())
-            arrays = [pa.array(c, t) for c, t in zip(made, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["query_id", "block", "q"])
+            for i, query in enumerate(batch.column("query_id").to_pylist()):
+                for block in chosen(query, away[i][bounds["pivot"]], radius[i], slack):
+                    made[0].append(query)
+                    made[1].append(block)
+                    made[2].append(vectors[i])
+                    if len(made[0]) == HANDED_VISITS:
+                        yield handed(made)
+                        made = [[], [], []]
+        if made[0]:
+            yield handed(made)
+
+    def handed(made):
+        kinds = pa.int64(), pa.string(), pa.list_(pa.float64())
+        arrays = [pa.array(c, t) for c, t in zip(made, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["query_id", "block", "q"])
 
     return queries.mapInArrow(choose, "query_id long, block string, q array<double>")
 
@@ -181,16 +205,18 @@ def search(visited: DataFrame, blocks: DataFrame, k: int, width: int, groups: in
                 ids = batch.column("ids")[i].values.to_numpy(zero_copy_only=False)
                 queries = matrix(batch.column("qs")[i].values, width)
                 vectors = matrix(batch.column("vs")[i].values, width)
-                scores = queries @ vectors.T
-                scores[query_ids[:, None] == ids[None]] = -np.inf
-                n = min(k, scores.shape[1])
-                least = -np.partition(-scores, n - 1, axis=1)[:, n - 1]
-                for row, query in enumerate(query_ids.tolist()):
-                    at = np.flatnonzero((scores[row] >= least[row]) & (scores[row] > -np.inf))
-                    at = at[np.lexsort((ids[at], -scores[row][at]))][:n]
-                    made[0] += [query] * len(at)
-                    made[1] += ids[at].tolist()
-                    made[2] += scores[row][at].astype(np.int64).tolist()
+                n = min(k, len(ids))
+                for start in range(0, len(query_ids), SCORED_QUERIES):
+                    asked = query_ids[start : start + SCORED_QUERIES]
+                    scores = queries[start : start + SCORED_QUERIES] @ vectors.T
+                    scores[asked[:, None] == ids[None]] = -np.inf
+                    least = np.partition(scores, len(ids) - n, axis=1)[:, len(ids) - n]
+                    for row, query in enumerate(asked.tolist()):
+                        at = np.flatnonzero((scores[row] >= least[row]) & (scores[row] > -np.inf))
+                        at = at[np.lexsort((ids[at], -scores[row][at]))][:n]
+                        made[0] += [query] * len(at)
+                        made[1] += ids[at].tolist()
+                        made[2] += scores[row][at].astype(np.int64).tolist()
             arrays = [pa.array(c, pa.int64()) for c in made]
             yield pa.RecordBatch.from_arrays(arrays, ["query_id", "vec_id", "score"])
 
@@ -216,20 +242,20 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     for i, r in enumerate(sample):
         points[i, : len(r.v)] = r.v
     pivots = Pivots.choose(points, facts[0])
-    blocks = index(rows, pivots, width)
+    blocks, annuli = index(rows, pivots, width)
     asked = rows.filter(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
     # rows of one id are one query: its first vector in order
     asked = asked.groupBy("query_id").agg(F.min("v").alias("v"))
     groups = -(-facts[2] // BLOCK_QUERIES) or 1
     first = asked.withColumn("radius", F.lit(None).cast("double"))
-    near = cut(best(search(visits(first, blocks, pivots, width), blocks, k, width, groups), k))
+    near = cut(best(search(visits(first, annuli, pivots, width), blocks, k, width, groups), k))
     kth = near.filter(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
     # distance squared = |q|^2 + bound - 2 * score; all blocks are in reach of too few results
     apart = square + F.lit(facts[0]) - 2 * F.col("kth")
     reach = F.sqrt(F.greatest(apart, F.lit(0.0)))
     radius = F.when(F.col("kth").isNull(), F.lit(float("inf"))).otherwise(reach)
     again = asked.join(kth, "query_id", "left").select("query_id", "v", radius.alias("radius"))
-    rest = search(visits(again, blocks, pivots, width), blocks, k, width, groups)
+    rest = search(visits(again, annuli, pivots, width), blocks, k, width, groups)
     every_result = near.select("query_id", "vec_id", "score").unionByName(rest)
     out = best(every_result.distinct(), k)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
