@@ -121,6 +121,30 @@ def test_pages(spark):
     assert html_extract.extract_text(pages.filter("false")).count() == 0
 
 
+def texts_of(spark, htmls):
+    rows = [(i, "http://h.example/", h) for i, h in enumerate(htmls)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_text(pages).collect()}
+    return [got[i] for i in range(len(rows))]
+
+
+def test_wrapper_is_of_all_pages_of_a_host(spark):
+    page = "<body><div class=meta>day {}</div><article><p>{}</p></article>"
+    same, other = "one article that is repeated", "quite another article"
+    stories = [same] * 30 + [other] * 2
+    assert texts_of(spark, [page.format(i, s) for i, s in enumerate(stories)]) == stories
+    # all pages repeat it; a long page counts like any other
+    stories = [same] * 8
+    assert texts_of(spark, [page.format(i, s) for i, s in enumerate(stories)]) == stories
+    stories = ["long " * 50_000 + str(i) for i in range(3)]
+    legal = "<div><p>{}</p></div><section>The same on every page.</section>"
+    assert texts_of(spark, [legal.format(s) for s in stories]) == stories
+    # an article outside the element that most pages have it in
+    pages = [page.format(i, f"story {i} of some length") for i in range(9)]
+    pages.append("<body><div class=meta>day 9</div><main><p>elsewhere told</p></main>")
+    assert texts_of(spark, pages)[-1] == "elsewhere told"
+
+
 def test_stages_keep_columns_and_clean_rows(spark, tmp_path):
     docs = spark.createDataFrame([(*r, 3) for r in ROWS], "doc_id long, text string, score string, n_chars long")
     folder = str(tmp_path)
