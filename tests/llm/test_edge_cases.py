@@ -145,6 +145,28 @@ def test_wrapper_is_of_all_pages_of_a_host(spark):
     assert texts_of(spark, pages)[-1] == "elsewhere told"
 
 
+@pytest.mark.parametrize("name", ["no-sidebar", "has-comments", "with-ads", "social-sciences", "post-header", "widget"])
+def test_names_never_leave_out_the_article(spark, name):
+    story = "words of story {0} that no other page has"
+    forms = (
+        "<body><div class='page {1}'><article><p>{0}</p></article></div><p>more</p>",
+        "<body><article class='post {1}'><p>{0}</p></article>",
+        "<body><div id='{1}'><p>{0}</p></div>",
+        "<body><main><div class='{1}'><article>{0}</article></div></main>",
+    )
+    for form in forms:
+        pages = [form.format(story.format(i), name) for i in range(4)]
+        assert texts_of(spark, pages) == [story.format(i) for i in range(4)]
+
+
+def test_template_inside_the_content_needs_no_name(spark):
+    page = "<body><article><h1>Title</h1><p>story {0} goes on at length</p><div class=box>Read us daily</div></article>"
+    got = texts_of(spark, [page.format(i) for i in range(5)])
+    assert got == [f"Title story {i} goes on at length" for i in range(5)]
+    comments = page.format(0) + "<div class=comments>said at length, longer than the article by far " + "so " * 50
+    assert texts_of(spark, [comments]) == ["Title story 0 goes on at length Read us daily"]
+
+
 def test_stages_keep_columns_and_clean_rows(spark, tmp_path):
     docs = spark.createDataFrame([(*r, 3) for r in ROWS], "doc_id long, text string, score string, n_chars long")
     folder = str(tmp_path)
