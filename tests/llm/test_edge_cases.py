@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -121,6 +122,34 @@ def test_pages(spark):
     assert html_extract.extract_text(pages.filter("false")).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY."""
+GPL = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of FITNESS FOR A PARTICULAR PURPOSE."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0"""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"""
+
+
+@pytest.mark.parametrize("mark", ["", " * ", "# ", "//" + " " * 300])
+@pytest.mark.parametrize("width", [40, 76, 10_000])
+def test_licences_in_wrapped_and_marked_texts(spark, mark, width):
+    full = [(MIT, "MIT", 3), (GPL.format(3), "GPL-3.0-or-later", 2), (GPL.format(2), "GPL-2.0-or-later", 2)]
+    full += [(APACHE, "Apache-2.0", 3), (BSD, "BSD", 1)]
+    rows = []
+    for i, (text, _, _) in enumerate(full):
+        lines = [line for part in text.split("\n") for line in textwrap.wrap(part, width, break_long_words=False) or [""]]
+        rows.append((i, "Some prose before\n" + "\n".join(mark + line for line in lines) + "\nand after."))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.licences, r.n_sentences) for r in licences.scan_licences(docs).collect()}
+    assert got == {i: ([name], n) for i, (_, name, n) in enumerate(full)}
+
+
 def texts_of(spark, htmls):
     rows = [(i, "http://h.example/", h) for i, h in enumerate(htmls)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
