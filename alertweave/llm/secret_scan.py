@@ -55,8 +55,16 @@ BASE_RULES = (
     # runs that are shorter than 24 characters never count
     Rule("hex", r"[0-9a-f]{24,}", least=24),
 )
+# the key itself: all up to its end mark, which no other key begins before, or where there is none,
+# the fields and lines, or long words, of its base64 block
+KEY_BODY = (
+    r"(?:(?:(?!-----BEGIN )[\s\S])*?-----END (?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?-----"
+    r"|(?:(?:[\s>#*|]|\\[nrt])*+(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset):(?:(?!\\n)[^\r\n])*)*+"
+    r"(?:(?:[\s>#*|\"',]|\\[nrt])*+[A-Za-z0-9+/]{16,}+={0,2}"
+    r"|(?:\r?\n|\\n)[ \t>#*|]*+=?[A-Za-z0-9+/]++={0,2}(?=[ \t]*+(?:\r?\n|\\n|\Z)))*+)"
+)
 MORE_RULES = (
-    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY(?: BLOCK)?-----" + KEY_BODY),
     Rule("repository_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
