@@ -11,7 +11,7 @@ Copies with the same words are one node. Where few meet at a shingle, pairs that
 their sizes and its places are left out. Groups that meet are first compared on one fragment of
 the order: its partial overlap and the sizes of the rest bound the whole, which leaves few pairs.
 Only for these the other fragments are sent. A large group is cut into blocks of bounded size,
-and pairs of blocks are compared in separate tasks.
+in shingles and in documents, and pairs of blocks are compared in separate tasks.
 
 Defined results: null, empty and blank texts have no shingles and stand alone; a text of one to
 four words is one shingle of its own kind; repeated rows and copies share a component; a null
@@ -47,11 +47,14 @@ FREQUENT = 16
 FREQUENT_SHINGLES = 400_000
 # the first fragment holds the hashes whose first bits are 0, this many
 FRAGMENT_BITS = 2
-# shingles of a block of documents that are compared in one task
+# shingles, and nodes, of a block of documents that are compared in one task, about
 BLOCK_SHINGLES = 1_000_000
+BLOCK_NODES = 1500
 PLACE_BITS = 31
 # rows of one shingle whose pairs are tested in memory; those of a more frequent one all meet
 HELD_ROWS = 4096
+# rows of a matrix of documents that are worked on at once
+STRIP_ROWS = 256
 # cells of a matrix of documents and shingles
 MATRIX_CELLS = 4_000_000
 # first bits of a shingle that its frequency is counted by, after those of its fragment
@@ -364,7 +367,8 @@ def meetings(rows: DataFrame) -> DataFrame:
 
 def grouped(rows: DataFrame) -> DataFrame:
     """``root``, ``node`` with the number of ``blocks`` that the group of a root is cut into."""
-    sizes = rows.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    blocks = F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_NODES)
+    sizes = rows.groupBy("root").agg(F.ceil(blocks).alias("blocks"))
     return rows.join(sizes, "root").select("root", "node", "n", "blocks")
 
 
@@ -432,8 +436,13 @@ def linked_pairs(nodes: list[int], sets: list[np.ndarray], sizes: list[int], sid
     if len(nodes) == 2:
         both = np.intersect1d(*sets, assume_unique=True).size + rest.min()
         return [(nodes[0], nodes[1])] if 100 * both >= PERCENT * (size.sum() - both) else []
-    both = overlap_matrix(sets) + np.minimum(rest[:, None], rest[None])
-    linked = 100 * both >= PERCENT * (size[:, None] + size[None] - both)
+    overlap = overlap_matrix(sets)
+    linked = np.empty(overlap.shape, bool)
+    # in strips, as the other matrices take several times its memory
+    for a in range(0, len(nodes), STRIP_ROWS):
+        rows = slice(a, a + STRIP_ROWS)
+        both = overlap[rows] + np.minimum(rest[rows, None], rest[None])
+        linked[rows] = 100 * both >= PERCENT * (size[rows, None] + size[None] - both)
     side = np.array(sides)
     if len(set(sides)) == 2:
         linked &= side[:, None] != side[None]

@@ -188,6 +188,39 @@ def test_secrets_stage_leaves_no_key_material(spark):
     assert got == {0: "a [SECRET] b", 1: "a [SECRET]\nb c"}
 
 
+def test_blocks_are_bounded_by_documents(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK_NODES", 40)
+    monkeypatch.setattr(ngram_join, "HELD_ROWS", 64)
+    made = ngram_join.grouped(spark.range(500).selectExpr("0L as root", "id as node", "50L as n"))
+    assert {r.blocks for r in made.select("blocks").distinct().collect()} == {13}
+    # short near copies, each with words of its own at its end
+    notice = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{notice} {i} {i * 7}") for i in range(500)]
+    found = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == 500 and {r.component_id for r in found} == {0}
+
+
+def test_linked_pairs_work_in_strips(monkeypatch):
+    random = np.random.default_rng(5)
+    whole = [np.unique(random.integers(0, 60, 125).astype(np.uint64)) for _ in range(90)]
+    nodes, sizes = list(range(90)), [len(s) for s in whole]
+    shapes = []
+    least = np.minimum
+    monkeypatch.setattr(ngram_join, "STRIP_ROWS", 7)
+    monkeypatch.setattr(ngram_join.np, "minimum", lambda *a: shapes.append(out := least(*a)) or out)
+    got = ngram_join.linked_pairs(nodes, whole, sizes, [0] * 90)
+    monkeypatch.undo()
+    assert max(len(s) for s in shapes) <= 7
+    links = {(a, b) for a in nodes for b in nodes if a != b
+             and 100 * (n := np.intersect1d(whole[a], whole[b]).size) >= 80 * (sizes[a] + sizes[b] - n)}
+    assert set(got) <= links
+    group = {n: n for n in nodes}
+    for a, b in got:
+        old, new = group[b], group[a]
+        group = {n: new if g == old else g for n, g in group.items()}
+    assert all(group[a] == group[b] for a, b in links) and links
+
+
 def texts_of(spark, htmls):
     rows = [(i, "http://h.example/", h) for i, h in enumerate(htmls)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
