@@ -265,13 +265,21 @@ def map_lookup_multi(
     alerts: DataFrame, rule: MappingRule, rows: DataFrame, id_col: str = "alert_id"
 ) -> DataFrame:
     """Look up every element of a list attribute; ``new_property_name`` becomes a map from
-    the element to the fields of its first row. Elements join by equality."""
-    key = rule.matchers[0][0].strip()
+    the element to the fields of its first row. Elements join by equality.
+
+    Alerts that fail the condition or find nothing keep the older value; one of another type
+    makes the property a text, with maps as JSON. ``enrichment_events`` records every outcome.
+    """
+    key, new = rule.matchers[0][0].strip(), rule.new_property_name
     element = F.col("_element")
     if rule.prefix_to_remove:
         element = F.replace(element, F.lit(rule.prefix_to_remove), F.lit(""))
-    elements = alerts.select(id_col, F.explode(key).alias("_element")).select(
-        id_col, F.trim(element).alias("_element")
+    ids = [c for c in ("tenant_id", id_col) if c in alerts.columns]
+    keyed = alerts.withColumn("_active", stored(alerts, rule.condition) & F.col(key).isNotNull())
+    elements = (
+        keyed.filter("_active")
+        .select(*ids, F.explode(key).alias("_element"))
+        .select(*ids, F.trim(element).alias("_element"))
     )
     names = [c for c in rows.columns if c != "row_idx"]
     values = F.map_filter(
@@ -284,14 +292,25 @@ def map_lookup_multi(
     found = (
         elements.distinct()
         .join(first, "_element")
-        .groupBy(id_col)
-        .agg(
-            F.map_from_entries(F.collect_list(F.struct("_element", "_values"))).alias(
-                rule.new_property_name
-            )
-        )
+        .groupBy(*[F.col(c).alias(f"_r_{c}") for c in ids])
+        .agg(F.map_from_entries(F.collect_list(F.struct("_element", "_values"))).alias("_new"))
+    )
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in ids])
+    joined = _with_outcomes(keyed.join(found, F.col("_active") & on, "left"))
+    value, hit = F.col("_new"), F.col("_new").isNotNull()
+    if new in alerts.columns and alerts.schema[new].dataType.typeName() != "void":
+        old = F.col(new)
+        if alerts.schema[new].dataType.simpleString() != "map<string,map<string,string>>":
+            text = alerts.schema[new].dataType.typeName() in ("map", "struct", "array")
+            value, old = F.to_json(value), F.to_json(old) if text else old.cast("string")
+        value = F.coalesce(value, old) if rule.override else F.coalesce(old, value)
+    status = (
+        F.when(~F.coalesce("_active", F.lit(False)), SKIPPED).when(hit, SUCCESS).otherwise(FAILURE)
     )
-    return alerts.drop(rule.new_property_name).join(found, id_col, "left")
+    fields = F.when(hit, _string_map({new: F.to_json("_new")})).otherwise(_string_map({}))
+    outcome = _outcome(rule.rule_id, "mapping", status, fields)
+    out = joined.withColumns({new: value, OUTCOMES: outcome})
+    return out.drop("_active", "_new", *[f"_r_{c}" for c in ids])
 
 
 def topology_lookup(

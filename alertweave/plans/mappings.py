@@ -161,6 +161,54 @@ def map_lookup_multi(spark, folder):
     ).select("event_id", "element", F.col("v")["region"].alias("region"))
 
 
+@query(
+    "j12_condition_and_outcomes",
+    """WITH hits AS (
+  SELECT e.event_id, n.n_name AS element, r.r_name AS region FROM events e
+  JOIN nation n ON n.n_nationkey IN (e.event_id % 30, e.event_id % 60)
+  JOIN region r ON r.r_regionkey = n.n_regionkey
+  WHERE e.event_type = 'error')
+SELECT e.event_id, CASE WHEN e.event_type <> 'error' THEN 'skipped'
+    WHEN h.event_id IS NULL THEN 'failure' ELSE 'success' END AS status,
+  coalesce(h.element, 'before') AS element, coalesce(h.region, 'kept') AS region
+FROM events e LEFT JOIN hits h ON h.event_id = e.event_id""",
+)
+def map_lookup_multi_where(spark, folder):
+    """A rule with a condition over all alerts, which have an older value."""
+    event = F.col("event_id")
+
+    def tag(number):
+        return F.concat(F.lit("NATION_"), number)
+
+    older = F.create_map(F.lit("before"), F.create_map(F.lit("region"), F.lit("kept")))
+    alerts = tables.read_table(spark, folder, "events").select(
+        event.alias("alert_id"),
+        "event_type",
+        F.array(tag(event % 30), tag(event % 60)).alias("customers"),
+        older.alias("found"),
+    )
+    names = tables.read_table(spark, folder, "nation").join(
+        tables.read_table(spark, folder, "region"),
+        F.col("n_regionkey") == F.col("r_regionkey"),
+    )
+    rows = names.select(
+        F.col("n_nationkey").alias("row_idx"),
+        F.col("n_name").alias("customers"),
+        F.col("r_name").alias("region"),
+    )
+    rule = MappingRule(
+        12, [["customers"]], [], condition="event_type = 'error'", multi_level=True,
+        new_property_name="found",
+    )
+    out = mapping.map_lookup_multi(alerts, rule, rows)
+    status = F.element_at(mapping.OUTCOMES, -1)["status"]
+    return out.select(
+        F.col("alert_id").alias("event_id"),
+        status.alias("status"),
+        F.explode("found").alias("element", "v"),
+    ).select("event_id", "status", "element", F.col("v")["region"].alias("region"))
+
+
 TOPOLOGY = """
 services AS (SELECT s_suppkey AS service_id, concat('t', s_suppkey % 3) AS tenant_id,
     concat('svc-', s_suppkey % 15) AS service, n_name AS team, r_name AS environment,

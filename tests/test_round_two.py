@@ -8,7 +8,7 @@ import time
 from pyspark.sql import functions as F
 
 from alertweave.functions import predicates, scalars
-from alertweave.operators import correlate, enrich, maintenance, reads, scan
+from alertweave.operators import correlate, enrich, maintenance, mapping, reads, scan
 from alertweave.operators.maintenance import MaintenanceWindow
 from alertweave.operators.throttle import throttle
 from alertweave.streaming import state as keyed_state
@@ -117,3 +117,39 @@ def test_late_rows_do_not_take_sessions_back(spark):
         state = spark.createDataFrame(after, keyed_state.SESSION_STATE)
     assert got == {1: (0, False), 2: (0, True), 3: (0, True), 4: (1, True), 5: (0, True), 6: (0, True), 7: (2, True)}
     assert [(r.session_no, r.max_no, r.last_ts.hour) for r in after] == [(2, 2, 15)]
+
+
+def test_multi_level_lookups_keep_to_their_condition(spark):
+    older = {"x": {"region": "old"}}
+    alerts = spark.createDataFrame(
+        [
+            ("t1", 1, "high", ["a", "b"], older),
+            ("t2", 1, "high", ["b"], older),
+            ("t1", 2, "low", ["a"], older),
+            ("t1", 3, "high", ["none"], older),
+            ("t1", 4, "high", None, None),
+            (None, None, "high", ["a"], None),
+        ],
+        "tenant_id string, alert_id long, severity string, customers array<string>, "
+        "found map<string,map<string,string>>",
+    )
+    rows = spark.createDataFrame([(1, "a", "north"), (2, "b", "south")], "row_idx long, customers string, region string")
+    rule = mapping.MappingRule(
+        7, [["customers"]], [], condition="severity = 'high'", multi_level=True,
+        new_property_name="found", lookup="rows",
+    )
+    north, south = {"customers": "a", "region": "north"}, {"customers": "b", "region": "south"}
+    want = {
+        ("t1", 1): ({"a": north, "b": south}, "success"),
+        ("t2", 1): ({"b": south}, "success"),
+        ("t1", 2): (older, "skipped"),
+        ("t1", 3): (older, "failure"),
+        ("t1", 4): (None, "skipped"),
+        (None, None): ({"a": north}, "success"),
+    }
+    out = mapping.map_alerts(alerts, [rule], {"rows": rows}).collect()
+    assert {(r.tenant_id, r.alert_id): (r.found, r.enrichment_events[-1].status) for r in out} == want
+    assert len(out) == len(want)
+    texts = alerts.withColumn("found", F.lit("as it was"))
+    got = {(r.tenant_id, r.alert_id): r.found for r in mapping.map_lookup_multi(texts, rule, rows).collect()}
+    assert got["t1", 2] == "as it was" and "south" in got["t2", 1]
