@@ -10,7 +10,7 @@ leave a task, so a group of n near copies gives n - 1 rows and not n * n.
 Copies with the same words are one node. Where few meet at a shingle, pairs that cannot link by
 their sizes and its places are left out. Groups that meet are first compared on one fragment of
 the order: its partial overlap and the sizes of the rest bound the whole, which leaves few pairs.
-Only for these the other fragments are sent. A large group is cut into blocks of bounded size,
+Only for these the whole sets are sent, and counted anew. A large group is cut into blocks of bounded size,
 in shingles and in documents, and pairs of blocks are compared in separate tasks.
 
 Defined results: null, empty and blank texts have no shingles and stand alone; a text of one to
