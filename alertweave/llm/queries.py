@@ -12,8 +12,11 @@ from alertweave.llm import (
     decontaminate,
     html_extract,
     licences,
+    line_dedup,
     ngram_join,
+    repeats,
     secret_scan,
+    spelling,
     token_counts,
     topk,
     toxicity,
@@ -158,6 +161,91 @@ def op10_html(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def misspelt_runs(docs: DataFrame) -> DataFrame:
+    """``run`` of whole documents; one in 31, by a checksum of id and run, loses a code point."""
+    runs = spelling.runs_of(docs)
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run")
+    runs = runs.withColumn("h", F.crc32(F.encode(name, "utf-8")))
+    at = (F.col("h") % F.length("run")).cast("int")
+    less = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    return runs.select(F.when(F.col("h") % 31 == 0, less).otherwise(F.col("run")).alias("run"))
+
+
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(prepare(spark), folder, "documents")
+    found = spelling.variants(spelling.count_words(misspelt_runs(docs)))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """One document in ten, by a checksum of its id, becomes periodic from some word on."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = docs.select("doc_id", "text", F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8")).alias("h"))
+    planted = (
+        docs.withColumn("w", F.when(F.col("h") % 10 == 0, words))
+        .withColumn("n", F.size("w"))
+        .withColumn("g", F.floor(F.col("h") / 10))
+        .withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+        .withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    )
+    altered = F.expr("array_join(transform(w, (x, i) -> if(i < a, x, w[int(a + (i - a) % p)])), ' ')")
+    return planted.select("doc_id", F.when(F.col("n") > 0, altered).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = with_planted_periods(table(prepare(spark), folder, "documents"))
+    found = repeats.find_runs(docs)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "strongest.start",
+        "strongest.length",
+        "strongest.period",
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(prepare(spark), folder, "documents").select("doc_id", "text")
+    index = line_dedup.LineIndex.temporary(spark)
+    # two deliveries, so that the second one meets the filters and counts of the first
+    first = F.xxhash64("doc_id") < 0
+    for part in (first, ~first):
+        index.add(docs.filter(part))
+    found = index.kept(docs)
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def line_dedup_sql() -> str:
+    """The line dedup for DuckDB, line by line."""
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+        WITH split AS (
+            SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+        ),
+        lines AS (
+            SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS i FROM split
+        ),
+        keyed AS (
+            SELECT doc_id, i, line, translate(trim(line, {white}), '{spelling.UPPER}', '{spelling.UPPER.lower()}') AS k
+            FROM lines
+        ),
+        held AS (
+            SELECT k, min(doc_id) AS least FROM keyed
+            WHERE length(k) >= {line_dedup.MIN_LENGTH} GROUP BY k HAVING count(DISTINCT doc_id) > 1
+        ),
+        marked AS (
+            SELECT doc_id, i, line, coalesce(doc_id <> least, false) AS goes FROM keyed LEFT JOIN held USING (k)
+        )
+        SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (goes)::BIGINT AS n_dropped,
+            sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT goes), '')) AS kept_sha256
+        FROM marked GROUP BY doc_id
+    """
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -171,6 +259,9 @@ QUERIES = {
         op8_secrets,
         op9_licences,
         op10_html,
+        op11_spelling,
+        op12_periodic_runs,
+        op13_line_dedup,
     )
 }
-ORACLES = {"op9_licences": licence_sql()}
+ORACLES = {"op9_licences": licence_sql(), "op13_line_dedup": line_dedup_sql()}
