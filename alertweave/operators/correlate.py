@@ -13,7 +13,7 @@ from alertweave.functions import paths
 from alertweave.functions.predicates import attach_tests
 from alertweave.functions.scalars import literal_map
 from alertweave.operators.scan import (
-    CHUNK_SECONDS,
+    MAX_ROWS,
     Scan,
     lag_struct,
     run_scans,
@@ -135,8 +135,8 @@ def group_key(matches: DataFrame, rules: list[CorrelationRule]) -> DataFrame:
 def _session_scan() -> Scan:
     """Session number of each row, and whether a firing row opened that session by then.
 
-    A chunk's first row meets the last row of the chunk before it at the summary level,
-    so gaps across chunks need no second pass.
+    A slot's first row meets the last row of the slot before it at the summary level,
+    so gaps across slots need no second pass.
     """
     firing = F.coalesce(F.col("status") == "firing", F.lit(False))
     limit = F.col("timeframe_s").cast("long") * 1_000_000
@@ -145,10 +145,11 @@ def _session_scan() -> Scan:
         gap = F.unix_micros(later) - F.unix_micros(earlier)
         return F.coalesce((gap > limit).cast("int"), F.lit(0))
 
-    def chunk_broken() -> Column:
+    def slot_broken() -> Column:
         gap = F.unix_micros("_s_from") - F.unix_micros("_s_prev")
         return F.coalesce((gap > F.col("_s_limit")).cast("int"), F.lit(0))
 
+    base = F.coalesce("_s_base", F.lit(0))
     return Scan(
         local=lambda w, run: [
             {"_s_lag": F.lag("ts").over(w)},
@@ -166,7 +167,7 @@ def _session_scan() -> Scan:
         },
         carry=lambda w, prior: [
             {"_s_prev": F.lag("_s_to").over(w)},
-            {"_s_first": chunk_broken()},
+            {"_s_first": slot_broken()},
             {
                 "_s_base": F.coalesce(
                     F.sum(F.col("_s_first") + F.col("_s_brks")).over(prior), F.lit(0)
@@ -176,10 +177,9 @@ def _session_scan() -> Scan:
             {"_s_open": F.max(F.col("_s_base") + F.col("_s_last")).over(prior)},
         ],
         final={
-            "session_no": F.col("_s_base") + F.col("_s_no"),
+            "session_no": base + F.col("_s_no"),
             "opened": F.coalesce(
-                F.greatest(F.col("_s_base") + F.col("_s_fire"), F.col("_s_open"))
-                == F.col("_s_base") + F.col("_s_no"),
+                F.greatest(base + F.col("_s_fire"), F.col("_s_open")) == base + F.col("_s_no"),
                 F.lit(False),
             ),
         },
@@ -188,11 +188,11 @@ def _session_scan() -> Scan:
 
 
 def session_rows(
-    keyed: DataFrame, rules: list[CorrelationRule], chunk_seconds: int = CHUNK_SECONDS
+    keyed: DataFrame, rules: list[CorrelationRule], max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """All rows with their session number and whether their incident is open by then."""
     timed = keyed.withColumn("timeframe_s", rule_value(rules, lambda r: r.timeframe_s, "int"))
-    return run_scans(timed, [_session_scan()], keys=INCIDENT_KEY, chunk_seconds=chunk_seconds)
+    return run_scans(timed, [_session_scan()], keys=INCIDENT_KEY, max_rows=max_rows)
 
 
 def opened_rows(rows: DataFrame) -> DataFrame:
@@ -201,14 +201,14 @@ def opened_rows(rows: DataFrame) -> DataFrame:
 
 
 def sessionize(
-    keyed: DataFrame, rules: list[CorrelationRule], chunk_seconds: int = CHUNK_SECONDS
+    keyed: DataFrame, rules: list[CorrelationRule], max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Alerts of an incident: sessions per (tenant, rule, key) that end when no alert came
     for longer than the rule's timeframe, without the rows before the first firing one.
 
     Exact for rules that resolve ``never``: a resolved incident ends its session early.
     """
-    return opened_rows(session_rows(keyed, rules, chunk_seconds))
+    return opened_rows(session_rows(keyed, rules, max_rows))
 
 
 def link_alerts(sessions: DataFrame) -> DataFrame:
@@ -228,18 +228,18 @@ def session_incidents(sessions: DataFrame) -> DataFrame:
     )
 
 
-def past_incident_chain(incidents: DataFrame, chunk_seconds: int = 86400) -> DataFrame:
+def past_incident_chain(incidents: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Add the previous incident of the same rule and key."""
     order = ("start_ts", "incident_id")
     scan = lag_struct("_past", {"id": F.col("incident_id")}, order)
     out = run_scans(
-        incidents, [scan], keys=INCIDENT_KEY, order=order, chunk_seconds=chunk_seconds
+        incidents, [scan], keys=INCIDENT_KEY, order=order, max_rows=max_rows
     )
     return out.withColumn("past_incident_id", F.col("_past.id")).drop("_past")
 
 
 def gate_visibility(
-    sessions: DataFrame, rules: list[CorrelationRule], chunk_seconds: int = CHUNK_SECONDS
+    sessions: DataFrame, rules: list[CorrelationRule], max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """``visible_since`` per incident: the first alert at which max(linked keys, sum of
     their newest unresolved counters) reaches the threshold, if the rule needs no approval
@@ -251,7 +251,7 @@ def gate_visibility(
         sessions,
         [lag_struct("_seen", {"u": F.col("unresolved_counter")})],
         keys=("incident_id", "fingerprint"),
-        chunk_seconds=chunk_seconds,
+        max_rows=max_rows,
     )
     seen = seen.withColumns(
         {
@@ -263,7 +263,7 @@ def gate_visibility(
         seen,
         [running_sum("_keys", F.col("_new")), running_sum("_open", F.col("_delta"))],
         keys=("incident_id",),
-        chunk_seconds=chunk_seconds,
+        max_rows=max_rows,
     )
     enough = F.greatest("_keys", "_open") >= rule_value(rules, lambda r: r.threshold, "int")
     direct = rule_value(rules, lambda r: r.create_on == ANY, "boolean")

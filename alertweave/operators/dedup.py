@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from alertweave.operators.scan import CHUNK_SECONDS, lag_struct, run_scans, running_sum
+from alertweave.operators.scan import MAX_ROWS, lag_struct, run_scans, running_sum
 
 # fixed values
 NO_PROVIDER = "unknown"
@@ -79,12 +79,12 @@ def hash_by_rule(fields: dict[str, Column]) -> Column:
 
 
 def classify_duplicates(
-    alerts: DataFrame, hash_col: str = "content_hash", chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, hash_col: str = "content_hash", max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """``dedup_type``: full (same hash as the key's previous alert), partial (the key is
     known with another hash) or none."""
     scan = lag_struct("_before", {"h": F.col(hash_col)})
-    out = run_scans(alerts, [scan], chunk_seconds=chunk_seconds)
+    out = run_scans(alerts, [scan], max_rows=max_rows)
     before = F.col("_before")
     kind = (
         F.when(before.isNull(), "none")
@@ -99,11 +99,11 @@ def drop_full_duplicates(classified: DataFrame) -> DataFrame:
 
 
 def touch_last_received(
-    classified: DataFrame, chunk_seconds: int = CHUNK_SECONDS
+    classified: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Kept alerts; the full duplicates that follow one advance its last_received."""
     kept = (F.col("dedup_type") != "full").cast("int")
-    grouped = run_scans(classified, [running_sum("_kept", kept)], chunk_seconds=chunk_seconds)
+    grouped = run_scans(classified, [running_sum("_kept", kept)], max_rows=max_rows)
     order = F.struct("ts", "alert_id")
     return (
         grouped.groupBy("tenant_id", "fingerprint", "_kept")

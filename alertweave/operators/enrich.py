@@ -9,7 +9,7 @@ from alertweave.functions import paths
 from alertweave.functions.scalars import iso_millis
 from alertweave.operators.scan import (
     ALERT_KEY,
-    CHUNK_SECONDS,
+    MAX_ROWS,
     following_first,
     run_scans,
     running_last,
@@ -108,7 +108,7 @@ def broadcast_enrichment(keys: DataFrame, enrichments: dict[str, str | None]) ->
 
 
 def place_ops(
-    alerts: DataFrame, ops: DataFrame, chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, ops: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Each field operation with the key's alert it falls on and the alert after that.
 
@@ -129,7 +129,7 @@ def place_ops(
             following_first("_next", F.col("_alert"), order),
         ],
         order=order,
-        chunk_seconds=chunk_seconds,
+        max_rows=max_rows,
     )
     return placed.filter(F.col("_kind") == 1).select(
         *ops.columns,
@@ -140,10 +140,10 @@ def place_ops(
 
 
 def effective_enrichments(
-    alerts: DataFrame, ops: DataFrame, chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, ops: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Disposable fields per alert instance: set while it was the key's newest alert."""
-    placed = place_ops(alerts, ops, chunk_seconds).filter(
+    placed = place_ops(alerts, ops, max_rows).filter(
         F.col("disposable") & F.col("alert_id").isNotNull()
     )
     newest = placed.groupBy(*ALERT_KEY, "alert_id", "field").agg(
@@ -159,14 +159,14 @@ def instance_maps(effective: DataFrame) -> DataFrame:
 
 
 def dispose(
-    alerts: DataFrame, ops: DataFrame, chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, ops: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Field operations with the effect of later alerts written out as operations.
 
     The next alert ends a disposable field (a dismissal becomes false); a resolved one
     makes it permanent instead, and removes the ``DISPOSE_KEYS`` of its key.
     """
-    placed = place_ops(alerts, ops, chunk_seconds)
+    placed = place_ops(alerts, ops, max_rows)
     cols = [*ALERT_KEY, "ts", "seq", "field", "value"]
     ended = placed.filter(
         F.col("disposable")
@@ -195,10 +195,10 @@ def dispose(
 
 
 def current_enrichments(
-    alerts: DataFrame, ops: DataFrame, chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, ops: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """The enrichment map per key after all alerts and operations."""
-    rows = dispose(alerts, ops, chunk_seconds)
+    rows = dispose(alerts, ops, max_rows)
     return fold_fields(rows, list(ALERT_KEY), ["ts", "seq"], forced=FORCED)
 
 

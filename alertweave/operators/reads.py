@@ -81,7 +81,7 @@ def group_pulled_alerts(
     The groups stay rows (a key may hold any number of alerts); write them sorted by key
     and position to get them side by side.
     """
-    ranked = run_scans(alerts, [since_reset("position", F.lit(False))], chunk_seconds=86400)
+    ranked = run_scans(alerts, [since_reset("position", F.lit(False))])
     return with_enrichment(ranked, enrichments, fields, list(ALERT_KEY))
 
 

@@ -14,7 +14,7 @@ from alertweave.operators import correlate
 from alertweave.operators.correlate import INCIDENT_KEY, CorrelationRule
 from alertweave.operators.lineage import cut
 from alertweave.operators.scan import (
-    CHUNK_SECONDS,
+    MAX_ROWS,
     following_first,
     max_before,
     run_scans,
@@ -27,7 +27,7 @@ FAR = "9999-12-31 00:00:00"
 
 
 def sessions_with_resolution(
-    keyed: DataFrame, rules: list[CorrelationRule], chunk_seconds: int = CHUNK_SECONDS
+    keyed: DataFrame, rules: list[CorrelationRule], max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Alerts of incidents under each rule's resolve policy; ``part_no`` counts the
     incidents of a time session.
@@ -37,12 +37,12 @@ def sessions_with_resolution(
     ``first_resolved`` is left whole here; its status is set by ``resolve_incidents``. The
     status of a key is that of its matched alerts.
     """
-    rows = cut(correlate.session_rows(keyed, rules, chunk_seconds).drop("opened"))
+    rows = cut(correlate.session_rows(keyed, rules, max_rows).drop("opened"))
     policy = correlate.rule_value(rules, lambda r: r.resolve_on, "string")
     whole = rows.filter(~policy.isin(ALL, LAST)).withColumn("part_no", F.lit(0).cast("long"))
-    parts = whole.unionByName(_last_parts(rows.filter(policy == LAST), chunk_seconds))
+    parts = whole.unionByName(_last_parts(rows.filter(policy == LAST), max_rows))
     if any(r.resolve_on == ALL for r in correlate.active_rules(rules)):
-        split = _all_parts(rows.filter(policy == ALL), chunk_seconds)
+        split = _all_parts(rows.filter(policy == ALL), max_rows)
         parts = parts.unionByName(split)
     return _opened(parts)
 
@@ -66,16 +66,16 @@ def _opened(parts: DataFrame) -> DataFrame:
     return open_rows.withColumn("incident_id", incident)
 
 
-def _last_parts(rows: DataFrame, chunk_seconds: int) -> DataFrame:
+def _last_parts(rows: DataFrame, max_rows: int) -> DataFrame:
     resolved = _is("resolved").cast("int")
     out = run_scans(
-        rows, [running_sum("_done", resolved)], keys=SESSION, chunk_seconds=chunk_seconds
+        rows, [running_sum("_done", resolved)], keys=SESSION, max_rows=max_rows
     )
     # the resolved alert itself still belongs to the part it ends
     return out.withColumn("part_no", (F.col("_done") - resolved).cast("long")).drop("_done")
 
 
-def _all_parts(rows: DataFrame, chunk_seconds: int) -> DataFrame:
+def _all_parts(rows: DataFrame, max_rows: int) -> DataFrame:
     """An unresolved alert covers the time until its key is resolved; parts are the
     stretches without uncovered time.
 
@@ -87,7 +87,7 @@ def _all_parts(rows: DataFrame, chunk_seconds: int) -> DataFrame:
     ended = following_first("_end", F.when(_is("resolved"), at))
     never = F.struct(F.lit(FAR).cast("timestamp").alias("ts"), F.col("alert_id"))
     timed = run_scans(
-        rows, [ended], keys=(*SESSION, "fingerprint"), chunk_seconds=chunk_seconds
+        rows, [ended], keys=(*SESSION, "fingerprint"), max_rows=max_rows
     ).withColumns({"_end": F.coalesce("_end", never), "_out": F.lit(False)})
     current = cut(timed)
     while True:
@@ -96,7 +96,7 @@ def _all_parts(rows: DataFrame, chunk_seconds: int) -> DataFrame:
             current,
             [max_before("_cover", F.when(counts, F.col("_end")))],
             keys=SESSION,
-            chunk_seconds=chunk_seconds,
+            max_rows=max_rows,
         )
         starts = F.coalesce((F.col("_cover") < at).cast("int"), F.lit(1))
         parts = cut(
@@ -104,7 +104,7 @@ def _all_parts(rows: DataFrame, chunk_seconds: int) -> DataFrame:
                 covered.withColumn("_start", starts),
                 [running_sum("part_no", F.col("_start"))],
                 keys=SESSION,
-                chunk_seconds=chunk_seconds,
+                max_rows=max_rows,
             ).drop("_cover", "_start")
         )
         marked = parts.join(_firsts(parts), [*SESSION, "part_no"]).withColumn(

@@ -1,11 +1,14 @@
-"""Ordered per-key scans that never put a whole key into one task.
+"""Ordered per-key scans that never put a hot key into one task.
 
-A plain ``Window.partitionBy(key)`` sends every row of a key to one task. Here a
-key's rows are cut into time chunks. Each chunk is one window group, it is reduced to
-one summary row, the summaries of a key are scanned in order (one row per chunk, so
-bounded by the time span and not by the number of rows) and the value carried into a
-chunk is joined back to its rows. The rows are shuffled once, by (key, chunk); the
-join reuses that partitioning.
+A key with at most ``max_rows`` rows is one window group, as in any window. The rows of a key
+with more are cut into slots of about that size, at places of the whole order, so that rows
+at one instant are cut too. Each slot is reduced to one summary row, the summaries of a key are
+scanned in order, and the value carried into a slot is added to its rows.
+
+Keys are counted first, which reads the key columns only and combines before the shuffle. Places to
+cut at and carried values are small tables, at most ``MAX_SLOTS`` rows and one for each hot key,
+which are written once and broadcast. So the rows are read once and shuffled once, by key and
+slot, whether there are hot keys or not; for hot keys alone their summaries are read ahead.
 
 Several scans over the same key and order share one pass: ``run_scans``.
 """
@@ -18,9 +21,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-CHUNK = "_chunk"
-CHUNK_SECONDS = 3600
-CHUNK_WIDTHS = (86400, 3600, 60, 1, 0.001)
+from alertweave.operators.lineage import cut
+
+SLOT = "_slot"
+# the struct of the key columns, which is never null and compares null-safely
+KEY = "_key"
+# rows of a key that one task sorts
+MAX_ROWS = 1_000_000
+# slots of all hot keys together; with more rows than they hold, slots hold more
+MAX_SLOTS = 100_000
+# rows of a hot key that are looked at for each slot
+SLOT_SAMPLE = 16
 ALERT_KEY = ("tenant_id", "fingerprint")
 ALERT_ORDER = ("ts", "alert_id")
 
@@ -31,12 +42,13 @@ Cols = dict[str, Column]
 class Scan:
     """One running computation, as four small projections.
 
-    ``local(w, run)``   steps over the rows of a chunk (``w`` ordered, ``run`` up to
+    ``local(w, run)``   steps over the rows of a slot (``w`` ordered, ``run`` up to
                         and including the current row)
-    ``summary``         aggregates of a chunk over source and local columns
-    ``carry(w, prior)`` steps over the summaries of a key; ``prior`` ends one chunk
+    ``summary``         aggregates of a slot over source and local columns
+    ``carry(w, prior)`` steps over the summaries of a key; ``prior`` ends one slot
                         before the current one
-    ``final``           output columns from local and carried ones
+    ``final``           output columns from local and carried ones; carried ones are null
+                        where the key has one slot only
     """
 
     local: Callable[[WindowSpec, WindowSpec], list[Cols]]
@@ -53,82 +65,82 @@ def chunk_of(ts: str, seconds: float) -> Column:
     return F.floor(F.unix_micros(F.col(ts)) / F.lit(int(seconds * 1_000_000)))
 
 
-def fitting_chunk(
-    df: DataFrame,
-    keys: tuple[str, ...] = ALERT_KEY,
-    ts: str = "ts",
-    max_rows: int = 5_000_000,
-    widths: tuple[float, ...] = CHUNK_WIDTHS,
-) -> float:
-    """The widest chunk in which no key has more than ``max_rows`` rows.
-
-    For data whose bursts are not known: one pass over the key and time columns, counted
-    on the map side, that returns one number per width to the driver.
-    """
-    finest = min(widths)
-    bucket = chunk_of(ts, finest)
-    counted = df.groupBy(*keys, bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
-    steps = F.array(*[F.lit(round(w / finest)).cast("long") for w in widths])
-    sizes = (
-        counted.select(*keys, "_b", "_n", F.explode(steps).alias("_w"))
-        .groupBy(*keys, "_w", F.floor(F.col("_b") / F.col("_w")).alias("_c"))
-        .agg(F.sum("_n").alias("_n"))
-        .groupBy("_w")
-        .agg(F.max("_n").alias("_n"))
-    )
-    largest = {r["_w"]: r["_n"] for r in sizes.collect()}
-    for width in sorted(widths, reverse=True):
-        if largest.get(round(width / finest), 0) <= max_rows:
-            return width
-    return finest
-
-
 def run_scans(
     df: DataFrame,
     scans: list[Scan],
     keys: tuple[str, ...] = ALERT_KEY,
     order: tuple[str, ...] = ALERT_ORDER,
-    chunk_seconds: float = CHUNK_SECONDS,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
-    """Add the output columns of all scans. ``order[0]`` must be a timestamp column."""
-    rows = df.withColumn(CHUNK, chunk_of(order[0], chunk_seconds))
-    w = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    summary: Cols = {}
+    """Add the output columns of all scans.
+
+    Rows that agree in key and order have no order among them.
+    """
     final: Cols = {}
     carried: list[str] = []
     for scan in scans:
-        summary.update(scan.summary)
         final.update(scan.final)
         carried.extend(scan.carried)
-    back = Window.partitionBy(*keys, CHUNK).orderBy(*[F.desc(c) for c in order])
-    back_run = back.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = [scan.local(back, back_run) if scan.backwards else scan.local(w, run) for scan in scans]
-    rows, local = _apply_steps(rows, steps)
-
-    chunks = rows.groupBy(*keys, CHUNK).agg(*[c.alias(n) for n, c in summary.items()])
-    cw = Window.partitionBy(*keys).orderBy(CHUNK)
-    prior = cw.rowsBetween(Window.unboundedPreceding, -1)
-    back = Window.partitionBy(*keys).orderBy(F.desc(CHUNK))
-    back_prior = back.rowsBetween(Window.unboundedPreceding, -1)
-    steps = [
-        scan.carry(back, back_prior) if scan.backwards else scan.carry(cw, prior)
-        for scan in scans
-    ]
-    chunks, _ = _apply_steps(chunks, steps)
-
-    right = chunks.select(
-        *[F.col(k).alias(f"_r_{k}") for k in keys],
-        F.col(CHUNK).alias(f"_r{CHUNK}"),
-        *[F.col(c) for c in carried],
-    )
-    match = F.col(CHUNK).eqNullSafe(F.col(f"_r{CHUNK}"))
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    joined = rows.join(right, match, "inner").withColumns(final)
-    return joined.drop(
-        CHUNK, f"_r{CHUNK}", *[f"_r_{k}" for k in keys], *local, *carried
-    )
+    cuts = _slot_cuts(df, keys, order, max_rows)
+    if cuts is None:
+        rows, local = _local_steps(df, scans, keys, order)
+        # only analysed, for the types
+        types = _summaries(rows.withColumn(SLOT, F.lit(0)), scans, keys).schema
+        joined = rows.withColumns({c: F.lit(None).cast(types[c].dataType) for c in carried})
+        return joined.withColumns(final).drop(*local, *carried)
+    cuts = F.broadcast(cuts)
+    placed = df.withColumn(KEY, F.struct(*keys)).join(cuts, KEY, "left")
+    before = F.filter("_cuts", lambda c: c <= F.struct(*order))
+    placed = placed.withColumn(SLOT, F.coalesce(F.size(before), F.lit(0)))
+    hot, _ = _local_steps(placed.filter("_cuts is not null"), scans, keys, order, SLOT)
+    carry = cut(_summaries(hot, scans, keys).select(KEY, SLOT, *carried))
+    rows, local = _local_steps(placed.drop("_cuts"), scans, keys, order, SLOT)
+    joined = rows.join(F.broadcast(carry), [KEY, SLOT], "left").withColumns(final)
+    kept = [c for c in joined.columns if c not in {KEY, SLOT, *local, *carried}]
+    return joined.select(*[F.col(f"`{c}`") for c in kept])
+
+
+def _slot_cuts(
+    df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], max_rows: int
+) -> DataFrame | None:
+    """For every hot key the places in its order where it is cut; None if no key is hot."""
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total, largest = counted.agg(F.sum("_n"), F.max("_n")).first()
+    limit = max(max_rows, (total or 0) // MAX_SLOTS)
+    if (largest or 0) <= limit:
+        return None
+    hot = counted.filter(F.col("_n") > limit).select(F.struct(*keys).alias(KEY))
+    step = max(1, limit // SLOT_SAMPLE)
+    rows = df.select(F.struct(*keys).alias(KEY), F.struct(*order).alias("_at"))
+    rows = rows.filter(F.pmod(F.xxhash64(KEY, "_at"), F.lit(step)) == 0)
+    found = rows.join(cut(hot), KEY).groupBy(KEY).agg(F.collect_list("_at").alias("_cuts"))
+    every = max(1, limit // step)
+    places = F.filter(F.sort_array("_cuts"), lambda _, i: (i % every == 0) & (i > 0))
+    return cut(found.select(KEY, F.array_distinct(places).alias("_cuts")))
+
+
+def _local_steps(
+    rows: DataFrame, scans: list[Scan], keys: tuple[str, ...], order: tuple[str, ...], *slot: str
+) -> tuple[DataFrame, list[str]]:
+    group = Window.partitionBy(*keys, *slot)
+    w, back = group.orderBy(*order), group.orderBy(*[F.desc(c) for c in order])
+    steps = [_over(scan.local, back if scan.backwards else w, 0) for scan in scans]
+    return _apply_steps(rows, steps)
+
+
+def _summaries(rows: DataFrame, scans: list[Scan], keys: tuple[str, ...]) -> DataFrame:
+    """One row per key and slot with what is carried into it."""
+    summary = {name: c for scan in scans for name, c in scan.summary.items()}
+    by = [KEY] if KEY in rows.columns else list(keys)
+    slots = rows.groupBy(*by, SLOT).agg(*[c.alias(n) for n, c in summary.items()])
+    group = Window.partitionBy(*by)
+    w, back = group.orderBy(SLOT), group.orderBy(F.desc(SLOT))
+    steps = [_over(scan.carry, back if scan.backwards else w, -1) for scan in scans]
+    return _apply_steps(slots, steps)[0]
+
+
+def _over(steps: Callable, w: WindowSpec, end: int) -> list[Cols]:
+    return steps(w, w.rowsBetween(Window.unboundedPreceding, end))
 
 
 def _apply_steps(df: DataFrame, plans: list[list[Cols]]) -> tuple[DataFrame, list[str]]:
@@ -231,9 +243,11 @@ def since_reset(name: str, reset: Column) -> Scan:
             {f"{p}_c": F.max(F.col(f"{p}_base") + F.col(f"{p}_end")).over(prior)},
         ],
         final={
-            name: F.col(f"{p}_base")
+            name: F.coalesce(f"{p}_base", F.lit(0))
             + F.col(f"{p}_n")
-            - F.coalesce(F.col(f"{p}_base") + F.col(f"{p}_r"), F.col(f"{p}_c"), F.lit(0))
+            - F.coalesce(
+                F.coalesce(f"{p}_base", F.lit(0)) + F.col(f"{p}_r"), F.col(f"{p}_c"), F.lit(0)
+            )
         },
         carried=(f"{p}_base", f"{p}_c"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from alertweave.operators.scan import (
     ALERT_KEY,
     ALERT_ORDER,
-    CHUNK_SECONDS,
+    MAX_ROWS,
     Scan,
     first_before,
     lag_struct,
@@ -48,7 +48,7 @@ def started_at_scan() -> Scan:
 
 
 def with_sequence_features(
-    alerts: DataFrame, chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """All counters and start times in one pass."""
     scans = [
@@ -58,13 +58,13 @@ def with_sequence_features(
         unresolved_counter_scan(),
         started_at_scan(),
     ]
-    return run_scans(alerts, scans, chunk_seconds=chunk_seconds)
+    return run_scans(alerts, scans, max_rows=max_rows)
 
 
 def with_scans(
-    alerts: DataFrame, *scans: Scan, chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, *scans: Scan, max_rows: int = MAX_ROWS
 ) -> DataFrame:
-    return run_scans(alerts, list(scans), chunk_seconds=chunk_seconds)
+    return run_scans(alerts, list(scans), max_rows=max_rows)
 
 
 def latest_alerts(alerts: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def latest_alerts(alerts: DataFrame) -> DataFrame:
 
 
 def previous_alert(
-    alerts: DataFrame, status: str | None = None, chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, status: str | None = None, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Id, time and status of the key's previous alert, optionally the previous one that
     had a given status."""
@@ -96,7 +96,7 @@ def previous_alert(
     else:
         kept = F.when(is_status(status), F.struct(*[c.alias(n) for n, c in fields.items()]))
         scan = _exclusive_last("_previous", kept)
-    out = with_scans(alerts, scan, chunk_seconds=chunk_seconds)
+    out = with_scans(alerts, scan, max_rows=max_rows)
     return out.select(
         *alerts.columns,
         F.col("_previous.alert_id").alias("previous_id"),
@@ -117,17 +117,17 @@ def _exclusive_last(name: str, value: Column) -> Scan:
 
 
 def carry_assignee(
-    alerts: DataFrame, assignee: str, chunk_seconds: int = CHUNK_SECONDS
+    alerts: DataFrame, assignee: str, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """The newest assignee set at or before an alert goes with it, unless it is resolved."""
     scan = running_last("_carried", F.col(assignee))
-    out = with_scans(alerts, scan, chunk_seconds=chunk_seconds)
+    out = with_scans(alerts, scan, max_rows=max_rows)
     own = F.col(assignee)
     carried = F.when(~is_status("resolved"), F.coalesce(own, F.col("_carried"))).otherwise(own)
     return out.withColumn("carried_assignee", carried).drop("_carried")
 
 
-def running_number(incidents: DataFrame, chunk_seconds: int = 86400) -> DataFrame:
+def running_number(incidents: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Per-tenant sequence number by (creation_time, incident_id)."""
     scan = since_reset("running_number", F.lit(False))
     return run_scans(
@@ -135,5 +135,5 @@ def running_number(incidents: DataFrame, chunk_seconds: int = 86400) -> DataFram
         [scan],
         keys=("tenant_id",),
         order=("creation_time", "incident_id"),
-        chunk_seconds=chunk_seconds,
+        max_rows=max_rows,
     )

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from alertweave.functions.scalars import severity_rank
 from alertweave.operators import correlate, dedup, enrich, maintenance, mapping, reads
-from alertweave.operators.scan import ALERT_KEY, CHUNK_SECONDS
+from alertweave.operators.scan import ALERT_KEY, MAX_ROWS
 from alertweave.sources import envelope
 from alertweave.streaming import state as keyed_state
 from alertweave.streaming.store import Store
@@ -50,7 +50,7 @@ class Config:
     windows: list[maintenance.MaintenanceWindow] = field(default_factory=list)
     maintenance_strategy: str = "default"
     presets: dict[str, str] = field(default_factory=dict)
-    chunk_seconds: int = CHUNK_SECONDS
+    max_rows: int = MAX_ROWS
 
 
 def decode_alerts(
@@ -80,7 +80,7 @@ def process_batch(
     What several outputs need is written first and read back, so the plan behind it runs
     once, and a lost executor costs no recomputation of it.
     """
-    chunk = config.chunk_seconds
+    chunk = config.max_rows
     keys = store.snapshot("keys", T.StructType.fromDDL(keyed_state.KEY_STATE), batch_id)
     sessions = store.snapshot(
         "sessions", T.StructType.fromDDL(keyed_state.SESSION_STATE), batch_id

@@ -1,8 +1,8 @@
 """Per-key state across micro-batches.
 
-A micro-batch runs through the same chunked scans as a batch job; what it cannot know,
+A micro-batch runs through the same scans as a batch job; what it cannot know,
 the state of each key before it, is one row per key joined in. A hot key is therefore
-split over its time chunks here too.
+split here too.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from alertweave.operators import correlate, sequence
 from alertweave.operators.scan import (
     ALERT_KEY,
-    CHUNK_SECONDS,
+    MAX_ROWS,
     lag_struct,
     run_scans,
     running_sum,
@@ -33,20 +33,19 @@ SESSION_STATE = (
 
 
 def _with_state(rows: DataFrame, state: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Left join of the state, its columns prefixed with ``p_``."""
-    right = state.select(
-        *keys, *[F.col(c).alias(f"p_{c}") for c in state.columns if c not in keys]
-    )
-    return rows.join(right, list(keys), "left")
+    """Left join of the state, its columns prefixed with ``p_``; null is a key like any other."""
+    rest = [F.col(c).alias(f"p_{c}") for c in state.columns if c not in keys]
+    right = state.select(*rest, F.struct(*keys).alias("_state_key"))
+    return rows.join(right, F.struct(*keys) == F.col("_state_key"), "left").drop("_state_key")
 
 
 def classify_with_state(
-    batch: DataFrame, state: DataFrame, chunk_seconds: int = CHUNK_SECONDS
+    batch: DataFrame, state: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """``dedup_type`` against the previous row of the batch, else the key's state."""
     scan = lag_struct("_before", {"h": F.col("content_hash")})
     rows = _with_state(
-        run_scans(batch, [scan], chunk_seconds=chunk_seconds),
+        run_scans(batch, [scan], max_rows=max_rows),
         state.select(*ALERT_KEY, "content_hash"),
         ALERT_KEY,
     )
@@ -60,7 +59,7 @@ def classify_with_state(
 
 
 def features_with_state(
-    batch: DataFrame, state: DataFrame, chunk_seconds: int = CHUNK_SECONDS
+    batch: DataFrame, state: DataFrame, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Counters and start times that continue from the key's state.
 
@@ -81,7 +80,7 @@ def features_with_state(
         *[running_sum(n, c.cast("int")) for n, c in resets.items()],
     ]
     rows = _with_state(
-        run_scans(batch, scans, chunk_seconds=chunk_seconds),
+        run_scans(batch, scans, max_rows=max_rows),
         state.drop("alert_id", "content_hash"),
         ALERT_KEY,
     )
@@ -129,7 +128,7 @@ def sessions_with_state(
     keyed: DataFrame,
     rules: list[correlate.CorrelationRule],
     state: DataFrame,
-    chunk_seconds: int = CHUNK_SECONDS,
+    max_rows: int = MAX_ROWS,
 ) -> DataFrame:
     """All matched rows of a batch with their session number and ``opened``.
 
@@ -140,7 +139,7 @@ def sessions_with_state(
     """
     keys = correlate.INCIDENT_KEY
     at = F.struct("ts", "alert_id")
-    rows = correlate.session_rows(keyed, rules, chunk_seconds)
+    rows = correlate.session_rows(keyed, rules, max_rows)
     own = rows.groupBy(*keys, "session_no").agg(
         F.min("ts").alias("_from"),
         F.max("ts").alias("_to"),
@@ -158,23 +157,23 @@ def sessions_with_state(
     so_far = whole.orderBy("session_no").rowsBetween(Window.unboundedPreceding, 0)
     new = F.sum((~F.col("_goes_on")).cast("int")).over(so_far)
     fired = F.min(F.when(F.col("_goes_on"), F.col("_fire"))).over(whole)
+    session = F.struct(*keys, "session_no")
     met = met.select(
-        *keys,
-        "session_no",
+        session.alias("_session"),
         F.when(F.col("_goes_on"), F.col("p_open_no"))
         .otherwise(F.coalesce("p_max_no", F.lit(-1)) + new)
         .alias("_no"),
         F.when(F.col("_goes_on"), F.least("p_fired", fired)).alias("_fired"),
     )
     return (
-        rows.join(met, [*keys, "session_no"])
+        rows.join(met, session == F.col("_session"))
         .withColumns(
             {
                 "opened": F.col("opened") | F.coalesce(at >= F.col("_fired"), F.lit(False)),
                 "session_no": F.col("_no"),
             }
         )
-        .drop("_no", "_fired")
+        .drop("_no", "_fired", "_session")
     )
 
 

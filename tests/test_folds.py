@@ -1,6 +1,6 @@
-"""Chunked scans against a plain fold over each key, on random sequences.
+"""Scans against a plain fold over each key, on random sequences.
 
-The chunks are a few rows long, so every carry across chunks is exercised.
+Keys of more than a few rows are cut, so every carry across slots is exercised.
 """
 
 from __future__ import annotations
@@ -65,8 +65,8 @@ def alerts(spark):
     return rows, spark.createDataFrame(rows, SCHEMA)
 
 
-@pytest.mark.parametrize("chunk", [30, 200, 100_000])
-def test_sequence_features(alerts, chunk):
+@pytest.mark.parametrize("rows_held", [3, 30, 100_000])
+def test_sequence_features(alerts, rows_held):
     rows, df = alerts
     want = {}
     for group in by_key(rows).values():
@@ -101,7 +101,7 @@ def test_sequence_features(alerts, chunk):
             first = None if r is group[0] else group[0][3]
             want[r[2]] = (start, since, fire, unres, first)
     out = sequence.with_sequence_features(
-        df.drop("unresolved_counter"), chunk_seconds=chunk
+        df.drop("unresolved_counter"), max_rows=rows_held
     ).select(
         "alert_id",
         "firing_start",
@@ -114,8 +114,8 @@ def test_sequence_features(alerts, chunk):
     assert got == want
 
 
-@pytest.mark.parametrize("chunk", [30, 100_000])
-def test_previous_and_duplicates(alerts, chunk):
+@pytest.mark.parametrize("rows_held", [5, 100_000])
+def test_previous_and_duplicates(alerts, rows_held):
     rows, df = alerts
     kinds, previous, resolved = {}, {}, {}
     for group in by_key(rows).values():
@@ -129,11 +129,11 @@ def test_previous_and_duplicates(alerts, chunk):
             before = r
             if r[4] == "resolved":
                 last_resolved = r[2]
-    out = dedup.classify_duplicates(df, chunk_seconds=chunk)
+    out = dedup.classify_duplicates(df, max_rows=rows_held)
     assert {r.alert_id: r.dedup_type for r in out.collect()} == kinds
-    out = sequence.previous_alert(df, chunk_seconds=chunk)
+    out = sequence.previous_alert(df, max_rows=rows_held)
     assert {r.alert_id: r.previous_id for r in out.collect()} == previous
-    out = sequence.previous_alert(df, status="resolved", chunk_seconds=chunk)
+    out = sequence.previous_alert(df, status="resolved", max_rows=rows_held)
     assert {r.alert_id: r.previous_id for r in out.collect()} == resolved
 
 
@@ -147,7 +147,7 @@ def test_touch_last_received(alerts):
                 kept = r[2]
             want[kept] = r[3]
             before = r[5]
-    out = dedup.touch_last_received(dedup.classify_duplicates(df, chunk_seconds=60), 60)
+    out = dedup.touch_last_received(dedup.classify_duplicates(df, max_rows=4), 4)
     assert {r.alert_id: r.last_received for r in out.collect()} == want
 
 
@@ -166,7 +166,7 @@ def test_lead_and_following(spark, alerts):
             scan.lead_struct("_next", {"id": F.col("alert_id")}),
             scan.following_first("later", hit),
         ],
-        chunk_seconds=60,
+        max_rows=4,
     ).select("alert_id", "_next.id", "later")
     got = out.collect()
     assert {r[0]: r[1] for r in got} == nexts
@@ -176,8 +176,8 @@ def test_lead_and_following(spark, alerts):
 RULE = CorrelationRule("r", "t0", "rule", ("true",), 300, ("service",))
 
 
-@pytest.mark.parametrize("chunk", [30, 240, 100_000])
-def test_sessions(alerts, chunk):
+@pytest.mark.parametrize("rows_held", [3, 40, 100_000])
+def test_sessions(alerts, rows_held):
     """Incident per key: opens on firing only, ends after the timeframe without alerts."""
     rows, df = alerts
     want = {}
@@ -191,7 +191,7 @@ def test_sessions(alerts, chunk):
             if is_open:
                 want[r[2]] = f"t0/r/{service}/{number}"
     keyed = correlate.group_key(correlate.match_rules(df, [RULE]), [RULE])
-    out = correlate.sessionize(keyed, [RULE], chunk_seconds=chunk)
+    out = correlate.sessionize(keyed, [RULE], max_rows=rows_held)
     assert {r.alert_id: r.incident_id for r in out.collect()} == want
 
 
@@ -199,7 +199,7 @@ def test_visibility_gate(alerts):
     rows, df = alerts
     rule = CorrelationRule("r", "t0", "rule", ("true",), 300, ("service",), threshold=6)
     keyed = correlate.group_key(correlate.match_rules(df, [rule]), [rule])
-    linked = correlate.sessionize(keyed, [rule], chunk_seconds=60)
+    linked = correlate.sessionize(keyed, [rule], max_rows=6)
     members = defaultdict(list)
     for r in linked.collect():
         members[r.incident_id].append(r)
@@ -211,7 +211,7 @@ def test_visibility_gate(alerts):
             if since is None and max(len(counters), sum(counters.values())) >= 6:
                 since = r.ts
         want[incident] = since
-    out = correlate.gate_visibility(linked, [rule], chunk_seconds=60)
+    out = correlate.gate_visibility(linked, [rule], max_rows=6)
     assert {r.incident_id: r.visible_since for r in out.collect()} == want
 
 
@@ -259,7 +259,7 @@ def test_disposable_fields(spark, alerts):
                     disposable.add(field)
         if seen and state:
             want[key] = state
-    out = enrich.current_enrichments(df, op_df, chunk_seconds=60)
+    out = enrich.current_enrichments(df, op_df, max_rows=6)
     got = {r.fingerprint: r.enrichments for r in out.collect() if r.enrichments}
     assert got == want
 
@@ -294,24 +294,26 @@ def test_throttle(alerts, chunk):
     assert {r.id for r in out.collect()} == want
 
 
-def test_chunk_fits_the_largest_burst(alerts):
-    rows, df = alerts
-
-    def largest(width):
-        counts = defaultdict(int)
-        for r in rows:
-            counts[r[1], int((r[3] - START).total_seconds() // width)] += 1
-        return max(counts.values())
-
-    for limit in (3, 40, 10**6):
-        width = scan.fitting_chunk(df, max_rows=limit)
-        wider = [w for w in scan.CHUNK_WIDTHS if w > width]
-        assert largest(width) <= limit or width == min(scan.CHUNK_WIDTHS)
-        assert all(largest(w) > limit for w in wider)
+def test_a_hot_instant_is_cut(spark):
+    """Half of a key's rows come at one instant; no slot holds many of them."""
+    times = [START if i % 2 else START + dt.timedelta(seconds=i) for i in range(4000)]
+    rows = [("t", "hot", i, at) for i, at in enumerate(times)] + [("t", None, 4000, START)]
+    df = spark.createDataFrame(rows, "tenant_id string, fingerprint string, alert_id long, ts timestamp")
+    cuts = scan._slot_cuts(df, scan.ALERT_KEY, scan.ALERT_ORDER, 100)
+    places = [tuple(c) for c in cuts.collect()[0]["_cuts"]]
+    slots = defaultdict(int)
+    for at, i in ((r[3], r[2]) for r in rows[:4000]):
+        slots[sum(c <= (at, i) for c in places)] += 1
+    assert len(slots) > 20 and max(slots.values()) < 400
+    out = scan.run_scans(df, [scan.since_reset("n", F.lit(False))], max_rows=100)
+    assert out.columns == [*df.columns, "n"]
+    got = {(r.fingerprint, r.alert_id): r.n for r in out.collect()}
+    order = sorted((r[3], r[2]) for r in rows[:4000])
+    assert got == {("hot", i): n for n, (_, i) in enumerate(order, 1)} | {(None, 4000): 1}
 
 
 def test_running_number(spark):
     rows = [("t", START + dt.timedelta(seconds=i // 3), i) for i in range(500)]
     df = spark.createDataFrame(rows, "tenant_id string, creation_time timestamp, incident_id long")
-    out = sequence.running_number(df, chunk_seconds=20).collect()
+    out = sequence.running_number(df, max_rows=7).collect()
     assert all(r.running_number == r.incident_id + 1 for r in out)

@@ -59,13 +59,20 @@ def test_filter_reaches_the_scan(spark):
     assert "PushedFilters" in text and "EqualTo(user_id,3)" in text
 
 
-def test_keys_are_shuffled_with_their_chunk(spark):
-    """Rows of a key go to one task per chunk; only chunk summaries meet per key."""
-    text = plan(sequence.with_sequence_features(tables.alerts(spark, FOLDER)))
+@pytest.mark.parametrize("held", [10**9, 50])
+def test_scans_read_and_shuffle_rows_once(spark, held):
+    """Without any broadcast by size; hot keys bring a table of places and one of carried values."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        alerts = tables.alerts(spark, FOLDER)
+        text = plan(sequence.with_sequence_features(alerts, max_rows=held))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     shuffles = [x for x in text.splitlines() if "Exchange hashpartitioning" in x]
-    assert len(shuffles) == 3
-    per_key = [x for x in shuffles if "_chunk" not in x]
-    assert len(per_key) == 1
+    assert len(shuffles) == 1
+    assert ("_slot" in shuffles[0]) == (held == 50)
+    assert sum("FileScan" in x and "events.parquet" in x for x in text.splitlines()) == 1
+    assert "SortMergeJoin" not in text
 
 
 def test_rules_need_one_scan_and_no_shuffle(spark):

@@ -42,7 +42,7 @@ def test_resolution_splits_sessions(spark, policy):
         for alert, number in fold(group, policy, 300).items():
             want.setdefault((service, number), set()).add(alert)
     keyed = correlate.group_key(correlate.match_rules(df, [rule]), [rule])
-    out = resolution.sessions_with_resolution(keyed, [rule], chunk_seconds=120)
+    out = resolution.sessions_with_resolution(keyed, [rule], max_rows=5)
     got = {}
     for r in out.collect():
         got.setdefault(r.incident_id, set()).add(r.alert_id)
