@@ -8,13 +8,17 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import date, datetime
 from functools import reduce
+from threading import RLock
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from alertweave.functions.scalars import SEVERITIES, severity_rank
 
+# held while the session analyses stored predicates
+_ANALYSIS = RLock()
+
 OPS = {
     "=": operator.eq,
     "!=": operator.ne,
@@ -212,25 +216,83 @@ def matched(predicate: Column | str | None) -> Column:
     return F.coalesce(condition(predicate).cast("boolean"), F.lit(False))
 
 
-def stored(df: DataFrame, predicate: Column | str | None) -> Column:
-    """A stored predicate for the rows of ``df``; one that cannot be analysed matches
-    nothing."""
-    if isinstance(predicate, str) and _error(df, [predicate]) is not None:
-        return F.lit(False)
-    return matched(predicate)
+# Functions a stored predicate may call: for every input they give a value or null, and one
+# value for one row. What raises errors, aggregates, explodes, reads other rows or grows without
+# bound is left out, and so is what takes a pattern.
+ALLOWED_FUNCTIONS = frozenset(
+    "abs array array_contains arrays_overlap bit_length btrim cardinality cast ceil ceiling "
+    "char_length character_length coalesce concat concat_ws contains date_trunc day dayofweek "
+    "endswith exists filter floor forall get get_json_object greatest hour if ifnull instr isnan "
+    "isnotnull isnull json_array_length lcase least left length len locate lower ltrim map_keys "
+    "map_values minute month nullif nvl nvl2 position replace right round rtrim second size "
+    "startswith substr substring transform translate trim try_cast try_element_at "
+    "try_to_number try_to_timestamp ucase upper year".split()
+)
+# words that may stand before a bracket without calling a function
+KEYWORDS = frozenset("and or not in when then else case between is interval as".split())
+# words that would read other rows or tables
+FORBIDDEN_WORDS = frozenset("select from over within lateral table values with".split())
+PATTERN_WORDS = frozenset("like ilike rlike regexp".split())
+TOKEN = re.compile(
+    r"""(?P<text>[rR]?'(?:[^'\\]|\\.)*'|[rR]?"(?:[^"\\]|\\.)*")|`[^`]*`|(?P<word>[^\W\d]\w*)|\d[\w.]*|\S""",
+    re.DOTALL,
+)
+
+
+def refusal(spark: SparkSession, predicate: str) -> str | None:
+    """Why a stored predicate may not run, by its words alone; None if it may.
+
+    A predicate that passes and can be analysed raises no error on any row, reads its row only
+    and keeps the number of rows.
+    """
+    tokens = list(TOKEN.finditer(predicate))
+    for i, token in enumerate(tokens):
+        word = (token["word"] or "").lower()
+        after = tokens[i + 1] if i + 1 < len(tokens) else None
+        if word in FORBIDDEN_WORDS:
+            return f"{word} is not part of a predicate"
+        if word in PATTERN_WORDS:
+            if after is None or not after["text"]:
+                return f"the pattern after {word} must be a literal"
+            if (error := _pattern_error(spark, word, after[0])) is not None:
+                return error
+        elif word and after is not None and after[0] == "(":
+            if word not in ALLOWED_FUNCTIONS and word not in KEYWORDS:
+                return f"{word} is not a function for predicates"
+    return None
+
+
+def _pattern_error(spark: SparkSession, word: str, literal_text: str) -> str | None:
+    """The error of a literal pattern, which Spark folds without a job."""
+    try:
+        spark.createDataFrame([("a",)], "a string").select(F.expr(f"a {word} {literal_text}")).collect()
+    except Exception as error:  # whatever Spark raises for a pattern
+        return str(error)
+    return None
+
+
+def stored_test(df: DataFrame, predicate: Column | str | None) -> tuple[DataFrame, Column]:
+    """``df`` with ``_test``, the yes/no of a stored predicate, which the caller drops."""
+    rows, tests = attach_tests(df, [predicate] if isinstance(predicate, str) else [])
+    test = tests[predicate] if isinstance(predicate, str) else matched(predicate)
+    rows = rows.withColumn("_test", test)
+    return rows.drop(*[c for c in rows.columns if c.startswith("_test_")]), F.col("_test")
 
 
 def select(df: DataFrame, predicate: Column | str | None) -> DataFrame:
-    """The rows a stored predicate selects. A filter leaves nulls out by itself, so the
-    plain condition stays visible to the scan."""
-    test = condition(predicate)
-    if isinstance(predicate, str) and not _resolves(df, [test]):
-        return df.filter(F.lit(False))
-    return df.filter(test)
+    """The rows a stored predicate selects; one that is refused or cannot be analysed selects
+    none. A filter leaves nulls out by itself, so the plain condition stays visible to the
+    scan."""
+    if not isinstance(predicate, str) or not predicate.strip():
+        return df.filter(condition(predicate))
+    with _lenient_casts(df.sparkSession):
+        if _error(df, [predicate]) is not None:
+            return df.filter(F.lit(False))
+        return df.filter(condition(predicate).cast("boolean"))
 
 
 def predicate_errors(df: DataFrame, predicates: list[str | None]) -> dict[str, str]:
-    """The stored predicates that cannot be analysed for the rows of ``df``, and why."""
+    """The stored predicates that are refused or cannot be analysed for ``df``, and why."""
     found = {p: _error(df, [p]) for p in dict.fromkeys(predicates)}
     return {p: error for p, error in found.items() if error is not None}
 
@@ -240,10 +302,10 @@ def attach_tests(
 ) -> tuple[DataFrame, dict[str | None, Column]]:
     """``df`` with one yes/no column per stored predicate, and these columns by predicate.
 
-    No predicate ends the job for the others. One that cannot be analysed (syntax, unknown
-    column or function, wrong arguments) matches nothing. Comparisons of mixed types are
-    analysed with casts that give null, so a text that is no number matches no number.
-    The columns are part of the returned frame: they keep these casts.
+    No predicate ends the job for the others, when it is analysed or on any row. One that cannot
+    be analysed (syntax, unknown column, wrong arguments), or that is refused, matches nothing.
+    Comparisons of mixed types are analysed with casts that give null, so a text that is no
+    number matches no number. The columns are part of the returned frame: they keep these casts.
     """
     names = {p: f"_test_{i}" for i, p in enumerate(dict.fromkeys(predicates))}
     if not names:
@@ -255,33 +317,30 @@ def attach_tests(
 
 
 def _error(df: DataFrame, predicates: list[str | None]) -> str | None:
+    for p in predicates:
+        if isinstance(p, str) and (error := refusal(df.sparkSession, p)) is not None:
+            return error
     try:
         df.select(*[matched(p) for p in predicates])
-    except AnalysisException as error:
+    except (AnalysisException, ParseException) as error:
         return str(error)
     return None
 
 
 @contextmanager
 def _lenient_casts(spark: SparkSession) -> Iterator[None]:
-    """Expressions analysed inside cast without errors; the setting is put back after."""
-    name = "spark.sql.ansi.enabled"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
+    """Expressions analysed inside cast without errors; the setting is put back after.
 
-def _resolves(df: DataFrame, tests: list[Column]) -> bool:
-    try:
-        df.select(*tests)
-    except AnalysisException as error:
-        if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
-            raise
-        return False
-    return True
+    The setting is the session's, so one thread at a time has it.
+    """
+    name = "spark.sql.ansi.enabled"
+    with _ANALYSIS:
+        before = spark.conf.get(name)
+        spark.conf.set(name, "false")
+        try:
+            yield
+        finally:
+            spark.conf.set(name, before)
 
 
 def time_filter(

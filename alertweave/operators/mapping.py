@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from alertweave.functions import paths
-from alertweave.functions.predicates import or_, stored
+from alertweave.functions.predicates import or_, stored_test
 from alertweave.functions.scalars import html_unescape
 from alertweave.operators.enrich import render
 from alertweave.operators.sizing import MAX_BROADCAST_ROWS, broadcast_blocks
@@ -36,6 +36,8 @@ class ExtractionRule:
     condition: str | None = None
     pre: bool = False
     disabled: bool = False
+    # None: the rule is every tenant's
+    tenant_id: str | None = None
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,8 @@ class MappingRule:
     new_property_name: str = ""
     prefix_to_remove: str = ""
     lookup: str = ""
+    # None: the rule is every tenant's
+    tenant_id: str | None = None
 
     @property
     def attributes(self) -> list[str]:
@@ -124,10 +128,9 @@ def extract(
             value = F.coalesce(html_unescape(F.when(value.contains("&"), value)), value)
         regex, names = java_regex(rule.regex)
         names.pop("source", None)
-        out = out.withColumn("_value", value)
+        out, applies = _applies(out.withColumn("_value", value), rule)
         value = F.col("_value")
-        condition = None if rule.condition in (None, "", WILDCARD) else rule.condition
-        hit = (F.length(value) > 0) & stored(out, condition) & value.rlike(regex)
+        hit = (F.length(value) > 0) & applies & value.rlike(regex)
         out = _with_missing(out.withColumn("_hit", hit), list(names))
         groups = {
             n: F.nullif(F.regexp_extract(value, regex, i), F.lit("")) for n, i in names.items()
@@ -139,10 +142,26 @@ def extract(
             F.when(F.col("_hit"), SUCCESS).otherwise(SKIPPED),
             F.when(F.col("_hit"), _string_map(groups)).otherwise(_string_map({})),
         )
-        out = out.withColumns(cols).drop("_value", "_hit")
+        out = out.withColumns(cols).drop("_value", "_hit", "_test")
     return out
 
 
+def _applies(df: DataFrame, rule: ExtractionRule | MappingRule) -> tuple[DataFrame, Column]:
+    """``df`` with ``_test``, and whether an alert is the rule's tenant's and meets its condition."""
+    blank = rule.condition is None or rule.condition.strip() in ("", WILDCARD)
+    out, test = stored_test(df, None if blank else rule.condition)
+    if rule.tenant_id is not None:
+        test = test & F.coalesce(F.col("tenant_id") == rule.tenant_id, F.lit(False))
+    return out, test
+
+
+def _own_rows(rows: DataFrame, rule: MappingRule) -> DataFrame:
+    """The lookup rows that a rule reads: those of its tenant, where rows have one."""
+    if rule.tenant_id is None or "tenant_id" not in rows.columns:
+        return rows
+    return rows.filter(F.col("tenant_id") == rule.tenant_id)
+
+
 def _resolver(df: DataFrame) -> Callable[[str], Column]:
     """Dotted path to a column: a top-level column, else a map or struct below one."""
     types = {f.name: f.dataType.typeName() for f in df.schema}
@@ -198,8 +217,9 @@ def map_lookup(
     attrs = rule.attributes
     keyed = alerts.withColumns({f"_m_{a}": resolve(a).cast("string") for a in attrs})
     names = [f"_m_{a}" for a in attrs]
-    active = stored(keyed, rule.condition) & _gate(rule)
-    keyed = keyed.withColumn("_active", active)
+    rows = _own_rows(rows, rule)
+    keyed, applies = _applies(keyed, rule)
+    keyed = keyed.withColumn("_active", applies & _gate(rule)).drop("_test")
 
     values = keyed.filter("_active").select(*names).distinct()
     cells = rows.select("row_idx", *[F.col(a).cast("string").alias(f"_c_{a}") for a in attrs])
@@ -275,13 +295,15 @@ def map_lookup_multi(
     if rule.prefix_to_remove:
         element = F.replace(element, F.lit(rule.prefix_to_remove), F.lit(""))
     ids = [c for c in ("tenant_id", id_col) if c in alerts.columns]
-    keyed = alerts.withColumn("_active", stored(alerts, rule.condition) & F.col(key).isNotNull())
+    rows = _own_rows(rows, rule)
+    keyed, applies = _applies(alerts, rule)
+    keyed = keyed.withColumn("_active", applies & F.col(key).isNotNull()).drop("_test")
     elements = (
         keyed.filter("_active")
         .select(*ids, F.explode(key).alias("_element"))
         .select(*ids, F.trim(element).alias("_element"))
     )
-    names = [c for c in rows.columns if c != "row_idx"]
+    names = [c for c in rows.columns if c not in ("row_idx", "tenant_id")]
     values = F.map_filter(
         _string_map({n.strip(): F.trim(F.col(n).cast("string")) for n in names}),
         lambda key_, value_: value_.isNotNull(),
@@ -344,7 +366,8 @@ def topology_lookup(
     ).agg(picked.alias("_service"))
     resolve = _resolver(alerts)
     keyed = alerts.withColumns({f"_m_{a}": resolve(a).cast("string") for a in attrs})
-    keyed = keyed.withColumn("_active", stored(keyed, rule.condition) & _gate(rule))
+    keyed, applies = _applies(keyed, rule)
+    keyed = keyed.withColumn("_active", applies & _gate(rule)).drop("_test")
     on = F.col("_active") & (F.col("tenant_id") == F.col("_t"))
     for a in attrs:
         on = on & (F.col(f"_m_{a}") == F.col(f"_r_{a}"))
