@@ -265,7 +265,7 @@ def refusal(spark: SparkSession, predicate: str) -> str | None:
 def _pattern_error(spark: SparkSession, word: str, literal_text: str) -> str | None:
     """The error of a literal pattern, which Spark folds without a job."""
     try:
-        spark.createDataFrame([("a",)], "a string").select(F.expr(f"a {word} {literal_text}")).collect()
+        spark.sql(f"SELECT a {word} {literal_text} FROM VALUES ('a') AS t(a)").collect()
     except Exception as error:  # whatever Spark raises for a pattern
         return str(error)
     return None

@@ -14,7 +14,7 @@ from alertweave.functions import paths
 from alertweave.functions.predicates import or_, stored_test
 from alertweave.functions.scalars import html_unescape
 from alertweave.operators.enrich import render
-from alertweave.operators.sizing import MAX_BROADCAST_ROWS, broadcast_blocks
+from alertweave.operators.lookup_index import WILDCARD, first_rows
 
 OUTCOMES = "enrichment_events"
 OUTCOME_TYPE = (
@@ -22,7 +22,6 @@ OUTCOME_TYPE = (
     "fields:map<string,string>>>"
 )
 SUCCESS, FAILURE, SKIPPED = "success", "failure", "skipped"
-WILDCARD = "*"
 # \w, \d and \b cover all of Unicode, as in the patterns users write
 UNICODE_CLASSES = "(?U)"
 
@@ -183,15 +182,6 @@ def _resolver(df: DataFrame) -> Callable[[str], Column]:
     return resolve
 
 
-def _cell_matches(value: Column, cell: Column) -> Column:
-    """Regex search, equality (also of two nulls) or the wildcard."""
-    return (
-        F.when(cell == WILDCARD, True)
-        .when(value.isNull() | cell.isNull(), value.isNull() & cell.isNull())
-        .otherwise((value == cell) | F.rlike(value, F.concat(F.lit(UNICODE_CLASSES), cell)))
-    )
-
-
 def _gate(rule: MappingRule) -> Column:
     """Some alternative has all its attributes."""
     alternatives = [
@@ -201,17 +191,11 @@ def _gate(rule: MappingRule) -> Column:
     return or_(*alternatives)
 
 
-def map_lookup(
-    alerts: DataFrame,
-    rule: MappingRule,
-    rows: DataFrame,
-    max_broadcast: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def map_lookup(alerts: DataFrame, rule: MappingRule, rows: DataFrame) -> DataFrame:
     """Copy the fields of the first lookup row (by ``row_idx``) that matches an alert.
 
-    Regex matching has no join key, so it runs on the distinct attribute values only,
-    against broadcast pieces of the lookup of a checked size; the minimum row per value
-    is combined before the shuffle. The alerts then join by equality.
+    Matching runs on the distinct attribute values only, through an index of the cells; the
+    alerts then join by equality.
     """
     resolve = _resolver(alerts)
     attrs = rule.attributes
@@ -223,23 +207,7 @@ def map_lookup(
 
     values = keyed.filter("_active").select(*names).distinct()
     cells = rows.select("row_idx", *[F.col(a).cast("string").alias(f"_c_{a}") for a in attrs])
-    test = or_(
-        *[
-            reduce(
-                lambda a, b: a & b,
-                [
-                    _cell_matches(F.col(f"_m_{a.strip()}"), F.col(f"_c_{a.strip()}"))
-                    for a in m
-                ],
-            )
-            for m in rule.matchers
-        ]
-    )
-    hits = None
-    for piece in broadcast_blocks(cells, "row_idx", max_broadcast):
-        part = values.join(piece, test, "inner").select(*names, "row_idx")
-        hits = part if hits is None else hits.unionByName(part)
-    first = hits.groupBy(*names).agg(F.min("row_idx").alias("row_idx"))
+    first = first_rows(values, cells, rule.matchers)
 
     copied = [f for f in rule.fields if f not in attrs]
     lookup = rows.select(

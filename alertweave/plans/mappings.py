@@ -103,13 +103,9 @@ def map_lookup(spark, folder):
     f"WITH {LOOKED_UP} SELECT alert_id, owner, tier FROM looked",
 )
 def map_lookup_in_blocks(spark, folder):
-    """The way beyond the broadcast bound: the lookup in pieces."""
-    out = mapping.map_lookup(
-        tables.alerts(spark, folder),
-        LOOKUP_RULE,
-        fixtures.lookup_rows(spark),
-        max_broadcast=2,
-    )
+    """Lookup rows whose numbers are far apart."""
+    rows = fixtures.lookup_rows(spark).withColumn("row_idx", F.col("row_idx") * 400_000_000)
+    out = mapping.map_lookup(tables.alerts(spark, folder), LOOKUP_RULE, rows)
     return out.select("alert_id", "owner", "tier")
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from alertweave import plans
 from alertweave.operators import correlate, dedup, maintenance, mapping, reads, sequence
 from alertweave.operators.maintenance import MaintenanceWindow
-from alertweave.operators.sizing import broadcast_blocks
 from alertweave.plans import fixtures
 from alertweave.sources import tables
 
@@ -34,6 +33,7 @@ def plan(df):
         "t1_query_incidents_page",
         "a9_spammy_alerts",
         "a3_dedup_report",
+        "j11_map_lookup",
         "j12_map_lookup_multi",
     ],
 )
@@ -107,14 +107,6 @@ def dedup_input(spark):
     )
 
 
-def test_broadcast_is_checked_and_cut(spark):
-    rows = spark.range(10).select(F.col("id").cast("int").alias("row_idx"))
-    assert len(list(broadcast_blocks(rows, "row_idx", 10))) == 1
-    pieces = list(broadcast_blocks(rows, "row_idx", 4))
-    assert [p.count() for p in pieces] == [4, 4, 2]
-    assert len(list(broadcast_blocks(rows.filter("row_idx > 99"), "row_idx", 4))) == 1
-
-
 def test_null_times_and_keys_are_kept(spark):
     now = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame(
