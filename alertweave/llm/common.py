@@ -17,8 +17,6 @@ BATCH_ROWS = 1000
 BATCH_BYTES = 32 << 20
 # characters that Python works on at once, unless one text is longer
 GROUP_CHARS = 1 << 20
-# rows that a broadcast may hold (ids, not texts); beyond it the join is shuffled
-BROADCAST_ROWS = 1_000_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -83,7 +81,5 @@ def by_size(texts: list[str | None]) -> Iterator[list[str | None]]:
 
 
 def keyed_join(large: DataFrame, small: DataFrame, on: str, how: str) -> DataFrame:
-    """Join by key; ``small``, a written table, is broadcast only if it is counted small."""
-    if small.count() <= BROADCAST_ROWS:
-        small = F.broadcast(small)
+    """Join by key; Spark broadcasts ``small``, a written table, by its size in bytes or not at all."""
     return large.join(small, on, how)

@@ -102,6 +102,9 @@ def original_spans(text: str, ranges: list[tuple[int, int]]) -> list[dict]:
     return [{"start": at[a][0], "end": at[b - 1][1]} for a, b in ranges]
 
 
+RESULTS = ["n_words", "n_hit", "item_ids", "spans"]
+
+
 def find_leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -120,23 +123,23 @@ def find_leaks(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
         F.col("text").alias("body"),
     ).filter("body is not null")
+    # names of its own, so that a kept column may have any name
+    kept = [c for c in dict.fromkeys(keep) if c not in RESULTS]
+    inner = [f"__k{i}" for i in range(len(kept))]
+    found = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inner, strict=True)], F.col(f"`{text}`").alias("__text"))
     size = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     blocks = -(-size // block_bytes) or 1
-    found = docs
     for i in range(blocks):
         block = items.filter(F.pmod(F.xxhash64("item", "body"), F.lit(blocks)) == i)
         rows = [(r.item, r.body) for r in block.collect()]
-        found = _scan_block(found, docs.sparkSession.sparkContext.broadcast(rows), text, keep,
+        found = _scan_block(found, docs.sparkSession.sparkContext.broadcast(rows), "__text", inner,
                             window, first=i == 0, last=i == blocks - 1)
-    return found
+    return found.select(*inner, *RESULTS).toDF(*kept, *RESULTS)
 
 
 def _scan_block(found, shared, text, keep, window, first, last):
     fields = "n_words long, n_hit long, item_ids array<string>, spans array<struct<start: int, end: int>>"
     if not (first and last):
-        raise_if = set(keep) & {"__earlier", "__body"}
-        if raise_if:
-            raise ValueError(f"reserved column names: {raise_if}")
         fields = "__now struct<n: long, ranges: array<array<long>>, items: array<string>>"
 
     def start():

@@ -1,22 +1,24 @@
 """Similarity join on word 5-grams by vertical partitioning, and its components.
 
 A document's set holds its distinct 5-word shingles as 64-bit hashes. The global order of
-shingles is by frequency, then hash, the rare first. It is cut into fragments three times:
-frequencies are counted fragment by fragment; two sets that overlap enough share one of their
-rarest shingles, so documents meet by those; and where documents meet, partial overlaps are
-counted fragment by fragment and summed per pair. Only links that join what is not joined yet
-leave a task, so a group of n near copies gives n - 1 rows and not n * n.
+shingles is by frequency, then hash, the rare first. It is cut into ``FRAGMENTS`` of about as many
+occurrences each, so that a set is cut into as many parts. Two sets that overlap enough share
+one of their rarest shingles, so documents meet by those; where documents meet, each fragment's
+overlaps are counted for all of their pairs in a task of its own, and the partial overlaps
+of a pair are summed over its fragments in another. Partial overlaps of a group travel packed, as
+rows of a matrix of its pairs. Only links that join what is not joined yet leave a task, and
+each document's number of links, so a group of n near copies gives about 2 n rows and not n * n.
 
 Copies with the same words are one node. Where few meet at a shingle, pairs that cannot link by
-their sizes and its places are left out. Groups that meet are first compared on one fragment of
-the order: its partial overlap and the sizes of the rest bound the whole, which leaves few pairs.
-Only for these the whole sets are sent, and counted anew. A large group is cut into blocks of bounded size,
+their sizes and its places are left out. Groups that meet are first compared on the first fragment
+alone: its partial overlap and the sizes of the rest bound the whole, which leaves few pairs.
+Only for these all fragments are sent. A large group is cut into blocks of bounded size,
 in shingles and in documents, and pairs of blocks are compared in separate tasks.
 
 Defined results: null, empty and blank texts have no shingles and stand alone; a text of one to
-four words is one shingle of its own kind; repeated rows and copies share a component; a null
-id takes part in nothing and has a null component; texts of any length are read whole; an
-empty table gives an empty table; other columns are ignored.
+four words is one shingle of its own kind; repeated rows and copies share a component, and are
+links of each other; a null id takes part in nothing and has a null component; texts of any length
+are read whole; an empty table gives an empty table; other columns are ignored.
 
 Nodes and shingles are 64-bit hashes. Two texts whose node hashes collide are detected by a
 second hash, and another seed is taken.
@@ -30,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +48,8 @@ FRAGMENT_SHINGLES = 2_000_000
 # the bound keeps the broadcast small and moves only work, never results
 FREQUENT = 16
 FREQUENT_SHINGLES = 400_000
-# the first fragment holds the hashes whose first bits are 0, this many
-FRAGMENT_BITS = 2
+# parts that the global order is cut into
+FRAGMENTS = 4
 # shingles, and nodes, of a block of documents that are compared in one task, about
 BLOCK_SHINGLES = 1_000_000
 BLOCK_NODES = 1500
@@ -177,8 +180,8 @@ def unpacked(blob: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(data.reshape(4, -1).T).view("<u4").ravel().astype(np.int64))
 
 
-def frequent_shingles(docs: DataFrame, text: str, total: int, seed: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """The most frequent shingles without their last bits, frequencies, bits that are left out.
+def frequent_shingles(docs: DataFrame, text: str, total: int, seed: int) -> Order:
+    """The global order, from the most frequent shingles, without their last bits.
 
     Each task sends every fragment its part of the order, each shingle with its count. Shingles
     that agree in the bits that are counted share a count, which moves them in the order.
@@ -229,34 +232,62 @@ def frequent_shingles(docs: DataFrame, text: str, total: int, seed: int) -> tupl
     rows = counted.orderBy(F.desc("times"), "key").limit(FREQUENT_SHINGLES).collect()
     keys = np.array([r.key for r in rows], np.uint64)
     order = np.argsort(keys)
-    return keys[order], np.array([r.times for r in rows], np.int64)[order], left
-
-
-def rarest(hashes: np.ndarray, frequent, shift: int) -> np.ndarray:
-    """The set's prefix in the global order: one of it is in every set that overlaps enough."""
-    n = len(hashes)
-    length = n - (-(-PERCENT * n // 100)) + 1
-    keys, times = frequent
-    often = np.zeros(n, np.int64)
-    if len(keys):
-        short = hashes >> np.uint64(shift)
-        at = np.minimum(np.searchsorted(keys, short), len(keys) - 1)
-        often = np.where(keys[at] == short, times[at], 0)
-    return hashes[np.lexsort((hashes, often))[:length]]
-
-
-def prefixes(docs: DataFrame, text: str, seed: int, frequent, shift: int) -> DataFrame:
+    return Order(keys[order], np.array([r.times for r in rows], np.int64)[order], left, total)
+
+
+class Order:
+    """The global order of shingles, and its cuts into fragments of about as many occurrences."""
+
+    def __init__(self, keys: np.ndarray, times: np.ndarray, shift: int, total: int) -> None:
+        """``keys`` are the frequent shingles without their last bits, ascending."""
+        self.keys, self.times, self.shift = keys, times, shift
+        by_order = np.lexsort((keys, times))
+        rare = max(0, total - int(times.sum()))
+        ends = rare + np.cumsum(times[by_order])
+        self.cuts = []
+        for i in range(1, FRAGMENTS):
+            occurrences = total * i // FRAGMENTS
+            if occurrences < rare or not len(keys):
+                self.cuts.append((0, min((occurrences << 64) // max(1, rare), (1 << 64) - 1)))
+            else:
+                at = by_order[min(np.searchsorted(ends, occurrences), len(keys) - 1)]
+                self.cuts.append((int(times[at]), int(keys[at]) << shift))
+
+    def often(self, hashes: np.ndarray) -> np.ndarray:
+        """Frequencies; 0 for those that are not among the frequent ones."""
+        if not len(self.keys):
+            return np.zeros(len(hashes), np.int64)
+        short = hashes >> np.uint64(self.shift)
+        at = np.minimum(np.searchsorted(self.keys, short), len(self.keys) - 1)
+        return np.where(self.keys[at] == short, self.times[at], 0)
+
+    def parts(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """The set fragment by fragment, each in the order of ``hashes``."""
+        often = self.often(hashes)
+        fragment = np.zeros(len(hashes), np.int64)
+        for times, first in self.cuts:
+            fragment += (often > times) | ((often == times) & (hashes >= np.uint64(first)))
+        return [hashes[fragment == i] for i in range(FRAGMENTS)]
+
+    def rarest(self, hashes: np.ndarray) -> np.ndarray:
+        """The set's prefix in the global order: one of it is in every set that overlaps enough."""
+        n = len(hashes)
+        length = n - (-(-PERCENT * n // 100)) + 1
+        return hashes[np.lexsort((hashes, self.often(hashes)))[:length]]
+
+
+def prefixes(docs: DataFrame, text: str, seed: int, shared: Broadcast) -> DataFrame:
     """``token`` and ``node`` for the rarest shingles of every set.
 
     ``place`` has the set's size and, in its low bits, the shingle's place in the set's order.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
+        order = shared.value
         for group in text_batches(batches, Reader(seed)):
             tokens, nodes, places = [], [], []
             for node, own in dict(group).items():
-                first = rarest(own, shared.value, shift)
+                first = order.rarest(own)
                 tokens.append(first)
                 nodes.append(np.full(len(first), node, np.int64))
                 places.append((len(own) << PLACE_BITS) + np.arange(len(first), dtype=np.int64))
@@ -372,36 +403,40 @@ def grouped(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "root").select("root", "node", "n", "blocks")
 
 
-def sets_of(docs: DataFrame, groups: DataFrame, classes: DataFrame, seed: int, part: bool) -> DataFrame:
-    """``hashes`` of every node of the groups, or the first fragment of them, group by group.
+def sets_of(
+    docs: DataFrame, groups: DataFrame, classes: DataFrame, seed: int, shared: Broadcast, fragments: int
+) -> DataFrame:
+    """``hashes`` of every node of the groups in the first ``fragments`` of the order, one by one.
 
     The text with the least id of a node is read for it; it is hashed once for all its groups,
     which are fewer than it has shingles.
     """
     each = F.collect_list(F.struct("root", "blocks")).alias("groups")
     held = groups.groupBy("node").agg(each).join(classes, "node")
-    wanted = cut(held.select(F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "groups"))
+    names = F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "copies", "groups"
+    wanted = cut(held.select(*names))
 
     def start():
-        reader = Reader(seed)
+        reader, order = Reader(seed), shared.value
 
         def work(texts):
             nodes, sets = reader.read([lowered(t) for t in texts])
-            sent = [s[: np.searchsorted(s, 1 << 64 - FRAGMENT_BITS)] for s in sets] if part else sets
-            return [nodes.tolist(), [len(s) for s in sets], [s.tobytes() for s in sent]]
+            parts = [[p.tobytes() for p in order.parts(s)[:fragments]] for s in sets]
+            return [nodes.tolist(), [len(s) for s in sets], parts]
 
         return work
 
     texts = keyed_join(docs, wanted, "doc_id", "inner")
-    read = append_columns(texts, "text", ["held", "groups"], "node long, n long, hashes binary", start)
+    fields = "node long, n long, parts array<binary>"
+    read = append_columns(texts, "text", ["held", "copies", "groups"], fields, start)
     # another text with the same id is not the one that is wanted
-    group = F.explode("groups").alias("group")
-    read = read.filter("node = held").select("node", "n", "hashes", group)
-    return read.select("group.root", "group.blocks", "node", "n", "hashes")
+    read = read.filter("node = held").select("node", "n", "copies", "parts", F.explode("groups").alias("group"))
+    columns = "group.root", "group.blocks", "node", "n", "copies"
+    return read.select(*columns, F.posexplode("parts").alias("fragment", "hashes"))
 
 
 def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
-    """Overlap of every two sets: partial overlaps by fragment of the order, summed."""
+    """Overlap of every two sets, counted over some of their shingles at a time."""
     total = np.zeros((len(sets), len(sets)), np.float32)
     values = np.concatenate(sets)
     if not len(values):
@@ -419,9 +454,9 @@ def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
     width = max(64, MATRIX_CELLS // len(sets))
     edges = np.searchsorted(column, np.arange(0, column[-1] + width + 1, width))
     for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-        fragment = np.zeros((len(sets), width), np.float32)
-        fragment[owner[a:b], column[a:b] - i * width] = 1
-        total += fragment @ fragment.T
+        held = np.zeros((len(sets), width), np.float32)
+        held[owner[a:b], column[a:b] - i * width] = 1
+        total += held @ held.T
     return total
 
 
@@ -450,38 +485,136 @@ def linked_pairs(nodes: list[int], sets: list[np.ndarray], sizes: list[int], sid
     return [(nodes[a], nodes[b]) for a, b in spanning(linked)]
 
 
-def pairs_of(sets: DataFrame) -> DataFrame:
-    """``linked_pairs`` of each group, block by block, each pair of blocks in one task."""
+def in_blocks(sets: DataFrame) -> DataFrame:
+    """``sets`` by group and pair (i, j) of its blocks."""
     block = F.pmod(F.xxhash64("node", F.lit("block")), F.col("blocks"))
     partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     placed = sets.withColumn("block", block).withColumn("partner", partner)
     low, high = F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j")
-    placed = placed.select("root", low, high, "block", "node", "n", "hashes")
+    return placed.select("root", low, high, "block", "node", "n", "copies", "fragment", "hashes")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], names: list[str]):
+    """The rows of each key, which are sorted by it, as lists of the named columns."""
+    at, held = None, []
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in (*keys, *names)]
+        for row in zip(*columns, strict=True):
+            key = row[: len(keys)]
+            if key != at:
+                if held:
+                    yield at, [list(c) for c in zip(*held, strict=True)]
+                at, held = key, []
+            held.append(row[len(keys) :])
+    if held:
+        yield at, [list(c) for c in zip(*held, strict=True)]
+
+
+def pairs_of(sets: DataFrame) -> DataFrame:
+    """``linked_pairs`` of each group by its first fragment, each pair of blocks in one task."""
     keys = ["root", "i", "j"]
 
     def run(batches):
-        key, held = None, {}
-        for batch in batches:
+        for _, (nodes, sizes, sides, hashes) in whole_groups(batches, keys, ["node", "n", "block", "hashes"]):
+            # repeated ids bring a node several times
+            own = {node: (np.frombuffer(h, np.uint64), n, side) for node, n, side, h in
+                   zip(nodes, sizes, sides, hashes, strict=True)}
+            if len(own) > 1 and (made := linked_pairs(list(own), *zip(*own.values(), strict=True))):
+                yield columns_of(["a", "b"], zip(*made, strict=True))
+
+    placed = in_blocks(sets.filter("fragment = 0"))
+    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+
+
+def columns_of(names: list[str], columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+
+
+PARTIAL = ["root", "i", "j", "strip", "fragment", "nodes", "overlaps"]
+
+
+def partial_overlaps(sets: DataFrame) -> DataFrame:
+    """Overlaps of all pairs of a group in one fragment of the order, one task for each fragment.
+
+    ``overlaps`` has some rows of the matrix of the group's pairs, in order of node, and
+    ``nodes``, with the first fragment only, its nodes, their sizes, copies and sides.
+    """
+    keys = ["root", "i", "j", "fragment"]
+
+    def run(batches):
+        names = ["node", "n", "copies", "block", "hashes"]
+        for (root, i, j, fragment), columns in whole_groups(batches, keys, names):
+            rows = {row[0]: row for row in zip(*columns, strict=True)}
+            rows = [rows[node] for node in sorted(rows)]
+            if len(rows) < 2:
+                continue
+            total = overlap_matrix([np.frombuffer(r[4], np.uint64) for r in rows]).astype("<u4")
+            own = np.array([r[:4] for r in rows], np.int64).tobytes() if fragment == 0 else None
             made = []
-            columns = [batch.column(c).to_pylist() for c in (*keys, "node", "n", "block", "hashes")]
-            for root, i, j, node, n, side, hashes in zip(*columns, strict=True):
-                if (root, i, j) != key:
-                    made += pairs(held)
-                    key, held = (root, i, j), {}
-                held[node] = np.frombuffer(hashes, np.uint64), n, side
-            if made:
-                yield edges(made)
-        if made := pairs(held):
-            yield edges(made)
-
-    def pairs(held):
-        return linked_pairs(list(held), *zip(*held.values(), strict=True)) if len(held) > 1 else []
-
-    def edges(made):
-        columns = [pa.array(c, pa.int64()) for c in zip(*made, strict=True)]
-        return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+            for strip, a in enumerate(range(0, len(rows), STRIP_ROWS)):
+                packed_rows = zstandard.compress(total[a : a + STRIP_ROWS].tobytes(), 1)
+                made.append((root, i, j, strip, fragment, own, packed_rows))
+            arrays = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), [pa.int64()] * 5 + [pa.binary()] * 2, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, PARTIAL)
 
-    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+    placed = in_blocks(sets).withColumn("fragment", F.col("fragment").cast("long"))
+    schema = "root long, i long, j long, strip long, fragment long, nodes binary, overlaps binary"
+    return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def links_of(partial: DataFrame) -> DataFrame:
+    """Partial overlaps of each pair, summed over the fragments, as links.
+
+    Rows (a, b) connect what all links connect; rows (a, ``links``) have the number of documents
+    that node ``a`` is linked with in some rows of a matrix.
+    """
+    keys = ["root", "i", "j", "strip"]
+
+    def run(batches):
+        for (*_, strip), (nodes, overlaps) in whole_groups(batches, keys, ["nodes", "overlaps"]):
+            own = np.frombuffer(next(n for n in nodes if n is not None), np.int64).reshape(-1, 4)
+            node, size, copies, side = own.T
+            first = strip * STRIP_ROWS
+            rows = slice(first, min(first + STRIP_ROWS, len(node)))
+            both = np.zeros((rows.stop - first, len(node)), np.int64)
+            for blob in overlaps:
+                both += np.frombuffer(zstandard.decompress(blob), "<u4").reshape(both.shape)
+            linked = 100 * both >= PERCENT * (size[rows, None] + size[None] - both)
+            if side.min() != side.max():
+                linked &= side[rows, None] != side[None]
+            linked[np.arange(len(linked)), np.arange(first, rows.stop)] = False
+            held = np.flatnonzero(linked.any(1))
+            if len(held):
+                number = linked[held] @ copies
+                yield columns_of(["a", "b", "links"], [node[first + held], [None] * len(held), number])
+                pairs = forest(linked)
+                a, b = node[first + pairs[:, 0]], node[pairs[:, 1]]
+                yield columns_of(["a", "b", "links"], [a, b, [None] * len(a)])
+
+    schema = "a long, b long, links long"
+    return partial.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def forest(linked: np.ndarray) -> np.ndarray:
+    """Pairs (row, column) of a matrix that connect what all of its pairs connect."""
+    free = np.ones(linked.shape[1], bool)
+    waiting = linked.any(1)
+    out = []
+    for start in range(len(linked)):
+        todo = [start] if waiting[start] else []
+        waiting[start] = False
+        while todo:
+            row = todo.pop()
+            found = np.flatnonzero(linked[row] & free)
+            free[found] = False
+            out += [(row, c) for c in found.tolist()]
+            # rows that share one of the columns come next; one pair ties each to the others
+            for c in found.tolist():
+                more = np.flatnonzero(linked[:, c] & waiting)
+                waiting[more] = False
+                out += [(r, c) for r in more.tolist()]
+                todo += more.tolist()
+    return np.array(out, np.int64).reshape(-1, 2)
 
 
 def components(found: DataFrame) -> DataFrame:
@@ -515,31 +648,41 @@ def components(found: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``component_id``, the least id reachable by links."""
+    """``doc_id``, ``n_shingles``, ``component_id``, the least id reachable by links, ``n_links``."""
     docs = docs.select("doc_id", F.col(text).alias("text"))
     seed = 0
     while True:
         rows = cut(signatures(docs, "text", seed))
         known = rows.filter("n_shingles > 0 and doc_id is not null")
         classes = known.groupBy("node").agg(
-            F.min("doc_id").alias("least_id"), F.min("other").alias("x"), F.max("other").alias("y")
+            F.min("doc_id").alias("least_id"),
+            F.count("*").alias("copies"),
+            F.min("other").alias("x"),
+            F.max("other").alias("y"),
         )
         classes = cut(classes)
         if classes.filter("x <> y").isEmpty():
             break
         seed += 1
-    classes = classes.select("node", "least_id")
+    classes = classes.select("node", "least_id", "copies")
     named = docs.filter("doc_id is not null")
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
-    *frequent, shift = frequent_shingles(named, "text", total, seed)
-    met = meetings(prefixes(named, "text", seed, frequent, shift))
-    near = components(pairs_of(sets_of(named, met, classes, seed, part=True)))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(named, "text", total, seed))
+    met = meetings(prefixes(named, "text", seed, shared))
+    near = components(pairs_of(sets_of(named, met, classes, seed, shared, 1)))
     near = grouped(near.join(met.select("node", "n").distinct(), "node"))
-    roots = components(pairs_of(sets_of(named, near, classes, seed, part=False)))
+    # every node is in one group now, so every pair is counted once
+    partial = partial_overlaps(sets_of(named, near, classes, seed, shared, FRAGMENTS))
+    links = cut(links_of(partial))
+    roots = components(links.filter("b is not null").select("a", "b"))
     linked = roots.join(classes, "node")
     linked = linked.join(linked.groupBy("root").agg(F.min("least_id").alias("component")), "root")
     linked = linked.select("node", "component")
-    placed = rows.join(classes, "node", "left").join(linked, "node", "left")
+    number = links.filter("links is not null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    placed = rows.join(classes, "node", "left").join(linked, "node", "left").join(number, "node", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.coalesce("component", "least_id"))
-    return placed.select("doc_id", "n_shingles", component.alias("component_id"))
+    n_links = F.when(alone, 0).otherwise(F.col("copies") - 1 + F.coalesce("links", F.lit(0)))
+    return placed.select(
+        "doc_id", "n_shingles", component.alias("component_id"), n_links.cast("long").alias("n_links")
+    )

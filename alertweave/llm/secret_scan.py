@@ -68,7 +68,8 @@ MORE_RULES = (
     Rule("repository_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("web_token", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*"),
+    # no start inside a run and no way back into one, so that nothing is read twice
+    Rule("web_token", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]*+"),
 )
 RULES = BASE_RULES + MORE_RULES
 

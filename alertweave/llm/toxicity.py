@@ -328,9 +328,15 @@ def tag(
 
 
 def spans_of(text: str, lowered: str, found: np.ndarray) -> list[dict]:
-    """Offsets of toxic tokens; where lowering changes the length, they are of that text."""
+    """Offsets of toxic tokens in the text as it was; lowering may have made it longer."""
     hits = np.flatnonzero(found >= SPAN_MARGINAL)
     if not len(hits):
         return []
-    at = [m.span() for m in TOKEN.finditer(lowered)]
-    return [{"start": at[i][0], "end": at[i][1], "marginal": float(found[i])} for i in hits]
+    at = np.array([m.span() for m in TOKEN.finditer(lowered)])[hits]
+    if len(lowered) != len(text):
+        ends = np.cumsum([len(c.lower()) for c in text])
+        at = np.searchsorted(ends, at - [0, 1], side="right") + [0, 1]
+    return [
+        {"start": a, "end": b, "marginal": m}
+        for (a, b), m in zip(at.tolist(), found[hits].tolist(), strict=True)
+    ]
