@@ -60,6 +60,9 @@ HELD_ROWS = 4096
 STRIP_ROWS = 256
 # cells of a matrix of documents and shingles
 MATRIX_CELLS = 4_000_000
+# rows, and bytes of matrices, that leave a task at once
+SENT_ROWS = 5000
+SENT_BYTES = 8 << 20
 # first bits of a shingle that its frequency is counted by, after those of its fragment
 COUNT_BITS = 24
 
@@ -403,36 +406,38 @@ def grouped(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "root").select("root", "node", "n", "blocks")
 
 
-def sets_of(
-    docs: DataFrame, groups: DataFrame, classes: DataFrame, seed: int, shared: Broadcast, fragments: int
+def held_sets(
+    docs: DataFrame, nodes: DataFrame, classes: DataFrame, seed: int, shared: Broadcast
 ) -> DataFrame:
-    """``hashes`` of every node of the groups in the first ``fragments`` of the order, one by one.
+    """The sets of some nodes, a column for each fragment of the order, with ``n`` and ``copies``.
 
-    The text with the least id of a node is read for it; it is hashed once for all its groups,
-    which are fewer than it has shingles.
+    The text with the least id of a node is read for it, and hashed once for all that follows.
     """
-    each = F.collect_list(F.struct("root", "blocks")).alias("groups")
-    held = groups.groupBy("node").agg(each).join(classes, "node")
-    names = F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "copies", "groups"
-    wanted = cut(held.select(*names))
+    wanted = nodes.join(classes, "node").select(F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "copies")
+    texts = keyed_join(docs, cut(wanted), "doc_id", "inner")
 
     def start():
         reader, order = Reader(seed), shared.value
 
         def work(texts):
             nodes, sets = reader.read([lowered(t) for t in texts])
-            parts = [[p.tobytes() for p in order.parts(s)[:fragments]] for s in sets]
-            return [nodes.tolist(), [len(s) for s in sets], parts]
+            parts = zip(*[[p.tobytes() for p in order.parts(s)] for s in sets], strict=True) if sets else [[]] * FRAGMENTS
+            return [nodes.tolist(), [len(s) for s in sets], *map(list, parts)]
 
         return work
 
-    texts = keyed_join(docs, wanted, "doc_id", "inner")
-    fields = "node long, n long, parts array<binary>"
-    read = append_columns(texts, "text", ["held", "copies", "groups"], fields, start)
+    fields = "node long, n long, " + ", ".join(f"p{i} binary" for i in range(FRAGMENTS))
+    read = append_columns(texts, "text", ["held", "copies"], fields, start)
     # another text with the same id is not the one that is wanted
-    read = read.filter("node = held").select("node", "n", "copies", "parts", F.explode("groups").alias("group"))
-    columns = "group.root", "group.blocks", "node", "n", "copies"
-    return read.select(*columns, F.posexplode("parts").alias("fragment", "hashes"))
+    return cut(read.filter("node = held").drop("held"))
+
+
+def sets_of(held: DataFrame, groups: DataFrame, fragments: int) -> DataFrame:
+    """``hashes`` of every node of the groups in the first ``fragments`` of the order, one by one."""
+    parts = F.array(*[F.struct(F.lit(i).alias("fragment"), F.col(f"p{i}").alias("hashes")) for i in range(fragments)])
+    # a written table, so that Spark knows its size and moves the sets only if it must
+    rows = held.join(cut(groups.select("root", "blocks", "node")), "node")
+    return rows.select("root", "blocks", "node", "n", "copies", F.inline(parts))
 
 
 def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
@@ -451,7 +456,7 @@ def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
     column = np.cumsum(new[shared]) - 1  # a shared shingle's first row is shared too
     if not len(column):
         return total
-    width = max(64, MATRIX_CELLS // len(sets))
+    width = min(int(column[-1]) + 1, max(64, MATRIX_CELLS // len(sets)))
     edges = np.searchsorted(column, np.arange(0, column[-1] + width + 1, width))
     for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
         held = np.zeros((len(sets), width), np.float32)
@@ -515,19 +520,26 @@ def pairs_of(sets: DataFrame) -> DataFrame:
     keys = ["root", "i", "j"]
 
     def run(batches):
+        made: list[tuple] = []
         for _, (nodes, sizes, sides, hashes) in whole_groups(batches, keys, ["node", "n", "block", "hashes"]):
             # repeated ids bring a node several times
             own = {node: (np.frombuffer(h, np.uint64), n, side) for node, n, side, h in
                    zip(nodes, sizes, sides, hashes, strict=True)}
-            if len(own) > 1 and (made := linked_pairs(list(own), *zip(*own.values(), strict=True))):
-                yield columns_of(["a", "b"], zip(*made, strict=True))
+            if len(own) > 1:
+                made += linked_pairs(list(own), *zip(*own.values(), strict=True))
+            if len(made) > SENT_ROWS:
+                yield rows_batch(["a", "b"], made, [pa.int64()] * 2)
+                made = []
+        if made:
+            yield rows_batch(["a", "b"], made, [pa.int64()] * 2)
 
     placed = in_blocks(sets.filter("fragment = 0"))
     return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def columns_of(names: list[str], columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+def rows_batch(names: list[str], rows: list[tuple], types: list[pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
 
 PARTIAL = ["root", "i", "j", "strip", "fragment", "nodes", "overlaps"]
@@ -543,6 +555,8 @@ def partial_overlaps(sets: DataFrame) -> DataFrame:
 
     def run(batches):
         names = ["node", "n", "copies", "block", "hashes"]
+        types = [pa.int64()] * 5 + [pa.binary()] * 2
+        made, size = [], 0
         for (root, i, j, fragment), columns in whole_groups(batches, keys, names):
             rows = {row[0]: row for row in zip(*columns, strict=True)}
             rows = [rows[node] for node in sorted(rows)]
@@ -550,12 +564,15 @@ def partial_overlaps(sets: DataFrame) -> DataFrame:
                 continue
             total = overlap_matrix([np.frombuffer(r[4], np.uint64) for r in rows]).astype("<u4")
             own = np.array([r[:4] for r in rows], np.int64).tobytes() if fragment == 0 else None
-            made = []
             for strip, a in enumerate(range(0, len(rows), STRIP_ROWS)):
                 packed_rows = zstandard.compress(total[a : a + STRIP_ROWS].tobytes(), 1)
                 made.append((root, i, j, strip, fragment, own, packed_rows))
-            arrays = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), [pa.int64()] * 5 + [pa.binary()] * 2, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, PARTIAL)
+                size += len(packed_rows)
+            if size > SENT_BYTES or len(made) > SENT_ROWS:
+                yield rows_batch(PARTIAL, made, types)
+                made, size = [], 0
+        if made:
+            yield rows_batch(PARTIAL, made, types)
 
     placed = in_blocks(sets).withColumn("fragment", F.col("fragment").cast("long"))
     schema = "root long, i long, j long, strip long, fragment long, nodes binary, overlaps binary"
@@ -571,6 +588,7 @@ def links_of(partial: DataFrame) -> DataFrame:
     keys = ["root", "i", "j", "strip"]
 
     def run(batches):
+        made: list[tuple] = []
         for (*_, strip), (nodes, overlaps) in whole_groups(batches, keys, ["nodes", "overlaps"]):
             own = np.frombuffer(next(n for n in nodes if n is not None), np.int64).reshape(-1, 4)
             node, size, copies, side = own.T
@@ -586,10 +604,15 @@ def links_of(partial: DataFrame) -> DataFrame:
             held = np.flatnonzero(linked.any(1))
             if len(held):
                 number = linked[held] @ copies
-                yield columns_of(["a", "b", "links"], [node[first + held], [None] * len(held), number])
+                made += [(a, None, x) for a, x in zip(node[first + held].tolist(), number.tolist(), strict=True)]
                 pairs = forest(linked)
-                a, b = node[first + pairs[:, 0]], node[pairs[:, 1]]
-                yield columns_of(["a", "b", "links"], [a, b, [None] * len(a)])
+                a, b = node[first + pairs[:, 0]].tolist(), node[pairs[:, 1]].tolist()
+                made += [(x, y, None) for x, y in zip(a, b, strict=True)]
+            if len(made) > SENT_ROWS:
+                yield rows_batch(["a", "b", "links"], made, [pa.int64()] * 3)
+                made = []
+        if made:
+            yield rows_batch(["a", "b", "links"], made, [pa.int64()] * 3)
 
     schema = "a long, b long, links long"
     return partial.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
@@ -669,10 +692,11 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(named, "text", total, seed))
     met = meetings(prefixes(named, "text", seed, shared))
-    near = components(pairs_of(sets_of(named, met, classes, seed, shared, 1)))
+    held = held_sets(named, met.select("node").distinct(), classes, seed, shared)
+    near = components(pairs_of(sets_of(held, met, 1)))
     near = grouped(near.join(met.select("node", "n").distinct(), "node"))
     # every node is in one group now, so every pair is counted once
-    partial = partial_overlaps(sets_of(named, near, classes, seed, shared, FRAGMENTS))
+    partial = partial_overlaps(sets_of(held, near, FRAGMENTS))
     links = cut(links_of(partial))
     roots = components(links.filter("b is not null").select("a", "b"))
     linked = roots.join(classes, "node")
