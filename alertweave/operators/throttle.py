@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,43 +47,34 @@ def chunk_exits(ts: np.ndarray, start: int, interval: int) -> tuple[list[int], l
     return entries[keep].tolist(), exits[keep].tolist()
 
 
-Arrays = dict[str, np.ndarray]
-
-
-def sorted_groups(
-    pdfs: Iterator[pd.DataFrame], cols: list[str]
-) -> Iterator[tuple[tuple, Arrays]]:
-    """The groups of a partition sorted by ``cols``, each whole, also across batches."""
-    pending: list[Arrays] = []
-    owner: tuple | None = None
-
-    def whole() -> Arrays:
-        if len(pending) == 1:
-            return pending[0]
-        return {n: np.concatenate([p[n] for p in pending]) for n in pending[0]}
-
-    for pdf in pdfs:
-        if pdf.empty:
-            continue
-        arrays = {n: pdf[n].to_numpy() for n in pdf.columns}
-        changed = np.zeros(len(pdf), dtype=bool)
-        changed[0] = True
-        for c in cols:
-            changed[1:] |= arrays[c][1:] != arrays[c][:-1]
-        starts = np.flatnonzero(changed).tolist()
-        for start, end in zip(starts, [*starts[1:], len(pdf)]):
-            key = tuple(arrays[c][start] for c in cols)
-            if key != owner and pending:
-                yield owner, whole()
-                pending = []
-            owner = key
-            pending.append({n: values[start:end] for n, values in arrays.items()})
-    if pending:
-        yield owner, whole()
+# the columns that stand for the keys, and that mark the first row of a group
+KEY = "_throttle_key"
+FIRST = "_first"
+
 
+def marked(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Rows dealt by ``by`` and in order, with a mark at the first one of each group.
 
-# the column that stands for the keys
-KEY_TEXT = "_throttle_key"
+    Spark compares the values, so that any type of key, null included, is told apart exactly.
+    """
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    return df.withColumn(FIRST, place == 1).sortWithinPartitions(*by, *order)
+
+
+def marked_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The groups of a partition of ``marked`` rows, each whole, also across batches."""
+    pending: list[pa.RecordBatch] = []
+    for batch in batches:
+        starts = np.flatnonzero(batch.column(FIRST).to_numpy(zero_copy_only=False)).tolist()
+        edges, first = [0, *starts, batch.num_rows], set(starts)
+        for start, end in zip(edges, edges[1:]):
+            if pending and end > start and start in first:
+                yield pa.Table.from_batches(pending)
+                pending = []
+            if end > start:
+                pending.append(batch.slice(start, end - start))
+    if pending:
+        yield pa.Table.from_batches(pending)
 
 
 def throttle(
@@ -96,78 +88,74 @@ def throttle(
     Which event passes depends on all before it, so the rows of a key are cut into time
     chunks: each chunk is reduced to the few pairs (first passed, last passed) it can have,
     the pairs of a key are walked in order to find the time each chunk starts from, and
-    the chunks are then evaluated side by side. Events at one instant are one.
+    the chunks are then evaluated side by side. Events at one instant are one, with the least
+    id; events without a time never pass. Keys may be of any type that can be grouped by, and
+    come back as they are.
     """
     if chunk_seconds < interval_seconds:
         raise ValueError("a chunk must be at least as long as the interval")
-    # one text that is never null stands for the keys
-    owner = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias(KEY_TEXT)
-    named = events.select(owner, "ts", "id")
-    found = _throttle(named, [KEY_TEXT], interval_seconds * MICROS, chunk_seconds)
-    kinds = T.StructType([events.schema[k] for k in keys])
-    back = found.withColumn(KEY_TEXT, F.from_json(KEY_TEXT, kinds))
-    return back.select(*[F.col(f"{KEY_TEXT}.{k}").alias(k) for k in keys], "ts", "id")
+    # a struct is never null itself, so it joins by equality
+    named = events.filter("ts is not null").select(F.struct(*keys).alias(KEY), "ts", "id")
+    found = _throttle(named, interval_seconds * MICROS, chunk_seconds)
+    return found.select(*[F.col(f"{KEY}.`{k}`").alias(k) for k in keys], "ts", "id")
 
 
-def _throttle(events: DataFrame, keys: list[str], interval: int, chunk_seconds: int) -> DataFrame:
+def _throttle(events: DataFrame, interval: int, chunk_seconds: int) -> DataFrame:
     span = chunk_seconds * MICROS
-    by_key = [events.schema[k] for k in keys]
-    by_chunk = [*by_key, T.StructField("chunk", T.LongType())]
-    group = [*keys, "chunk"]
+    group = [KEY, "chunk"]
+    key_type = events.schema[KEY]
     instants = (
-        events.groupBy(*keys, "ts")
+        events.groupBy(KEY, "ts")
         .agg(F.min("id").alias("id"))
         .withColumns({"chunk": chunk_of("ts", chunk_seconds), "at": F.unix_micros("ts")})
     )
 
-    def exits_of(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = []
-        for key, part in sorted_groups(pdfs, group):
-            first, last = chunk_exits(part["at"], int(key[-1]) * span, interval)
-            rows.extend((*key, f, l) for f, l in zip(first, last))
-        yield pd.DataFrame(rows, columns=[*group, "entry", "exit"])
-
-    def starts_of(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        owner, ready, rows = None, 0, []
-        for key, part in sorted_groups(pdfs, group):
-            if key[:-1] != owner:
-                owner, ready = key[:-1], np.iinfo(np.int64).min
-            rows.append((*key, ready))
-            at = int(np.searchsorted(part["entry"], ready))
-            if at < len(part["entry"]):
-                ready = int(part["exit"][at]) + interval
-        yield pd.DataFrame(rows, columns=[*group, "ready"])
-
-    def passed(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [*keys, "ts", "id"]
-        found: dict[str, list] = {n: [] for n in columns}
-        for _, part in sorted_groups(pdfs, group):
-            kept = emitted(part["at"], int(part["ready"][0]), interval)
-            for n in columns:
-                found[n].append(part[n][kept])
-        if found["id"]:
-            yield pd.DataFrame({n: np.concatenate(parts) for n, parts in found.items()})
-
-    pairs = (
-        instants.select(*group, "at")
-        .repartition(*group)
-        .sortWithinPartitions(*group, "at")
-        .mapInPandas(
-            exits_of,
-            T.StructType([*by_chunk]).add("entry", "long").add("exit", "long"),
-        )
+    def exits_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in marked_groups(batches):
+            chunk = part.column("chunk")[0].as_py()
+            first, last = chunk_exits(part.column("at").to_numpy(), chunk * span, interval)
+            n = len(first)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(KEY).take(pa.array([0] * n)).combine_chunks(),
+                    *[pa.array(c, pa.int64()) for c in ([chunk] * n, first, last)],
+                ],
+                [*group, "entry", "exit"],
+            )
+
+    def starts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in marked_groups(batches):
+            chunks, entries, exits = (part.column(c).to_numpy() for c in ("chunk", "entry", "exit"))
+            edges = np.flatnonzero(np.diff(chunks, prepend=chunks[0] - 1)).tolist()
+            ready, readies = int(np.iinfo(np.int64).min), []
+            for start, end in zip(edges, [*edges[1:], len(chunks)]):
+                readies.append(ready)
+                at = start + int(np.searchsorted(entries[start:end], ready))
+                if at < end:
+                    ready = int(exits[at]) + interval
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(KEY).take(pa.array(edges)).combine_chunks(),
+                    pa.array(chunks[edges], pa.int64()),
+                    pa.array(readies, pa.int64()),
+                ],
+                [*group, "ready"],
+            )
+
+    def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in marked_groups(batches):
+            ready = part.column("ready")[0].as_py()
+            kept = emitted(part.column("at").to_numpy(), ready, interval)
+            yield from part.select([KEY, "ts", "id"]).take(pa.array(kept, pa.int64())).to_batches()
+
+    pairs = marked(instants.select(*group, "at"), group, ["at"]).mapInArrow(
+        exits_of, T.StructType([key_type]).add("chunk", "long").add("entry", "long").add("exit", "long")
     )
-    starts = (
-        pairs.repartition(*keys)
-        .sortWithinPartitions(*group, "entry")
-        .mapInPandas(starts_of, T.StructType([*by_chunk]).add("ready", "long"))
+    starts = marked(pairs, [KEY], ["chunk", "entry"]).mapInArrow(
+        starts_of, T.StructType([key_type]).add("chunk", "long").add("ready", "long")
     )
-    result = T.StructType([*by_key, events.schema["ts"], events.schema["id"]])
-    return (
-        instants.join(starts, group)
-        .repartition(*group)
-        .sortWithinPartitions(*group, "at")
-        .mapInPandas(passed, result)
+    return marked(instants.join(starts, group), group, ["at"]).mapInArrow(
+        passed, T.StructType([key_type, events.schema["ts"], events.schema["id"]])
     )
 
 

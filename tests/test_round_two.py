@@ -22,6 +22,18 @@ def test_throttle_takes_null_keys(spark):
     assert got == {("a", 0), ("a", 70), (None, 0), (None, 70)}
 
 
+def test_throttle_tells_keys_of_any_type_apart(spark):
+    start = datetime.datetime(2024, 1, 1)
+    micro = datetime.timedelta(microseconds=1)
+    keys = [(start, 1 << 60), (start + micro, 1 << 60), (start, (1 << 60) + 1), (start, None), (None, None)]
+    rows = [(*k, start + datetime.timedelta(seconds=s), f"{i}.{s}") for i, k in enumerate(keys) for s in (0, 5, 3700)]
+    rows += [(*keys[0], None, "no time"), (*keys[0], start, "0.00")]
+    events = spark.createDataFrame(rows, "k timestamp, n long, ts timestamp, id string")
+    got = {(r.k, r.n, r.id) for r in throttle(events, ["k", "n"], 3600, 3600).collect()}
+    assert got == {(*k, f"{i}.{s}") for i, k in enumerate(keys) for s in (0, 3700)}
+    assert throttle(events.limit(0), ["k", "n"]).collect() == []
+
+
 def test_long_fingerprints_stay_apart(spark):
     rows = [("x" * 300 + "1",), ("x" * 300 + "2",), ("short",)]
     df = spark.createDataFrame(rows, "given string")
