@@ -65,6 +65,8 @@ SENT_ROWS = 5000
 SENT_BYTES = 8 << 20
 # first bits of a shingle that its frequency is counted by, after those of its fragment
 COUNT_BITS = 24
+# bits of the map of keys by which rows are left out before a join
+KEY_BITS = 1 << 26
 
 # odd numbers that hashes are multiplied with
 ODD = np.array(
@@ -406,15 +408,36 @@ def grouped(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "root").select("root", "node", "n", "blocks")
 
 
+def among(large: DataFrame, small: DataFrame, on: str) -> DataFrame:
+    """Rows of ``large`` whose key is in ``small``, and few others, before they are shuffled.
+
+    The keys of ``small`` are bits of a map of ``KEY_BITS`` bits, 8 MB, whatever their number. A join
+    by key must follow: other keys share bits, and more of them the more keys there are.
+    """
+    bit = F.pmod(F.xxhash64(on), F.lit(KEY_BITS))
+    bits = small.groupBy(F.bitmap_bucket_number(bit).alias("__bucket"))
+    bits = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("__bits"))
+    place = F.bitmap_bit_position(bit)
+    byte = F.substring("__bits", (place / 8).cast("int") + 1, F.lit(1))
+    number = F.conv(F.hex(byte), 16, 10).cast("int")
+    is_set = F.expr("shiftright(__byte, __bit) & 1 = 1")
+    placed = large.withColumn("__bucket", F.bitmap_bucket_number(bit)).join(F.broadcast(bits), "__bucket")
+    placed = placed.withColumns({"__byte": number, "__bit": (place % 8).cast("int")}).filter(is_set)
+    return placed.select(*large.columns)
+
+
 def held_sets(
-    docs: DataFrame, nodes: DataFrame, classes: DataFrame, seed: int, shared: Broadcast
+    docs: DataFrame, met: DataFrame, classes: DataFrame, seed: int, shared: Broadcast
 ) -> DataFrame:
-    """The sets of some nodes, a column for each fragment of the order, with ``n`` and ``copies``.
+    """The sets of the nodes that meet, a column for each fragment of the order, with their groups.
 
     The text with the least id of a node is read for it, and hashed once for all that follows.
+    A node has at most as many groups as its set has rare shingles, so they travel with its text.
     """
-    wanted = nodes.join(classes, "node").select(F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "copies")
-    texts = keyed_join(docs, cut(wanted), "doc_id", "inner")
+    nodes = met.groupBy("node").agg(F.collect_list(F.struct("root", "blocks")).alias("groups"))
+    wanted = nodes.join(classes, "node")
+    wanted = cut(wanted.select(F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "copies", "groups"))
+    texts = keyed_join(among(docs, wanted, "doc_id"), wanted, "doc_id", "inner")
 
     def start():
         reader, order = Reader(seed), shared.value
@@ -427,16 +450,23 @@ def held_sets(
         return work
 
     fields = "node long, n long, " + ", ".join(f"p{i} binary" for i in range(FRAGMENTS))
-    read = append_columns(texts, "text", ["held", "copies"], fields, start)
+    read = append_columns(texts, "text", ["held", "copies", "groups"], fields, start)
     # another text with the same id is not the one that is wanted
     return cut(read.filter("node = held").drop("held"))
 
 
-def sets_of(held: DataFrame, groups: DataFrame, fragments: int) -> DataFrame:
-    """``hashes`` of every node of the groups in the first ``fragments`` of the order, one by one."""
-    parts = F.array(*[F.struct(F.lit(i).alias("fragment"), F.col(f"p{i}").alias("hashes")) for i in range(fragments)])
+def first_sets(held: DataFrame) -> DataFrame:
+    """``hashes`` of every node in the first fragment of the order, for each group it is in."""
+    rows = held.select(F.inline("groups"), "node", "n", "copies", F.col("p0").alias("hashes"))
+    return rows.withColumn("fragment", F.lit(0))
+
+
+def sets_of(held: DataFrame, groups: DataFrame) -> DataFrame:
+    """``hashes`` of every node of the groups in all fragments of the order, one by one."""
+    parts = F.array(*[F.struct(F.lit(i).alias("fragment"), F.col(f"p{i}").alias("hashes")) for i in range(FRAGMENTS)])
     # a written table, so that Spark knows its size and moves the sets only if it must
-    rows = held.join(cut(groups.select("root", "blocks", "node")), "node")
+    groups = cut(groups.select("root", "blocks", "node"))
+    rows = among(held.drop("groups"), groups, "node").join(groups, "node")
     return rows.select("root", "blocks", "node", "n", "copies", F.inline(parts))
 
 
@@ -533,7 +563,7 @@ def pairs_of(sets: DataFrame) -> DataFrame:
         if made:
             yield rows_batch(["a", "b"], made, [pa.int64()] * 2)
 
-    placed = in_blocks(sets.filter("fragment = 0"))
+    placed = in_blocks(sets)
     return placed.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
@@ -692,11 +722,11 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(named, "text", total, seed))
     met = meetings(prefixes(named, "text", seed, shared))
-    held = held_sets(named, met.select("node").distinct(), classes, seed, shared)
-    near = components(pairs_of(sets_of(held, met, 1)))
+    held = held_sets(named, met, classes, seed, shared)
+    near = components(pairs_of(first_sets(held)))
     near = grouped(near.join(met.select("node", "n").distinct(), "node"))
     # every node is in one group now, so every pair is counted once
-    partial = partial_overlaps(sets_of(held, near, FRAGMENTS))
+    partial = partial_overlaps(sets_of(held, near))
     links = cut(links_of(partial))
     roots = components(links.filter("b is not null").select("a", "b"))
     linked = roots.join(classes, "node")
