@@ -11,7 +11,7 @@ from alertweave.plans.sequences import CLASSES, KEY_WINDOW
 from alertweave.plans.sql import ALERTS, ENRICHMENTS, LATEST_LINE, LINE_ALERTS
 from alertweave.sources import tables
 
-# operations: every event of some kinds sets fields of its key, 30 minutes after it came
+# operations: every event sets fields of its key, 30 minutes after it came
 OPS = f"""{ALERTS},
 ops AS (SELECT tenant_id, fingerprint, ts + INTERVAL 30 MINUTE AS ts, alert_id AS seq,
     k % 4 < 2 AS disposable, k % 16 = 5 AS force,
@@ -19,7 +19,7 @@ ops AS (SELECT tenant_id, fingerprint, ts + INTERVAL 30 MINUTE AS ts, alert_id A
     [concat('o', k), CASE k % 3 WHEN 0 THEN 'suppressed'
       WHEN 1 THEN CASE k % 7 WHEN 0 THEN ' ' WHEN 1 THEN NULL ELSE concat('n', k) END
       ELSE 'true' END] AS vals
-  FROM alerts WHERE k % 5 = 0),
+  FROM alerts),
 op_fields AS (SELECT tenant_id, fingerprint, ts, seq, disposable, force,
     unnest(fields) AS field, unnest(vals) AS value FROM ops)"""
 
@@ -29,20 +29,14 @@ def ops(spark, folder):
     second = F.when(k % 3 == 0, "status").when(k % 3 == 1, "note").otherwise("dismissed")
     note = F.when(k % 7 == 0, " ").when(k % 7 != 1, F.concat(F.lit("n"), k))
     value = F.when(k % 3 == 0, "suppressed").when(k % 3 == 1, note).otherwise("true")
-    return (
-        tables.alerts(spark, folder)
-        .filter(k % 5 == 0)
-        .select(
-            "tenant_id",
-            "fingerprint",
-            (F.col("ts") + F.expr("interval 30 minutes")).alias("ts"),
-            F.col("alert_id").alias("seq"),
-            (k % 4 < 2).alias("disposable"),
-            (k % 16 == 5).alias("force"),
-            F.create_map(F.lit("owner"), F.concat(F.lit("o"), k), second, value).alias(
-                "enrichments"
-            ),
-        )
+    return tables.alerts(spark, folder).select(
+        "tenant_id",
+        "fingerprint",
+        (F.col("ts") + F.expr("interval 30 minutes")).alias("ts"),
+        F.col("alert_id").alias("seq"),
+        (k % 4 < 2).alias("disposable"),
+        (k % 16 == 5).alias("force"),
+        F.create_map(F.lit("owner"), F.concat(F.lit("o"), k), second, value).alias("enrichments"),
     )
 
 
@@ -352,13 +346,10 @@ def with_enrichment(spark, folder):
 )
 def with_instance_enrichment(spark, folder):
     alerts = tables.alerts(spark, folder).withColumn("key", F.col("alert_id").cast("string"))
-    enr = (
-        tables.read_table(spark, folder, "events")
-        .filter("event_id % 9 = 0")
-        .select(
-            F.col("event_id").cast("string").alias("key"),
-            F.create_map(F.lit("status"), F.lit("acknowledged")).alias("enrichments"),
-        )
+    value = F.when(F.col("event_id") % 9 == 0, "acknowledged")
+    enr = tables.read_table(spark, folder, "events").select(
+        F.col("event_id").cast("string").alias("key"),
+        F.create_map(F.lit("status"), value).alias("enrichments"),
     )
     return enrich.with_enrichment(alerts, enr, ["status"], ["key"]).select("alert_id", "status")
 

@@ -195,24 +195,18 @@ STATUS_OPS = """status_ops AS (SELECT l_orderkey AS incident_id, l_shipdate AS t
   l_orderkey * 100000000 + l_partkey * 10000 + l_suppkey * 10 + l_linenumber AS seq,
   CASE l_linenumber % 3 WHEN 0 THEN 'resolved' WHEN 1 THEN 'acknowledged' ELSE 'firing' END
     AS status, concat('user-', l_suppkey % 10) AS actor
-  FROM lineitem WHERE l_quantity < 10)"""
+  FROM lineitem)"""
 
 
 def status_ops(spark, folder):
     n = F.col("l_linenumber") % 3
     key = F.col("l_orderkey") * 100000000 + F.col("l_partkey") * 10000
-    return (
-        tables.read_table(spark, folder, "lineitem")
-        .filter("l_quantity < 10")
-        .select(
-            F.col("l_orderkey").alias("incident_id"),
-            F.col("l_shipdate").cast("timestamp").alias("ts"),
-            (key + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("seq"),
-            F.when(n == 0, "resolved").when(n == 1, "acknowledged").otherwise("firing").alias(
-                "status"
-            ),
-            F.concat(F.lit("user-"), F.col("l_suppkey") % 10).alias("actor"),
-        )
+    return tables.read_table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("incident_id"),
+        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        (key + F.col("l_suppkey") * 10 + F.col("l_linenumber")).alias("seq"),
+        F.when(n == 0, "resolved").when(n == 1, "acknowledged").otherwise("firing").alias("status"),
+        F.concat(F.lit("user-"), F.col("l_suppkey") % 10).alias("actor"),
     )
 
 
@@ -262,20 +256,16 @@ def status_audit(spark, folder):
     f"""WITH {INCIDENTS},
 pinned AS (SELECT l_orderkey AS incident_id, CAST(arg_max(l_linenumber,
     (l_shipdate, l_linenumber * 100000000 + l_partkey)) % 5 + 1 AS INT) AS p
-  FROM lineitem WHERE l_quantity > 48 GROUP BY l_orderkey)
+  FROM lineitem GROUP BY l_orderkey)
 SELECT incident_id, coalesce(p, severity) AS severity, p IS NOT NULL OR forced_severity
   AS forced_severity FROM incidents LEFT JOIN pinned USING (incident_id)""",
 )
 def force_severity(spark, folder):
-    ops = (
-        tables.read_table(spark, folder, "lineitem")
-        .filter("l_quantity > 48")
-        .select(
-            F.col("l_orderkey").alias("incident_id"),
-            F.col("l_shipdate").alias("ts"),
-            (F.col("l_linenumber") * 100000000 + F.col("l_partkey")).alias("seq"),
-            (F.col("l_linenumber") % 5 + 1).alias("severity"),
-        )
+    ops = tables.read_table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("incident_id"),
+        F.col("l_shipdate").alias("ts"),
+        (F.col("l_linenumber") * 100000000 + F.col("l_partkey")).alias("seq"),
+        (F.col("l_linenumber") % 5 + 1).alias("severity"),
     )
     out = incidents.force_severity(tables.incidents(spark, folder), ops)
     return out.select("incident_id", "severity", "forced_severity")
@@ -438,8 +428,8 @@ def new_links(spark, folder):
 # ---- reads
 
 EVENTS_SQL = f"""{LATEST_LINE}, {LIVE}, {INCIDENTS}, {ENRICHMENTS},
-ie AS (SELECT o_orderkey AS incident_id, 'acknowledged' AS ie_status FROM orders
-  WHERE o_orderkey % 17 = 0),
+ie AS (SELECT o_orderkey AS incident_id,
+  CASE WHEN o_orderkey % 17 = 0 THEN 'acknowledged' END AS ie_status FROM orders),
 base AS (SELECT i.* REPLACE (coalesce(ie_status, status) AS status),
     same_incident_in_the_past_id IS NOT NULL AS has_linked_incident
   FROM incidents i LEFT JOIN ie USING (incident_id) WHERE is_visible),
@@ -450,14 +440,12 @@ chain AS (SELECT l.incident_id, a.service, coalesce(e_status, a.status) AS a_sta
 
 def incident_enrichments(spark, folder):
     key = F.col("o_orderkey")
-    return (
-        tables.read_table(spark, folder, "orders")
-        .filter(key % 17 == 0)
-        .select(
-            F.concat(F.lit("t"), key % 3).alias("tenant_id"),
-            key.cast("string").alias("key"),
-            F.create_map(F.lit("status"), F.lit("acknowledged")).alias("enrichments"),
-        )
+    # every incident has an operation; most have no value for the status
+    value = F.when(key % 17 == 0, "acknowledged")
+    return tables.read_table(spark, folder, "orders").select(
+        F.concat(F.lit("t"), key % 3).alias("tenant_id"),
+        key.cast("string").alias("key"),
+        F.create_map(F.lit("status"), value).alias("enrichments"),
     )
 
 
