@@ -174,8 +174,8 @@ def overlay(spark, folder):
 
 @query(
     "e7_enriched_fields",
-    f"""WITH {ENRICHMENTS} SELECT tenant_id, fingerprint, 'note,status' AS fields
-FROM enrichments""",
+    f"""WITH {ENRICHMENTS} SELECT tenant_id, fingerprint,
+  CASE WHEN e_status IS NULL THEN '' ELSE 'note,status' END AS fields FROM enrichments""",
 )
 def enriched_fields(spark, folder):
     names = F.array_join(F.array_sort(enrich.enriched_fields(F.col("enrichments"))), ",")

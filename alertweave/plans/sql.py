@@ -76,9 +76,10 @@ incidents AS (
 ENRICHMENTS = """
 enrichments AS (
   SELECT concat('t', p_partkey % 3) AS tenant_id, concat('part-', p_partkey) AS fingerprint,
-    CASE WHEN p_partkey % 2 = 0 THEN 'resolved' ELSE 'acknowledged' END AS e_status,
-    concat(' ', p_brand, ' ') AS e_note
-  FROM part WHERE p_partkey % 5 = 0)"""
+    CASE WHEN p_partkey % 5 <> 0 THEN NULL WHEN p_partkey % 2 = 0 THEN 'resolved'
+      ELSE 'acknowledged' END AS e_status,
+    CASE WHEN p_partkey % 5 = 0 THEN concat(' ', p_brand, ' ') END AS e_note
+  FROM part)"""
 
 # newest line alert per key
 LATEST_LINE = f"""{LINE_ALERTS},

@@ -157,18 +157,15 @@ def incidents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def enrichments(spark: SparkSession, folder: str) -> DataFrame:
-    """Enrichment maps for some line alerts, derived from ``part``."""
+    """Enrichment maps for line alerts, derived from ``part``; most are empty."""
     key = F.col("p_partkey")
     status = F.when(key % 2 == 0, F.lit("resolved")).otherwise(F.lit("acknowledged"))
-    return (
-        read_table(spark, folder, "part")
-        .filter(key % 5 == 0)
-        .select(
-            F.concat(F.lit("t"), key % 3).alias("tenant_id"),
-            F.concat(F.lit("part-"), key).alias("fingerprint"),
-            F.map_from_arrays(
-                F.array(F.lit("status"), F.lit("note"), F.lit("disposable_status")),
-                F.array(status, F.concat(F.lit(" "), "p_brand", F.lit(" ")), status),
-            ).alias("enrichments"),
-        )
+    values = F.map_from_arrays(
+        F.array(F.lit("status"), F.lit("note"), F.lit("disposable_status")),
+        F.array(status, F.concat(F.lit(" "), "p_brand", F.lit(" ")), status),
+    )
+    return read_table(spark, folder, "part").select(
+        F.concat(F.lit("t"), key % 3).alias("tenant_id"),
+        F.concat(F.lit("part-"), key).alias("fingerprint"),
+        F.map_filter(values, lambda key_, value_: key % 5 == 0).alias("enrichments"),
     )
