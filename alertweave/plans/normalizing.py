@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from alertweave.functions import paths, scalars
+from alertweave.functions import nested, paths, scalars
 from alertweave.operators import normalize
 from alertweave.plans.registry import query
 from alertweave.plans.sql import ALERTS, LATEST_LINE
@@ -307,6 +307,57 @@ def drop_unsafe_keys(spark, folder):
     )
 
 
+@query(
+    "n11_strip_nul_nested",
+    """SELECT doc_id, md5(text) AS text_md5, 'v' || source AS listed,
+  CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lang END AS mapped FROM documents""",
+)
+def strip_nul_nested(spark, folder):
+    """Texts three levels down: an object, its list, the objects of the list."""
+    nul = F.lit("\x00")
+    mapped = F.when(F.col("doc_id") % 3 != 0, F.concat("lang", nul))
+    inner = F.create_map(F.lit("s"), F.concat(F.lit("v"), nul, "source"), F.lit("l"), mapped)
+    value = F.struct(F.concat(nul, "text").alias("text"), F.array(inner).alias("parts"))
+    docs = tables.read_table(spark, folder, "documents").withColumn("value", value)
+    clean = nested.strip_nul_deep(F.col("value"), docs.schema["value"].dataType)
+    return docs.select("doc_id", clean.alias("c")).select(
+        "doc_id",
+        F.md5("c.text").alias("text_md5"),
+        F.col("c.parts")[0]["s"].alias("listed"),
+        F.col("c.parts")[0]["l"].alias("mapped"),
+    )
+
+
+@query(
+    "n12_drop_unsafe_keys_nested",
+    """SELECT event_id, 'safe,parts' AS fields, CASE WHEN event_id % 4 < 3 THEN 1 ELSE 2 END
+    AS n_keys, CAST(event_id AS VARCHAR) AS safe, 'name' AS inner_fields FROM events""",
+)
+def drop_unsafe_keys_nested(spark, folder):
+    """Names three levels down: an object, its list, the objects and maps of the list."""
+    kind = F.col("event_id") % 4
+    second = F.when(kind == 0, "@a").when(kind == 1, " b").when(kind == 2, "\\c").otherwise("d@")
+    text = F.col("event_id").cast("string")
+    inner = F.struct(text.alias("name"), text.alias("$ref"))
+    part = F.struct(
+        F.create_map(F.lit("safe"), text, second, text).alias("labels"), inner.alias("inner")
+    )
+    value = F.struct(text.alias("safe"), text.alias("@id"), F.array(part).alias("parts"))
+    events = tables.read_table(spark, folder, "events").withColumn("value", value)
+    clean = nested.drop_unsafe_keys_deep(F.col("value"), events.schema["value"].dataType)
+    kept = events.select("event_id", clean.alias("c"))
+    fields = kept.schema["c"].dataType
+    inside = fields["parts"].dataType.elementType["inner"].dataType
+    first = F.col("c.parts")[0]
+    return kept.select(
+        "event_id",
+        F.lit(",".join(fields.names)).alias("fields"),
+        F.size(first["labels"]).alias("n_keys"),
+        first["labels"]["safe"].alias("safe"),
+        F.lit(",".join(inside.names)).alias("inner_fields"),
+    )
+
+
 @query(
     "n13_paths",
     """SELECT event_id, CAST(json_extract_string(props, '$.k') AS VARCHAR) AS plain,
