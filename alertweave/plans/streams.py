@@ -17,7 +17,7 @@ from alertweave.plans.sequences import KEY_WINDOW
 from alertweave.plans.sql import ALERTS
 from alertweave.session import checkpoint_folder
 from alertweave.sources import envelope, tables
-from alertweave.streaming import pipeline, store, windows
+from alertweave.streaming import delivery, pipeline, store, windows
 from alertweave.streaming import state as keyed_state
 from alertweave.streaming.store import Store
 
@@ -278,6 +278,64 @@ def message_stream(spark, folder):
     )
 
 
+REFUSED = (13, 500)
+
+
+@query(
+    "st6_failing_messages",
+    f"""WITH {ALERTS},
+before AS (SELECT *, lag(content_hash) {KEY_WINDOW} AS b FROM alerts
+  WHERE alert_id % 97 <> 0 AND alert_id NOT IN {REFUSED})
+SELECT alert_id, status, 'stored' AS kind FROM before WHERE b IS NULL OR b <> content_hash
+UNION ALL SELECT NULL, NULL, 'dead' FROM alerts WHERE alert_id % 97 = 0
+UNION ALL SELECT alert_id, NULL, 'undelivered' FROM alerts WHERE alert_id IN {REFUSED}""",
+)
+def failing_messages(spark, folder):
+    """Two messages end the job that decodes them; they are set aside, all others are stored."""
+
+    def id_of(message):
+        return F.get_json_object(F.get_json_object(message, "$.event"), "$.alert_id")
+
+    def decode(messages):
+        refused = F.coalesce(id_of("value").isin(*map(str, REFUSED)), F.lit(False))
+        value = F.when(refused, F.raise_error(F.lit("refused"))).otherwise(F.col("value"))
+        return pipeline.decode_alerts(messages.withColumn("value", value), MESSAGE)
+
+    path = new_folder(spark)
+    pipeline.run_pipeline(
+        envelope.read_event_stream(spark, "text", write_messages(spark, folder)),
+        pipeline.Config(),
+        path,
+        decode=decode,
+        delivery=delivery.Delivery(attempts=2, backoff_seconds=0.1),
+    ).awaitTermination()
+    written = Store(spark, path)
+    none = F.lit(None)
+    stored = written.output("alerts", T.StructType.fromDDL(pipeline.STORED))
+    dead = written.output("dead_letters", T.StructType.fromDDL("raw string, error string"))
+    aside = written.output(
+        delivery.UNDELIVERED, T.StructType.fromDDL(delivery.UNDELIVERED_SCHEMA)
+    )
+    message = F.get_json_object("raw", "$.value")
+    return (
+        stored.select("alert_id", "status", F.lit("stored").alias("kind"))
+        .unionByName(
+            dead.select(
+                none.cast("long").alias("alert_id"),
+                none.cast("string").alias("status"),
+                F.lit("dead").alias("kind"),
+            )
+        )
+        .unionByName(
+            aside.select(
+                id_of(message).cast("long").alias("alert_id"),
+                none.cast("string").alias("status"),
+                F.lit("undelivered").alias("kind"),
+            )
+        )
+    )
+
+
 @query(
     "s5_archive_raw",
     """SELECT concat('t', user_id % 3) AS tenant_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n,

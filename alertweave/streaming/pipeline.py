@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from alertweave.operators import correlate, dedup, enrich, maintenance, mapping,
 from alertweave.operators.scan import ALERT_KEY, MAX_ROWS
 from alertweave.sources import envelope
 from alertweave.streaming import state as keyed_state
+from alertweave.streaming.delivery import Delivery, deliver
 from alertweave.streaming.store import Store
 
 # no field of a stored alert may be left to inference
@@ -146,20 +148,30 @@ def run_pipeline(
     path: str,
     decode: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
     trigger: dict | None = None,
+    delivery: Delivery | None = None,
 ) -> StreamingQuery:
     """Start the pipeline on a stream of alerts, or of messages with ``decode``.
 
     Delivery is at least once from the source; every output is keyed by the batch id, so a
-    repeated batch replaces itself and results come out once.
+    repeated batch replaces itself and results come out once. With ``delivery``, a failing batch
+    is tried again and its failing messages are set aside; without, it stops the stream.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         store = Store(batch.sparkSession, path)
-        alerts = batch
-        if decode is not None:
-            alerts, dead = decode(batch)
-            store.append("dead_letters", dead, batch_id)
-        process_batch(alerts, store, config, batch_id)
+
+        def work(rows: DataFrame, into: Store) -> None:
+            alerts = rows
+            if decode is not None:
+                alerts, dead = decode(rows)
+                into.append("dead_letters", dead, batch_id)
+            process_batch(alerts, into, config, batch_id)
+
+        if delivery is None:
+            work(batch, store)
+        else:
+            row_work = partial(_rows_alone, config=config, decode=decode)
+            deliver(batch, batch_id, store, work, delivery, (row_work,))
 
     return (
         stream.writeStream.foreachBatch(each)
@@ -169,6 +181,19 @@ def run_pipeline(
     )
 
 
+def _rows_alone(
+    rows: DataFrame,
+    config: Config,
+    decode: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None,
+) -> None:
+    """What is done to each message by itself: decoding, extraction, mapping."""
+    alerts = rows if decode is None else decode(rows)[0]
+    for pre in (True, False):
+        alerts = mapping.extract(alerts, config.extraction, pre=pre)
+    mapped = mapping.map_alerts(alerts, config.mappings, config.lookups)
+    mapped.write.format("noop").mode("overwrite").save()
+
+
 def recover_expired(
     store: Store, windows: list[maintenance.MaintenanceWindow], as_of: str
 ) -> DataFrame:
