@@ -20,8 +20,8 @@ nearly all of the page. Names break the tie for what constancy cannot tell: an e
 a menu or notice is left out, unless it holds the page's only article or, on a page without
 one, most of the text. Inline elements never cut a text.
 
-Bounds that move alignment and never text: elements below ``DEPTH`` others are aligned as that
-ancestor, and trees whose sizes multiply to more than ``CELLS`` pair their children in order.
+Trees of any size are aligned by the same matching. Elements below ``DEPTH`` others are aligned as
+that ancestor; their texts count with its.
 
 Defined results: null or empty html gives an empty text; a null url or one without a host
 belongs to the host "", which has a wrapper like any other; cut off or unclosed markup is read
@@ -34,12 +34,14 @@ from __future__ import annotations
 
 import html as entities
 import json
+import math
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -85,8 +87,8 @@ CONTENT_TAGS = ("article", "main")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # elements that are aligned on their own are inside of fewer others
 DEPTH = 64
-# pairs of nodes up to which trees are matched by the best of all alignments
-CELLS = 400_000
+# sums of pairs of lists that are kept while two trees are matched; more are computed again
+KNOWN_SUMS = 500_000
 # shapes of a host that one task merges at once, about
 MERGED = 32
 # on a page without article or main, constant text goes if slots hold one part in so many
@@ -336,65 +338,133 @@ def listed(tree: Tree) -> list[Tree]:
     return out
 
 
+class Kinds:
+    """Numbers for nodes of two trees: equal ones have equal nodes below and names that match alike."""
+
+    def __init__(self, *trees: Tree) -> None:
+        self.nodes = [listed(t) for t in trees]
+        named = [{(n[0], n[1]) for n in nodes} for nodes in self.nodes]
+        self.kinds: dict[int, tuple[int, int, int]] = {}
+        self.below: list[list[Tree]] = [[]]
+        known: dict[object, int] = {}
+        lists: dict[tuple[int, ...], int] = {(): 0}
+        for side, nodes in enumerate(self.nodes):
+            for node in reversed(nodes):
+                own = node[0], node[1]
+                # a name that the other tree does not have matches none of its names, whichever it is
+                label = known.setdefault(own if own in named[1 - side] else (side, node[0]), len(known))
+                kids = tuple(self.kinds[id(k)][2] for k in node[3])
+                at = lists.setdefault(kids, len(lists))
+                if at == len(self.below):
+                    self.below.append(node[3])
+                self.kinds[id(node)] = label, at, known.setdefault((label, at, None), len(known))
+
+    def arrays(self, nodes: list[Tree], tags: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of tags, names and lists of children."""
+        kinds = [self.kinds[id(n)] for n in nodes]
+        rows = [(tags.setdefault(n[0], len(tags)), k[0], k[1]) for n, k in zip(nodes, kinds, strict=True)]
+        return tuple(np.array(rows, np.int64).reshape(-1, 3).T)
+
+
 def aligned(tree: Tree, reference: Tree) -> dict[int, Tree]:
     """By ``id`` of the nodes of ``tree``, their partners in ``reference``.
 
     Simple tree matching: partners have partners as parents, siblings keep their order, tags
-    agree, and the sum over the pairs, two where names agree too, is the largest.
+    agree, and the sum over the pairs, two where names agree too, is the largest. Trees of any size
+    are matched so. The sums of two lists of children are kept once in so many rows and computed
+    again between, so memory grows with the lists, and time with their product.
     """
-    best_of_all = len(listed(tree)) * len(listed(reference)) <= CELLS
-    known: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def match(a: Tree, b: Tree) -> tuple[int, list]:
-        """The largest sum below and of two nodes, and the pairs of children it takes."""
-        key = id(a), id(b)
-        if key not in known:
-            pairs = best_pairs(a[3], b[3]) if best_of_all else paired_in_order(a[3], b[3])
-            known[key] = 1 + (a[1] == b[1]) + sum(w for w, _, _ in pairs), [(x, y) for _, x, y in pairs]
-        return known[key]
-
-    def best_pairs(xs: list[Tree], ys: list[Tree]) -> list[tuple[int, Tree, Tree]]:
-        sums = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        weights: dict[tuple[int, int], int] = {}
-        for i, x in enumerate(xs):
-            for j, y in enumerate(ys):
-                best = max(sums[i][j + 1], sums[i + 1][j])
-                if x[0] == y[0]:
-                    weights[i, j] = match(x, y)[0]
-                    best = max(best, sums[i][j] + weights[i, j])
-                sums[i + 1][j + 1] = best
-        out = []
-        i, j = len(xs), len(ys)
-        while i and j:
-            if (i - 1, j - 1) in weights and sums[i][j] == sums[i - 1][j - 1] + weights[i - 1, j - 1]:
-                i, j = i - 1, j - 1
-                out.append((weights[i, j], xs[i], ys[j]))
-            elif sums[i][j] == sums[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-        return out[::-1]
-
-    def paired_in_order(xs: list[Tree], ys: list[Tree]) -> list[tuple[int, Tree, Tree]]:
-        places: dict[tuple, list[int]] = defaultdict(list)
-        for j in range(len(ys) - 1, -1, -1):
-            places[ys[j][0], ys[j][1]].append(j)
-        out, at = [], 0
-        for x in xs:
-            found = places[x[0], x[1]]
-            while found and found[-1] < at:
-                found.pop()
-            if found:
-                at = found[-1] + 1
-                out.append((0, x, ys[at - 1]))
+    kinds = Kinds(tree, reference)
+    tags: dict[str, int] = {}
+    known: dict[tuple[int, int], int] = {}
+
+    def rows_of(xs: list[Tree], ys: list[Tree]) -> Callable[[int, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """From a row number and the row of sums before it, its weights and the sums with it."""
+        x_tags, x_names, x_below = kinds.arrays(xs, tags)
+        y_tags, y_names, y_below = kinds.arrays(ys, tags)
+
+        def row(i: int, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            same = y_tags == x_tags[i]
+            weights = np.where(same, 1 + (y_names == x_names[i]), 0)
+            if x_below[i]:
+                places = np.flatnonzero(same & (y_below > 0))
+                lists, which = np.unique(y_below[places], return_inverse=True)
+                weights[places] += np.array([below(int(x_below[i]), int(b)) for b in lists], np.int64)[which]
+            sums = before.copy()
+            np.maximum(sums[1:], before[:-1] + weights, out=sums[1:])
+            return weights, np.maximum.accumulate(sums, out=sums)
+
+        return row
+
+    def below(a: int, b: int) -> int:
+        """The largest sum of two lists of children."""
+        if not (a and b):
+            return 0
+        xs, ys = kinds.below[a], kinds.below[b]
+        if len(xs) == len(ys) == 1:
+            (label, kids, _), (other, others, _) = kinds.kinds[id(xs[0])], kinds.kinds[id(ys[0])]
+            return 1 + (label == other) + below(kids, others) if xs[0][0] == ys[0][0] else 0
+        if (a, b) not in known:
+            xs, ys, pairs = without_equal_ends(xs, ys)
+            total = sum(2 * sizes[id(x)] for x, _ in pairs)
+            if xs and ys:
+                row, sums = rows_of(xs, ys), np.zeros(len(ys) + 1, np.int64)
+                for i in range(len(xs)):
+                    sums = row(i, sums)[1]
+                total += int(sums[-1])
+            # each pair of lists is met again once a level at most
+            if len(known) >= KNOWN_SUMS:
+                known.clear()
+            known[a, b] = total
+        return known[a, b]
+
+    def without_equal_ends(xs: list[Tree], ys: list[Tree]) -> tuple[list[Tree], list[Tree], list[tuple[Tree, Tree]]]:
+        """Equal last children are partners: no other pair of either weighs more."""
+        n = 0
+        while n < min(len(xs), len(ys)) and kinds.kinds[id(xs[-1 - n])] == kinds.kinds[id(ys[-1 - n])]:
+            n += 1
+        ends = list(zip(xs[len(xs) - n :], ys[len(ys) - n :], strict=True))
+        return xs[: len(xs) - n], ys[: len(ys) - n], ends
+
+    def best_pairs(xs: list[Tree], ys: list[Tree]) -> list[tuple[Tree, Tree]]:
+        xs, ys, out = without_equal_ends(xs, ys)
+        if not (xs and ys):
+            return out
+        row, step = rows_of(xs, ys), math.isqrt(len(xs)) + 1
+        sums = np.zeros(len(ys) + 1, np.int64)
+        kept = []
+        for i in range(len(xs)):
+            if i % step == 0:
+                kept.append(sums)
+            sums = row(i, sums)[1]
+        j = len(ys)
+        while kept and j:
+            first = step * (len(kept) - 1)
+            rows = [(None, kept.pop())]
+            for i in range(first, min(first + step, len(xs))):
+                rows.append(row(i, rows[-1][1]))
+            i = len(rows) - 1
+            while i and j:
+                weights, sums = rows[i]
+                before = rows[i - 1][1]
+                if weights[j - 1] and sums[j] == before[j - 1] + weights[j - 1]:
+                    i, j = i - 1, j - 1
+                    out.append((xs[first + i], ys[j]))
+                elif sums[j] == before[j]:
+                    i -= 1
+                else:
+                    j -= 1
         return out
 
+    sizes: dict[int, int] = {}
+    for node in reversed(kinds.nodes[0]):
+        sizes[id(node)] = 1 + sum(sizes[id(k)] for k in node[3])
     out: dict[int, Tree] = {}
     todo = [(tree, reference)]
     while todo:
         a, b = todo.pop()
         out[id(a)] = b
-        todo += match(a, b)[1]
+        todo += best_pairs(a[3], b[3])
     return out
 
 
@@ -406,15 +476,19 @@ def merge_into(reference: Tree, tree: Tree) -> None:
         a = todo.pop()
         b = partner[id(a)]
         b[2] += a[2]
-        at = 0
+        rest = iter(b[3])
+        kids: list[Tree] = []
         for kid in a[3]:
             mine = partner.get(id(kid))
             if mine is None:
-                b[3].insert(at, kid)
-                at += 1
-            else:
-                at = next(i for i, k in enumerate(b[3]) if k is mine) + 1
-                todo.append(kid)
+                kids.append(kid)
+                continue
+            todo.append(kid)
+            for other in rest:
+                kids.append(other)
+                if other is mine:
+                    break
+        b[3] = [*kids, *rest]
 
 
 def merged(trees: list[Tree]) -> Tree:

@@ -94,6 +94,36 @@ def test_tree_matching_is_the_best_one():
         assert len({id(m) for m in found.values()}) == len(found)
 
 
+@pytest.mark.parametrize("n", [20, 1_500])
+def test_large_trees_are_matched_like_small_ones(n):
+    """A node that moved to the other end costs its own pair only, whatever the number of nodes."""
+    kids = [["p", f"k{i}", 1, [["i", "", 1, []]] * (i % 2)] for i in range(n)]
+    moved = ["p", "moved", 1, []]
+    a, b = ["", "", 1, [moved, *kids]], ["", "", 1, [*kids, moved]]
+    found = html_extract.aligned(a, b)
+    assert all(found.get(id(k)) is k for k in kids) and id(moved) not in found
+    # with all neighbours in the other order one pair of children is left
+    turned = ["", "", 1, [["p", f"k{i}", 1, []] for i in reversed(range(n))]]
+    leaves = ["", "", 1, [["p", f"k{i}", 1, []] for i in range(n)]]
+    pairs = html_extract.aligned(leaves, turned)
+    # tags agree everywhere, so all are paired, and at most one by name
+    assert len(pairs) == n + 1
+
+
+def test_pages_beyond_any_size_lose_their_template(spark):
+    """The menu is found among hundreds of blocks, though a block of its form stands before it."""
+    def page(i, n):
+        blocks = "".join(f"<div class=b{chr(97 + k % 26)}{chr(97 + k // 26)}q><p>{i}.{k}</p></div>" for k in range(n))
+        extra = f"<ul><li>day {i}</li></ul>" if i % 2 else ""
+        return f"<body>{extra}{blocks}<ul><li>Home</li></ul></body>"
+
+    for n in (5, 400):
+        got = texts_of(spark, [page(i, n) for i in range(6)])
+        for i, text in enumerate(got):
+            own = [f"day {i}"] * (i % 2) + [f"{i}.{k}" for k in range(n)]
+            assert text == " ".join(own), (n, i)
+
+
 def test_many_shapes_are_merged_in_groups(spark, monkeypatch):
     """More shapes than one task merges; what a third of the pages have alone is no template."""
     monkeypatch.setattr(html_extract, "MERGED", 4)
