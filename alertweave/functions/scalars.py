@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import html
+import re
+from collections import defaultdict
+from functools import lru_cache
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # fixed values: severity names from lowest to highest rank (1 = lowest)
 SEVERITIES = ("low", "info", "warning", "high", "critical")
@@ -158,7 +160,100 @@ def valid_description_format(col: Column) -> Column:
     return col.isNull() | col.isin(*DESCRIPTION_FORMATS)
 
 
-@F.pandas_udf(T.StringType())
-def html_unescape(texts: pd.Series) -> pd.Series:
-    """Decode HTML entities (no built-in does); one Arrow batch at a time."""
-    return texts.map(html.unescape, na_action="ignore")
+# parted by characters that no name or text of an entity holds
+_ENTRY, _PAIR = "\x01", "\x02"
+NAME_MAX = max(map(len, html5))
+
+
+def _html_names() -> str:
+    """A pattern of all entity names that finds the longest one: a trie, longer branches first."""
+    trie: dict = {}
+    for name in html5:
+        node = trie
+        for c in name:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        branches = [re.escape(c) + pattern(below) for c, below in sorted(node.items()) if c]
+        if not branches:
+            return ""
+        return f"(?:{'|'.join(branches)}){'?' if '' in node else ''}"
+
+    return pattern(trie)
+
+
+@lru_cache
+def _html_tables() -> tuple[str, dict[str, str]]:
+    """The pattern of names, and texts of entities as entries, by the first character of the name.
+
+    Numbers that stand for another character, or for none, are entries too.
+    """
+    texts: dict[str, dict[str, str]] = defaultdict(dict)
+    for name, text in html5.items():
+        texts[name[0]][name] = text
+    # a byte order mark would be lost when it is decoded
+    texts["#"]["#65279"] = "\ufeff"
+    # the numbers with an answer of their own are below this one, or end a plane
+    ends = [p * 0x10000 + e for p in range(17) for e in (0xFFFE, 0xFFFF)]
+    for n in (*range(0xA0), *range(0xFDD0, 0xFDF0), *ends):
+        if (text := html.unescape(f"&#{n};")) != chr(n):
+            texts["#"][f"#{n}"] = text
+    parted = {c: _ENTRY.join(k + _PAIR + v for k, v in own.items()) for c, own in texts.items()}
+    return _html_names(), parted
+
+
+def _after(text: Column, start: Column) -> Column:
+    return F.substring(text, F.length(start) + 1, F.lit(2**31 - 1))
+
+
+def html_unescape(col: Column) -> Column:
+    """Decode HTML entities as ``html.unescape`` does; texts without an ampersand are left alone."""
+    names, texts = _html_tables()
+    first = sorted(texts)
+    # maps are searched from their start, so each first character has a map of its own
+    maps = F.map_from_arrays(
+        F.array(*[F.lit(c) for c in first]),
+        F.array(*[F.str_to_map(F.lit(texts[c]), F.lit(_ENTRY), F.lit(_PAIR)) for c in first]),
+    )
+
+    def named(key: Column) -> Column:
+        return F.try_element_at(F.try_element_at(maps, F.substring(key, 1, 1)), key)
+
+    def decoded(part: Column) -> Column:
+        """What follows an ampersand, with the entity at its start as text."""
+        digits = F.regexp_extract(part, "^#0*([0-9]+)", 1)
+        hexes = F.regexp_extract(part, "^#[xX]0*([0-9a-fA-F]+)", 1)
+        number = F.when(F.length(digits).between(1, 9), digits.try_cast("long")).when(
+            F.length(hexes).between(1, 8), F.conv(hexes, 16, 10).cast("long")
+        )
+        valid = (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        character = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        text = F.when(
+            F.coalesce(valid, F.lit(False)),
+            F.coalesce(named(F.concat(F.lit("#"), number.cast("string"))), character),
+        ).otherwise("\ufffd")
+        reference = F.regexp_extract(part, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+        # names are short, so that the text after them is not read for them
+        name = F.regexp_extract(F.substring(part, 1, NAME_MAX), f"^{names}", 0)
+        return F.when(
+            part.startswith("#"),
+            F.when(reference == "", F.concat(F.lit("&"), part)).otherwise(
+                F.concat(text, _after(part, reference))
+            ),
+        ).otherwise(
+            F.element_at(
+                F.transform(
+                    F.array(name),
+                    lambda n: F.when(n == "", F.concat(F.lit("&"), part)).otherwise(
+                        F.concat(named(n), _after(part, n))
+                    ),
+                ),
+                1,
+            )
+        )
+
+    parts = F.split(col, "&")
+    others = F.transform(F.slice(parts, 2, F.size(parts)), decoded)
+    whole = F.concat(F.element_at(parts, 1), F.array_join(others, ""))
+    return F.when(col.contains("&"), whole).otherwise(col)

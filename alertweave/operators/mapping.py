@@ -122,12 +122,12 @@ def extract(
         if not (template.startswith("{{") and template.endswith("}}")):
             template = "{{ " + template + " }}"
         value = render(template, _resolver(out))
+        out = out.withColumn("_value", value)
         if unescape:
-            # only texts with an entity travel to Python
-            value = F.coalesce(html_unescape(F.when(value.contains("&"), value)), value)
+            out = out.withColumn("_value", html_unescape(F.col("_value")))
         regex, names = java_regex(rule.regex)
         names.pop("source", None)
-        out, applies = _applies(out.withColumn("_value", value), rule)
+        out, applies = _applies(out, rule)
         value = F.col("_value")
         hit = (F.length(value) > 0) & applies & value.rlike(regex)
         out = _with_missing(out.withColumn("_hit", hit), list(names))

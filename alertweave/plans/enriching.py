@@ -266,9 +266,9 @@ def html_unescape(spark, folder):
     escaped = F.col("text")
     for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         escaped = F.replace(escaped, F.lit(plain), F.lit(entity))
-    docs = tables.read_table(spark, folder, "documents")
+    docs = tables.read_table(spark, folder, "documents").withColumn("text", escaped)
     return docs.select(
-        "doc_id", F.md5(scalars.html_unescape(escaped)).alias("text_md5")
+        "doc_id", F.md5(scalars.html_unescape(F.col("text"))).alias("text_md5")
     )
 
 
