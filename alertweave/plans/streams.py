@@ -260,7 +260,7 @@ def message_stream(spark, folder):
         source,
         pipeline.Config(),
         path,
-        decode=lambda df: pipeline.decode_alerts(df, MESSAGE),
+        decode=lambda df: pipeline.parse_alerts(df, MESSAGE),
     ).awaitTermination()
     written = Store(spark, path)
     stored = written.output("alerts", T.StructType.fromDDL(pipeline.STORED)).select(
@@ -299,7 +299,7 @@ def failing_messages(spark, folder):
     def decode(messages):
         refused = F.coalesce(id_of("value").isin(*map(str, REFUSED)), F.lit(False))
         value = F.when(refused, F.raise_error(F.lit("refused"))).otherwise(F.col("value"))
-        return pipeline.decode_alerts(messages.withColumn("value", value), MESSAGE)
+        return pipeline.parse_alerts(messages.withColumn("value", value), MESSAGE)
 
     path = new_folder(spark)
     pipeline.run_pipeline(

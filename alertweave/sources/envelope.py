@@ -47,8 +47,8 @@ def read_event_stream(
     return reader.options(**options).schema(schema).load(path)
 
 
-def decode_envelope(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Decoded envelopes, and the messages that do not decode with the reason."""
+def parse_envelope(df: DataFrame, value: str = "value") -> DataFrame:
+    """All messages with their envelope ``_e``, and ``error`` where one does not decode."""
     parsed = df.withColumn(
         "_e",
         F.from_json(
@@ -58,7 +58,12 @@ def decode_envelope(df: DataFrame, value: str = "value") -> tuple[DataFrame, Dat
     corrupt = F.col("_e").isNull() | F.col("_e._corrupt").isNotNull()
     missing = F.col("_e.tenant_id").isNull() | F.col("_e.event").isNull()
     error = F.when(corrupt, "not valid JSON").when(missing, "tenant_id or event missing")
-    marked = parsed.withColumn("error", error)
+    return parsed.withColumn("error", error)
+
+
+def decode_envelope(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Decoded envelopes, and the messages that do not decode with the reason."""
+    marked = parse_envelope(df, value)
     keep = [c for c in df.columns if c != value]
     names = [f.name for f in ENVELOPE if f.name != "_corrupt"]
     good = (
@@ -82,12 +87,21 @@ def route_events(
 ) -> tuple[DataFrame, DataFrame]:
     """Alert events and incident events; a provider type may also name the latter. Other
     event types go to neither."""
-    incident = F.coalesce(
-        (F.col("event_type") == INCIDENT_EVENT)
-        | (F.col("provider_type") == incident_provider),
-        F.lit(False),
-    )
-    return df.filter(~incident & (F.col("event_type") == ALERT_EVENT)), df.filter(incident)
+    kind, provider = F.col("event_type"), F.col("provider_type")
+    incident = _is_incident(kind, provider, incident_provider)
+    return df.filter(is_alert(kind, provider, incident_provider)), df.filter(incident)
+
+
+def is_alert(
+    event_type: Column, provider_type: Column, incident_provider: str = INCIDENT_EVENT
+) -> Column:
+    incident = _is_incident(event_type, provider_type, incident_provider)
+    return ~incident & (event_type == ALERT_EVENT)
+
+
+def _is_incident(event_type: Column, provider_type: Column, provider: str) -> Column:
+    found = (event_type == INCIDENT_EVENT) | (provider_type == provider)
+    return F.coalesce(found, F.lit(False))
 
 
 def dead_letters(df: DataFrame, valid: Column, error: Column) -> tuple[DataFrame, DataFrame]:

@@ -40,6 +40,11 @@ MATCHED = (
 )
 HITS = "tenant_id string, preset string, n long"
 
+# alerts and dead letters
+Decoded = tuple[DataFrame, DataFrame]
+# gives both, or what ``parse_alerts`` gives, which holds both
+Decode = Callable[[DataFrame], DataFrame | Decoded]
+
 
 @dataclass(frozen=True)
 class Config:
@@ -55,22 +60,43 @@ class Config:
     max_rows: int = MAX_ROWS
 
 
-def decode_alerts(
+def parse_alerts(
     messages: DataFrame, schema: T.StructType | str, value: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """Messages to typed alerts and dead letters; incident events are left aside."""
-    good, bad = envelope.decode_envelope(messages, value)
-    alerts, _ = envelope.route_events(good)
-    parsed = alerts.select(
-        "tenant_id", F.col("event").alias("raw"), F.from_json("event", schema).alias("_a")
+) -> DataFrame:
+    """Each message as a typed ``alert``, or as ``raw`` with its ``error``; an incident event
+    as neither.
+
+    No row is filtered here: Spark would repeat the parsing in every condition on its result.
+    """
+    marked = envelope.parse_envelope(messages, value)
+    kind = F.coalesce("_e.event_type", F.lit(envelope.ALERT_EVENT))
+    alert = F.col("error").isNull() & envelope.is_alert(kind, F.col("_e.provider_type"))
+    events = marked.select(
+        F.when(F.col("error").isNotNull(), F.col(value)).alias("_message"),
+        F.col("error").alias("_error"),
+        F.col("_e.tenant_id").alias("tenant_id"),
+        F.when(alert, F.col("_e.event")).alias("_event"),
     )
+    parsed = events.withColumn("_a", F.from_json("_event", schema))
     valid = F.col("_a.alert_id").isNotNull() & F.col("_a.ts").isNotNull()
-    ok, failed = envelope.dead_letters(parsed, valid, F.lit("alert_id or ts missing"))
-    typed = ok.select("tenant_id", "_a.*")
-    dead = bad.select("raw", "error").unionByName(
-        failed.select("raw", F.col("error_message").alias("error"))
+    failed = F.col("_event").isNotNull() & ~valid
+    return parsed.select(
+        F.when(valid, F.struct("tenant_id", "_a.*")).alias("alert"),
+        F.coalesce("_message", F.when(failed, F.col("_event"))).alias("raw"),
+        F.coalesce("_error", F.when(failed, F.lit("alert_id or ts missing"))).alias("error"),
     )
-    return typed, dead
+
+
+def decode_alerts(
+    messages: DataFrame, schema: T.StructType | str, value: str = "value"
+) -> Decoded:
+    """Messages to typed alerts and dead letters; incident events are left aside."""
+    return _split(parse_alerts(messages, schema, value))
+
+
+def _split(parsed: DataFrame) -> Decoded:
+    alerts = parsed.filter(F.col("alert").isNotNull()).select("alert.*")
+    return alerts, parsed.filter(F.col("error").isNotNull()).select("raw", "error")
 
 
 def process_batch(
@@ -146,11 +172,12 @@ def run_pipeline(
     stream: DataFrame,
     config: Config,
     path: str,
-    decode: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None,
+    decode: Decode | None = None,
     trigger: dict | None = None,
     delivery: Delivery | None = None,
 ) -> StreamingQuery:
-    """Start the pipeline on a stream of alerts, or of messages with ``decode``.
+    """Start the pipeline on a stream of alerts, or of messages with ``decode``. What ``decode``
+    gives is written once and read back: ``parse_alerts`` reads each message once.
 
     Delivery is at least once from the source; every output is keyed by the batch id, so a
     repeated batch replaces itself and results come out once. With ``delivery``, a failing batch
@@ -163,7 +190,7 @@ def run_pipeline(
         def work(rows: DataFrame, into: Store) -> None:
             alerts = rows
             if decode is not None:
-                alerts, dead = decode(rows)
+                alerts, dead = _decoded(decode(rows), into, batch_id)
                 into.append("dead_letters", dead, batch_id)
             process_batch(alerts, into, config, batch_id)
 
@@ -181,13 +208,21 @@ def run_pipeline(
     )
 
 
-def _rows_alone(
-    rows: DataFrame,
-    config: Config,
-    decode: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None,
-) -> None:
+def _decoded(found: DataFrame | Decoded, store: Store, batch_id: int) -> Decoded:
+    """The alerts as a table of the store, so that several readers cost one decoding."""
+    rows = found if isinstance(found, DataFrame) else found[0]
+    store.append("decoded", rows, batch_id)
+    written = _written(store, "decoded", rows.schema, batch_id)
+    return _split(written) if isinstance(found, DataFrame) else (written, found[1])
+
+
+def _rows_alone(rows: DataFrame, config: Config, decode: Decode | None) -> None:
     """What is done to each message by itself: decoding, extraction, mapping."""
-    alerts = rows if decode is None else decode(rows)[0]
+    alerts = rows if decode is None else decode(rows)
+    if decode is not None and (config.extraction or config.mappings):
+        alerts = _split(alerts)[0] if isinstance(alerts, DataFrame) else alerts[0]
+    elif not isinstance(alerts, DataFrame):
+        alerts = alerts[0]
     for pre in (True, False):
         alerts = mapping.extract(alerts, config.extraction, pre=pre)
     mapped = mapping.map_alerts(alerts, config.mappings, config.lookups)
