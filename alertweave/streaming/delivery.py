@@ -99,28 +99,56 @@ def deliver(
 ) -> None:
     """Run ``work(rows, store)`` on the batch, or on all of it that does not fail.
 
-    ``checks`` are cheaper parts of the work, tried first in the search; the last check is always
-    the whole work on a ``Trial``. Equal messages share their fate. A message is set aside only if
-    it fails alone. A replay of the batch replaces what it set aside before.
+    ``checks`` are cheaper parts of the work, searched first. What they leave is processed for
+    good; only if that fails too, or if they found nothing, is the whole work searched, on a
+    ``Trial``. Equal messages share their fate. A message is set aside only if it fails alone. A
+    replay of the batch replaces what it set aside before.
     """
     try:
         retried(lambda: work(batch, store), policy)
     except AnalysisException:
         raise
     except Exception:
-        rows, failed = spread(batch, store, batch_id), {}
+        rows = spread(batch, store, batch_id)
         trial = Trial(store, batch_id)
-        for check in (*checks, lambda part: work(part, trial)):
-            found = failing(rows, check, policy.max_failures - len(failed), trial.cut)
-            rows, failed = without(rows, found), failed | found
+        failed: dict[int, str] = {}
+        for check in checks:
+            failed |= _search(rows, failed, check, trial, policy)
+        if not (failed and _done(lambda: _work_without(rows, failed, trial, work), policy)):
+            failed |= _search(rows, failed, lambda part: work(part, trial), trial, policy)
+            retried(lambda: _work_without(rows, failed, trial, work), policy)
         store.append(UNDELIVERED, _undelivered(store, batch_id, failed), batch_id)
-        kept = trial.cut(rows.drop(HASH))
-        retried(lambda: work(kept, store), policy)
     else:
         none = store.spark.createDataFrame([], UNDELIVERED_SCHEMA)
         store.append(UNDELIVERED, none, batch_id)
 
 
+def _search(
+    rows: DataFrame, failed: dict[int, str], check: Check, trial: Trial, policy: Delivery
+) -> dict[int, str]:
+    allowed = policy.max_failures - len(failed)
+    return failing(without(rows, failed), check, allowed, trial.cut, whole=not failed)
+
+
+def _work_without(
+    rows: DataFrame,
+    failed: dict[int, str],
+    trial: Trial,
+    work: Callable[[DataFrame, Store], None],
+) -> None:
+    work(trial.cut(without(rows, failed).drop(HASH)), trial.base)
+
+
+def _done(work: Callable[[], None], policy: Delivery) -> bool:
+    try:
+        retried(work, policy)
+    except AnalysisException:
+        raise
+    except Exception:
+        return False
+    return True
+
+
 def spread(batch: DataFrame, store: Store, batch_id: int) -> DataFrame:
     """The batch as a table in order of the hash of its messages; a range reads its files only."""
     content = F.to_json(F.struct(*[F.col(f"`{c}`") for c in batch.columns]))
@@ -140,12 +168,16 @@ def failing(
     check: Check,
     allowed: int,
     cut: Callable[[DataFrame], DataFrame] = lambda part: part,
+    whole: bool = False,
 ) -> dict[int, str]:
-    """Hash and error of every message on which ``check`` fails; ``cut`` parts rows from others."""
+    """Hash and error of every message on which ``check`` fails; ``cut`` parts rows from others.
+    All rows of a table, ``whole``, have none to be parted from.
+    """
 
     def error_of(part: DataFrame) -> str | None:
         try:
-            check(cut(part.drop(HASH)))
+            alone = part.drop(HASH)
+            check(alone if whole and part is rows else cut(alone))
         except AnalysisException:
             raise
         except Exception as error:

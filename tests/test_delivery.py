@@ -183,3 +183,33 @@ def test_an_outage_that_ends_during_the_search_loses_nothing(spark, tmp_path):
     schema = T.StructType.fromDDL("id long")
     assert sorted(r.id for r in store.output("out", schema).collect()) == list(range(50))
     assert undelivered(store) == []
+
+
+def test_what_a_check_found_is_left_out_without_a_trial(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+    calls = []
+
+    def work(part, into):
+        calls.append(type(into))
+        raises_on("id = 17")(part)
+        into.append("out", part, 0)
+
+    delivery.deliver(spark.range(50), 0, store, work, POLICY, (raises_on("id = 17"),))
+    schema = T.StructType.fromDDL("id long")
+    assert {r.id for r in store.output("out", schema).collect()} == set(range(50)) - {17}
+    assert len(undelivered(store)) == 1
+    # twice on the batch, once on what is left
+    assert calls == [Store] * 3
+
+
+def test_what_the_checks_do_not_find_is_searched_by_the_work(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "s"))
+
+    def work(part, into):
+        raises_on("id in (17, 30)")(part)
+        into.append("out", part, 0)
+
+    delivery.deliver(spark.range(50), 0, store, work, POLICY, (raises_on("id = 17"),))
+    schema = T.StructType.fromDDL("id long")
+    assert {r.id for r in store.output("out", schema).collect()} == set(range(50)) - {17, 30}
+    assert len(undelivered(store)) == 2
