@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from alertweave.functions.scalars import severity_rank
 from alertweave.operators import correlate, dedup, enrich, maintenance, mapping, reads
-from alertweave.operators.scan import ALERT_KEY, MAX_ROWS
+from alertweave.operators.scan import ALERT_KEY, MAX_ROWS, has_hot_key
 from alertweave.sources import envelope
 from alertweave.streaming import state as keyed_state
 from alertweave.streaming.delivery import Delivery, deliver
@@ -106,7 +106,8 @@ def process_batch(
     counters, extraction, mapping, storage, latest state, correlation, presets.
 
     What several outputs need is written first and read back, so the plan behind it runs
-    once, and a lost executor costs no recomputation of it.
+    once, and a lost executor costs no recomputation of it. Unless a key is hot, duplicates and
+    counters come from one shuffle: full duplicates are counted apart from the other rows.
     """
     chunk = config.max_rows
     keys = store.snapshot("keys", T.StructType.fromDDL(keyed_state.KEY_STATE), batch_id)
@@ -118,7 +119,15 @@ def process_batch(
     kept, silenced = maintenance.apply_maintenance(
         rows, config.windows, config.maintenance_strategy
     )
-    classified = keyed_state.classify_with_state(kept, keys, chunk)
+    if not (config.extraction or config.mappings):
+        # nothing reads other fields after this
+        names = {f.name for f in T.StructType.fromDDL(STORED)}
+        kept = kept.select(*[F.col(f"`{c}`") for c in kept.columns if c in names])
+    hot = has_hot_key(kept, ALERT_KEY, chunk)
+    classified = keyed_state.classify_with_state(kept, keys, chunk if hot else None)
+    if not hot:
+        apart = classified.withColumn("_full", F.col("dedup_type") == "full")
+        classified = keyed_state.features_with_state(apart, keys, None, ("_full",))
     store.append("classified", classified, batch_id)
     classified = _written(store, "classified", classified.schema, batch_id)
     store.append(
@@ -126,8 +135,9 @@ def process_batch(
         _as(silenced.unionByName(enrich.lifecycle_audit(classified)), AUDIT),
         batch_id,
     )
-    fresh = dedup.drop_full_duplicates(classified)
-    counted = keyed_state.features_with_state(fresh, keys, chunk)
+    counted = dedup.drop_full_duplicates(classified)
+    if hot:
+        counted = keyed_state.features_with_state(counted, keys, chunk)
     extracted = mapping.extract(counted, config.extraction, pre=False)
     mapped = mapping.map_alerts(extracted, config.mappings, config.lookups)
     ranked = mapped.withColumn("severity_rank", severity_rank(F.col("severity")))

@@ -40,7 +40,7 @@ def _with_state(rows: DataFrame, state: DataFrame, keys: tuple[str, ...]) -> Dat
 
 
 def classify_with_state(
-    batch: DataFrame, state: DataFrame, max_rows: int = MAX_ROWS
+    batch: DataFrame, state: DataFrame, max_rows: int | None = MAX_ROWS
 ) -> DataFrame:
     """``dedup_type`` against the previous row of the batch, else the key's state."""
     scan = lag_struct("_before", {"h": F.col("content_hash")})
@@ -59,12 +59,16 @@ def classify_with_state(
 
 
 def features_with_state(
-    batch: DataFrame, state: DataFrame, max_rows: int = MAX_ROWS
+    batch: DataFrame,
+    state: DataFrame,
+    max_rows: int | None = MAX_ROWS,
+    parts: tuple[str, ...] = (),
 ) -> DataFrame:
     """Counters and start times that continue from the key's state.
 
     A value of the batch alone is complete once the batch holds a reset of that value for
-    the key; until then the state adds to it or replaces it.
+    the key; until then the state adds to it or replaces it. Rows of a key that differ in the
+    columns ``parts`` do not count for each other.
     """
     resets = {
         "_acked": is_status("acknowledged"),
@@ -80,7 +84,7 @@ def features_with_state(
         *[running_sum(n, c.cast("int")) for n, c in resets.items()],
     ]
     rows = _with_state(
-        run_scans(batch, scans, max_rows=max_rows),
+        run_scans(batch, scans, (*ALERT_KEY, *parts), max_rows=max_rows),
         state.drop("alert_id", "content_hash"),
         ALERT_KEY,
     )
