@@ -11,8 +11,8 @@ each document's number of links, so a group of n near copies gives about 2 n row
 
 Copies with the same words are one node. Where few meet at a shingle, pairs that cannot link by
 their sizes and its places are left out. Groups that meet are first compared on the first fragment
-alone: its partial overlap and the sizes of the rest bound the whole, which leaves few pairs.
-Only for these all fragments are sent. A large group is cut into blocks of bounded size,
+alone, by half of each hash: its partial overlap and the sizes of the rest bound the whole, which
+leaves few pairs. Only for these texts are read again and all fragments are sent. A large group is cut into blocks of bounded size,
 in shingles and in documents, and pairs of blocks are compared in separate tasks.
 
 Defined results: null, empty and blank texts have no shingles and stand alone; a text of one to
@@ -426,48 +426,64 @@ def among(large: DataFrame, small: DataFrame, on: str) -> DataFrame:
     return placed.select(*large.columns)
 
 
-def held_sets(
-    docs: DataFrame, met: DataFrame, classes: DataFrame, seed: int, shared: Broadcast
+def sets_read(
+    docs: DataFrame, keep: list[str], seed: int, shared: Broadcast, fragments: int, narrow: bool
 ) -> DataFrame:
-    """The sets of the nodes that meet, a column for each fragment of the order, with their groups.
+    """``node``, the size ``n`` of its set, and the first ``fragments`` of it, a column for each.
 
-    The text with the least id of a node is read for it, and hashed once for all that follows.
-    A node has at most as many groups as its set has rare shingles, so they travel with its text.
+    ``narrow`` hashes have their last 32 bits only; those of a set that agree in them are one.
     """
-    nodes = met.groupBy("node").agg(F.collect_list(F.struct("root", "blocks")).alias("groups"))
-    wanted = nodes.join(classes, "node")
-    wanted = cut(wanted.select(F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "copies", "groups"))
-    texts = keyed_join(among(docs, wanted, "doc_id"), wanted, "doc_id", "inner")
 
     def start():
         reader, order = Reader(seed), shared.value
 
+        def sent(part):
+            return (np.unique(part.astype(np.uint32)) if narrow else part).tobytes()
+
         def work(texts):
             nodes, sets = reader.read([lowered(t) for t in texts])
-            parts = zip(*[[p.tobytes() for p in order.parts(s)] for s in sets], strict=True) if sets else [[]] * FRAGMENTS
-            return [nodes.tolist(), [len(s) for s in sets], *map(list, parts)]
+            parts = [[sent(p) for p in order.parts(s)[:fragments]] for s in sets]
+            return [nodes.tolist(), [len(s) for s in sets], *[[own[i] for own in parts] for i in range(fragments)]]
 
         return work
 
-    fields = "node long, n long, " + ", ".join(f"p{i} binary" for i in range(FRAGMENTS))
-    read = append_columns(texts, "text", ["held", "copies", "groups"], fields, start)
-    # another text with the same id is not the one that is wanted
-    return cut(read.filter("node = held").drop("held"))
+    fields = "node long, n long, " + ", ".join(f"p{i} binary" for i in range(fragments))
+    return append_columns(docs, "text", keep, fields, start)
+
+
+def first_sets(
+    docs: DataFrame, met: DataFrame, classes: DataFrame, seed: int, shared: Broadcast
+) -> DataFrame:
+    """``hashes`` of every node that meets in the first fragment of the order, for each group it is in.
 
+    The text with the least id of a node is read for it, and hashed before it meets its groups,
+    so that no text is shuffled. The hashes are narrow: ``pairs_of`` works out a bound from them,
+    which hashes that agree by chance only raise.
+    """
+    nodes = met.groupBy("node").agg(F.collect_list(F.struct("root", "blocks")).alias("groups"))
+    wanted = nodes.join(classes, "node")
+    wanted = cut(wanted.select(F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "groups"))
+    read = sets_read(among(docs, wanted, "doc_id"), ["doc_id"], seed, shared, 1, narrow=True)
+    # another text with the same id is not the one that is wanted
+    rows = keyed_join(read, wanted, "doc_id", "inner").filter("node = held")
+    return rows.select(F.inline("groups"), "node", "n", F.col("p0").alias("hashes"))
 
-def first_sets(held: DataFrame) -> DataFrame:
-    """``hashes`` of every node in the first fragment of the order, for each group it is in."""
-    rows = held.select(F.inline("groups"), "node", "n", "copies", F.col("p0").alias("hashes"))
-    return rows.withColumn("fragment", F.lit(0))
 
+def sets_of(
+    docs: DataFrame, groups: DataFrame, classes: DataFrame, seed: int, shared: Broadcast
+) -> DataFrame:
+    """``hashes`` of every node of the groups in all fragments of the order, one by one.
 
-def sets_of(held: DataFrame, groups: DataFrame) -> DataFrame:
-    """``hashes`` of every node of the groups in all fragments of the order, one by one."""
+    The texts of these few nodes are read again, as they take less room than their hashes.
+    """
+    wanted = groups.join(classes, "node")
+    wanted = cut(
+        wanted.select(F.col("least_id").alias("doc_id"), F.col("node").alias("held"), "root", "blocks", "copies")
+    )
+    texts = keyed_join(among(docs, wanted, "doc_id"), wanted, "doc_id", "inner")
+    read = sets_read(texts, ["held", "root", "blocks", "copies"], seed, shared, FRAGMENTS, narrow=False)
     parts = F.array(*[F.struct(F.lit(i).alias("fragment"), F.col(f"p{i}").alias("hashes")) for i in range(FRAGMENTS)])
-    # a written table, so that Spark knows its size and moves the sets only if it must
-    groups = cut(groups.select("root", "blocks", "node"))
-    rows = among(held.drop("groups"), groups, "node").join(groups, "node")
-    return rows.select("root", "blocks", "node", "n", "copies", F.inline(parts))
+    return read.filter("node = held").select("root", "blocks", "node", "n", "copies", F.inline(parts))
 
 
 def overlap_matrix(sets: list[np.ndarray]) -> np.ndarray:
@@ -526,7 +542,8 @@ def in_blocks(sets: DataFrame) -> DataFrame:
     partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     placed = sets.withColumn("block", block).withColumn("partner", partner)
     low, high = F.least("block", "partner").alias("i"), F.greatest("block", "partner").alias("j")
-    return placed.select("root", low, high, "block", "node", "n", "copies", "fragment", "hashes")
+    rest = [c for c in sets.columns if c not in ("root", "blocks")]
+    return placed.select("root", low, high, "block", *rest)
 
 
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str], names: list[str]):
@@ -553,7 +570,7 @@ def pairs_of(sets: DataFrame) -> DataFrame:
         made: list[tuple] = []
         for _, (nodes, sizes, sides, hashes) in whole_groups(batches, keys, ["node", "n", "block", "hashes"]):
             # repeated ids bring a node several times
-            own = {node: (np.frombuffer(h, np.uint64), n, side) for node, n, side, h in
+            own = {node: (np.frombuffer(h, np.uint32), n, side) for node, n, side, h in
                    zip(nodes, sizes, sides, hashes, strict=True)}
             if len(own) > 1:
                 made += linked_pairs(list(own), *zip(*own.values(), strict=True))
@@ -722,11 +739,10 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     total = known.agg(F.sum("n_shingles")).first()[0] or 0
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(named, "text", total, seed))
     met = meetings(prefixes(named, "text", seed, shared))
-    held = held_sets(named, met, classes, seed, shared)
-    near = components(pairs_of(first_sets(held)))
+    near = components(pairs_of(first_sets(named, met, classes, seed, shared)))
     near = grouped(near.join(met.select("node", "n").distinct(), "node"))
     # every node is in one group now, so every pair is counted once
-    partial = partial_overlaps(sets_of(held, near))
+    partial = partial_overlaps(sets_of(named, near, classes, seed, shared))
     links = cut(links_of(partial))
     roots = components(links.filter("b is not null").select("a", "b"))
     linked = roots.join(classes, "node")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -107,3 +108,58 @@ def test_a_forest_connects_what_links_connect():
         made = ngram_join.forest(matrix)
         assert groups(made.tolist()) == groups(np.argwhere(matrix).tolist())
         assert all(matrix[a, b] for a, b in made) and len(made) <= sum(matrix.shape)
+
+
+def test_no_text_is_shuffled_for_the_first_fragment(spark, monkeypatch, capsys):
+    """Groups that meet are compared by half hashes; their texts stay where they are read."""
+    prepare(spark)
+    frames, first, cut = [], ngram_join.pairs_of, ngram_join.cut
+    compared = []
+
+    def pairs_of(sets):
+        compared.extend([*frames, sets])
+        return first(sets)
+
+    monkeypatch.setattr(ngram_join, "pairs_of", pairs_of)
+    monkeypatch.setattr(ngram_join, "cut", lambda df: frames.append(df) or cut(df))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = mutated(random.Random(5), 60)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        ngram_join.near_duplicates(docs)
+        capsys.readouterr()
+        for df in compared:
+            df.explain("formatted")
+        shuffled = re.findall(r"\(\d+\) Exchange.*?\nInput \[\d+\]: \[(.*?)\]", capsys.readouterr().out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(shuffled) > 3 and not [columns for columns in shuffled if "text#" in columns]
+
+
+def test_half_hashes_that_agree_lose_no_link(spark):
+    """Sets of 7, two with the same and one with 6 of them; the last bits of some hashes agree within a set and across sets."""
+    prepare(spark)
+    high = [i << 32 for i in range(1, 30)]
+    alike = [h + 7 for h in high[:4]]
+    sets = {1: alike + [1, 2, 3], 2: alike + [1, 2, 3], 3: alike[:3] + [high[9] + 7, 1, 2, 3], 4: [50, 51, 52, 53, 54, 55, 56]}
+    order = type("Order", (), {"parts": lambda self, own: [own] + [own[:0]] * 3})()
+    shared = type("Shared", (), {"value": order})()
+
+    class Given(ngram_join.Reader):
+        def read(self, data):
+            nodes = [int(d) for d in data]
+            return np.array(nodes), [np.sort(np.array(sets[n], np.uint64)) for n in nodes]
+
+    docs = spark.createDataFrame([(n, str(n)) for n in sets], "doc_id long, text string").coalesce(1)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ngram_join, "Reader", Given)
+        start = {}
+        patch.setattr(ngram_join, "append_columns", lambda df, text, keep, fields, make: start.setdefault("work", make()))
+        ngram_join.sets_read(docs, ["doc_id"], 0, shared, 1, narrow=True)
+    nodes, sizes, hashes = start["work"]([str(n) for n in sets])
+    assert sizes == [7] * 4 and [len(h) for h in hashes] == [16, 16, 16, 28]
+    rows = [(1, 1, n, size, bytearray(h)) for n, size, h in zip(nodes, sizes, hashes, strict=True)]
+    made = ngram_join.pairs_of(spark.createDataFrame(rows, "root long, blocks long, node long, n long, hashes binary"))
+    met = {node for pair in made.collect() for node in pair}
+    assert {1, 2} <= met and 4 not in met
